@@ -2,7 +2,7 @@
 
 from siltworks.bindings.base import ORACLE, QUERIES
 from siltworks.bindings import (  # noqa: F401  (registering is their job)
-    aggregates, calendars, checks, columns, comparison, joins, ordered, scalars, storage,
+    aggregates, calendars, checks, columns, comparison, expectations, joins, models, ordered, scalars, storage,
 )
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -8,20 +8,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltworks.functions.text import any_of
+
 CORRUPT = "_corrupt"
 
 
 def load_csv(spark: SparkSession, path, schema: T.StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Good rows and rejected lines of CSV files; a bad line never stops the load."""
+    """Good rows and rejected lines of CSV files; a bad line never stops the load.
+
+    Columns are read as text and cast here: whether a line is good then depends on
+    all its columns, also when a query selects only some (the typed reader checks
+    only the columns a query asks for).
+    """
     typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    wide = T.StructType([*typed.fields, T.StructField(CORRUPT, T.StringType())])
+    wide = T.StructType([*[T.StructField(f.name, T.StringType()) for f in typed], T.StructField(CORRUPT, T.StringType())])
     rows = (spark.read.schema(wide).option("header", header).option("mode", "PERMISSIVE")
             .option("enforceSchema", True).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark refuses a scan of the corrupt column alone, so an empty piece of another one is read along.
-    nothing = F.left(F.coalesce(F.col(typed.fields[0].name).cast("string"), F.lit("")), F.lit(0))
-    rejected = rows.where(F.col(CORRUPT).isNotNull()).select(F.concat(CORRUPT, nothing).alias("rejected_line"))
-    return good, rejected
+    values = {f.name: F.col(f.name).try_cast(f.dataType) for f in typed}
+    bad = any_of([F.col(CORRUPT).isNotNull(), *[F.col(n).isNotNull() & v.isNull() for n, v in values.items()]])
+    good = rows.where(~bad).select(*[v.alias(n) for n, v in values.items()])
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*values)))
+    return good, rows.where(bad).select(line.alias("rejected_line"))
 
 
 def load_seed(spark: SparkSession, path, schema: str) -> DataFrame:
