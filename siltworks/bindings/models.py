@@ -38,10 +38,11 @@ RAW = {
     "cw_rec": """select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as cw_no, o_custkey as id,
         cast(year(o_orderdate) as int) as yr, concat('Q', cast(quarter(o_orderdate) as string)) as sess,
         case when l_linenumber > 3 then 'S 2' else 'S 1' end as subsess, """ + PROGRAM + """ as prog,
-        concat('C', cast(p_partkey as string)) as crs_no, p_brand as cat, l_linenumber as sec, grd, grdg, hrs,
+        concat('C', cast(p_partkey as string)) as crs_no, p_brand as cat, l_linenumber as sec,
+        case when hrs < 15 then 'A' when hrs < 35 then 'N' else 'R' end as grd, case when tax > 0.04 then 'F' else 'O' end as grdg, hrs,
         'B' as midsess_grd, hrs * 15 as clock_hrs, o_orderstatus as stat, cast(o_orderdate as date) as beg_date,
         cast(o_orderdate as date) + 90 as end_date
-      from (select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_returnflag) as grd, min(l_linestatus) as grdg,
+      from (select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_tax) as tax,
           min(cast(l_quantity as int)) as hrs from {lineitem} group by l_orderkey, l_linenumber)
       join {orders} on l_orderkey = o_orderkey join {part} on l_partkey = p_partkey""",
     "reg_rec": """select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as cw_no, l_returnflag as stat,

@@ -221,7 +221,9 @@ def make_moment(year, month, day, hour=0, minute=0, second=0, micro=0) -> Column
 def event_timestamp(day: Column, minute_text: Column) -> Column:
     """Day and clock digits ('930', '0930') as a timestamp; null where they are no time."""
     digits = F.lpad(minute_text.cast("string"), 4, "0")
-    return F.try_to_timestamp(F.concat(day.cast("string"), digits), F.lit("yyyy-MM-ddHHmm")).cast("timestamp_ntz")
+    is_clock = digits.rlike("^([01][0-9]|2[0-3])[0-5][0-9]$")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    return F.when(is_clock, F.timestamp_add("MINUTE", minutes, day.try_cast("date").cast("timestamp_ntz")))
 
 
 # --- academic and fiscal years -------------------------------------------------

@@ -24,21 +24,28 @@ def pick_emails(addresses: DataFrame, address_types: DataFrame, as_of) -> DataFr
 
 
 def first_last_events(events: DataFrame, key: str, kind: str, day: str, moment: str, tie: list[str] = ()) -> DataFrame:
-    """First and last event per key, ordered by day, moment and tie columns (nulls last).
+    """First and last event per key, ordered by day, moment, tie columns and kind (nulls last).
 
-    One partial aggregation instead of three windows.  Events of a key that share
-    day and moment make its times ambiguous.
+    Two partial aggregations instead of three windows, so a key with very many events
+    never meets in one task.  Events of a key that share day and moment make its
+    times ambiguous.
     """
-    parts = [p for c in (day, moment) for p in (F.col(c).isNull(), F.col(c))]
-    place = F.struct(*parts, *[F.col(c) for c in tie])
-    event = F.struct(F.col(kind).alias("kind"), F.col(moment).alias("moment"))
-    out = events.groupBy(key).agg(
-        F.min_by(event, place).alias("first"), F.max_by(event, place).alias("last"),
-        (F.count("*") > F.count_distinct(F.struct(day, moment))).alias("is_event_timestamp_ambiguous"))
+    def place(column):
+        """Missing values sort after present ones."""
+        return [F.col(column).isNull().alias(f"no_{column}"), F.col(column).alias(column)]
+
+    def at(pick):
+        return F.struct(*place(day), *place(moment), F.col(pick).alias("pick"))
+
+    pick = F.struct(*[F.col(c).alias(f"tie_{c}") for c in tie], F.col(kind).alias("kind"))
+    times = events.groupBy(key, day, moment).agg(
+        F.count("*").alias("__n"), F.min(pick).alias("__low"), F.max(pick).alias("__high"))
+    out = times.groupBy(key).agg(F.min(at("__low")).alias("first"), F.max(at("__high")).alias("last"),
+                                 (F.max("__n") > 1).alias("is_event_timestamp_ambiguous"))
     return out.select(
-        key, F.col("first.kind").alias("first_event_type"), F.col("first.moment").alias("first_event_timestamp"),
-        F.col("last.kind").alias("latest_event_type_from_reg"), F.col("last.moment").alias("latest_event_timestamp"),
-        "is_event_timestamp_ambiguous")
+        key, F.col("first.pick.kind").alias("first_event_type"), F.col(f"first.{moment}").alias("first_event_timestamp"),
+        F.col("last.pick.kind").alias("latest_event_type_from_reg"),
+        F.col(f"last.{moment}").alias("latest_event_timestamp"), "is_event_timestamp_ambiguous")
 
 
 def enrich_course_work(course_work: DataFrame, registrations: DataFrame, tie: list[str] = ()) -> DataFrame:
