@@ -86,8 +86,8 @@ RAW = {
     "prog_enr_rec": """select cast(c_custkey as string) as id, prog, case when c_acctbal > 0 then 'BA' end as deg, c_mktsegment as major1, n_regionkey as acst,
         case when c_nationkey < 12 then 'A' when c_nationkey < 18 then 'C' else 'W' end as currenr, date '1995-01-01' as enr_date, date '1994-06-01' as adm_date,
         case when c_acctbal > 9000 then date '2000-06-30' end as deg_grant_date
-      from {customer} join {nation} on c_nationkey = n_nationkey
-      join (select distinct case when p_size > 25 then 'GRAD' else 'UNDG' end as prog from {part}) on prog = 'UNDG' or c_acctbal > 4000""",
+      from (select 'UNDG' as prog, * from {customer} union all select 'GRAD' as prog, * from {customer} where c_acctbal > 4000) as c
+      join {nation} on c_nationkey = n_nationkey""",
     "new_students": """select case when c_mktsegment = 'BUILDING' then concat('W', cast(c_custkey as string)) else cast(c_custkey as string) end as source_id,
         """ + MAIL.format("' ', ") + """ as email, concat('F', cast(c_nationkey as string)) as first_name, c_name as last_name,
         case when c_nationkey = 3 then null else date '1980-01-01' + c_nationkey * 300 end as birth_date,
@@ -199,7 +199,7 @@ def identities(t):
     cols = ["source_id", "email", "first_name", "last_name", "birth_date"]
     legacy = raw(t, "legacy_students").select(*cols)
     twice = legacy.unionAll(legacy)  # two programs per person
-    return identity.resolve_identities(new_students(t).select(*cols, "created_on", "other_id"), twice, CFG, at_most=t.customer)
+    return identity.resolve_identities(new_students(t).select(*cols, "created_on", "other_id"), twice, CFG)
 
 
 @query("model_identity", ctes("new_students", "legacy_students") + "," + IDENTITY + " select * from identities")

@@ -6,8 +6,9 @@ import datetime as dt
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # They are part of stored results, so they never change.
 NULL_KEY_TOKEN = "_dbt_utils_surrogate_key_null_"
@@ -39,6 +40,17 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="siltworks-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/siltworks/{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="siltworks-")
+
+
+def keep(df: DataFrame, folder: str) -> DataFrame:
+    """The table written to ``folder`` and read back, so later steps neither recompute it nor
+    depend on the executors that made it."""
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.parquet(folder)

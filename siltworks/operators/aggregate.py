@@ -39,10 +39,14 @@ def pivot_columns(column: str, values, agg: str = "sum", cmp: str = "=", prefix:
     return out
 
 
+def greatest_per(system: str, value: str, names: dict[str, str]) -> list[Column]:
+    """Greatest value of each system as its own aggregate column."""
+    return [F.max(F.when(F.col(system) == s, F.col(value))).alias(n) for s, n in names.items()]
+
+
 def pivot_ids(df: DataFrame, key: str, system: str, value: str, names: dict[str, str]) -> DataFrame:
     """One row per key with the greatest value of each system in its own column."""
-    cells = [F.max(F.when(F.col(system) == s, F.col(value))).alias(n) for s, n in names.items()]
-    return df.groupBy(key).agg(*cells)
+    return df.groupBy(key).agg(*greatest_per(system, value, names))
 
 
 def unpivot(df: DataFrame, keep: list[str], remove=(), cast_to: str = "string",
@@ -69,7 +73,7 @@ def single_value(df: DataFrame, value: Column, default, name: str = "value") ->
 
 
 def percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
-                rows_per_task: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+                rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Interpolated percentiles per group.
 
     The built-in aggregate keeps a group's distinct values in one task.  For large

@@ -22,14 +22,14 @@ SAMPLE_PER_CHUNK = 50
 MAX_SAMPLE = 50_000
 
 
-def chunks_needed(df: DataFrame, rows_per_task: int | None = None, at_most: DataFrame | None = None) -> int:
+def chunks_needed(df: DataFrame, rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> int:
     """How many ranges keep one task below ``rows_per_task`` rows.
 
-    ``at_most`` is a table known to have no fewer rows than ``df``; counting a
-    plain scan reads file footers only.
+    ``at_most`` is a number of rows, or a table, known to be no smaller than ``df``;
+    counting a plain scan reads file footers only.
     """
     limit = rows_per_task or ROWS_PER_TASK
-    rows = (df if at_most is None else at_most).count()
+    rows = at_most if isinstance(at_most, int) else (df if at_most is None else at_most).count()
     return 1 if rows <= limit else 2 * (rows // limit) + 1
 
 
@@ -88,19 +88,19 @@ def _neighbour(df, group, order, values, forward, rows_per_task, at_most):
 
 
 def previous_values(df: DataFrame, group: list[str], order: list[str], values: dict[str, Column],
-                    rows_per_task: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+                    rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Add, per group, values of the row before in ascending order (``lag``)."""
     return _neighbour(df, group, order, values, False, rows_per_task, at_most)
 
 
 def next_values(df: DataFrame, group: list[str], order: list[str], values: dict[str, Column],
-                rows_per_task: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+                rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Add, per group, values of the row after in ascending order (``lead``)."""
     return _neighbour(df, group, order, values, True, rows_per_task, at_most)
 
 
 def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, name: str,
-                rows_per_task: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+                rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Add the sum of ``value`` up to and including all rows equal in the order."""
     chunks = chunks_needed(df, rows_per_task, at_most)
     if chunks == 1:
@@ -116,7 +116,7 @@ def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, n
 
 
 def global_row_number(df: DataFrame, order: list[str], name: str,
-                      rows_per_task: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+                      rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Number all rows 1..n in an order without ties."""
     chunks = chunks_needed(df, rows_per_task, at_most)
     if chunks == 1:

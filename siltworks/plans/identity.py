@@ -8,10 +8,12 @@ whose email is not known to ``new``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.config import MASTER_ID_PREFIX, RunConfig
+from siltworks.config import MASTER_ID_PREFIX, RunConfig, keep, shared_dir
 from siltworks.functions.keys import master_id, row_hash
 from siltworks.functions.text import email_normalise
 from siltworks.operators.windows import first_per_key, global_row_number
@@ -38,14 +40,13 @@ def persons(new: DataFrame, legacy: DataFrame) -> DataFrame:
     """Every person once, under the id of the system that leads for them."""
     known = new.select(email_normalise(F.col("email")).alias("__mail")).where("__mail is not null")
     left = legacy.withColumn("__mail", email_normalise(F.col("email")))
-    legacy_only = left.join(known, "__mail", "left_anti")
-    cols = ["source_id", *ATTRIBUTES]
-    return new.select(F.lit(NEW).alias("source_system"), *cols).unionByName(
-        legacy_only.select(F.lit(LEGACY).alias("source_system"), *cols))
+    legacy_only = left.join(known, "__mail", "left_anti").drop("__mail")
+    return new.withColumn("source_system", F.lit(NEW)).unionByName(
+        legacy_only.withColumn("source_system", F.lit(LEGACY)), allowMissingColumns=True)
 
 
 def number_persons(people: DataFrame, previous: DataFrame | None = None, rows_per_task: int | None = None,
-                   at_most: DataFrame | None = None) -> DataFrame:
+                   at_most: DataFrame | int | None = None) -> DataFrame:
     """Add ``master_id``.  Stored persons keep theirs; new ones are numbered after the highest."""
     order = ["source_id", "source_system"]
     if previous is None:
@@ -70,41 +71,37 @@ def _rows(df: DataFrame, role: str, system: str, source_id, primary: bool, confi
         F.col("last_name").alias("tracked_last_name"), effective.cast("timestamp_ntz").alias("effective_date"))
 
 
-def identity_rows(new: DataFrame, legacy: DataFrame, ids: DataFrame, cfg: RunConfig,
-                  shared_email: str = "first") -> DataFrame:
+def identity_rows(people: DataFrame, legacy: DataFrame, cfg: RunConfig, shared_email: str = "first") -> DataFrame:
     """Current identity rows: one per person, role, system and source id, best confidence first.
 
-    An email shared by several persons of the new system links a legacy row to the
-    lowest of their ids ('first'), or to each of them ('all').
+    ``people`` are the numbered persons.  An email shared by several persons of the
+    new system links a legacy row to the lowest of their ids ('first'), or to each
+    of them ('all').
     """
     run = F.lit(cfg.run_time).cast("timestamp_ntz")
-    by_system = {s: ids.where(F.col("source_system") == s).drop("source_system") for s in (NEW, LEGACY)}
-    new_ids = by_system[NEW].select("source_id", "master_id")
-    new_rows = new.join(new_ids, "source_id")
-    legacy_primary = legacy.join(by_system[LEGACY].select("source_id", "master_id"), "source_id")
+    new = people.where(F.col("source_system") == NEW)
+    legacy_only = people.where(F.col("source_system") == LEGACY)
 
     mail = email_normalise(F.col("email"))
-    owners = by_system[NEW].select(mail.alias("__mail"), "source_id", "master_id").where("__mail is not null")
+    owners = new.select(mail.alias("__mail"), "source_id", "master_id").where("__mail is not null")
     if shared_email == "first":
         owners = owners.groupBy("__mail").agg(F.min_by("master_id", "source_id").alias("master_id"))
     elif shared_email != "all":
         raise ValueError("shared_email is 'first' or 'all'")
     linked = legacy.withColumn("__mail", mail).join(owners.select("__mail", "master_id"), "__mail")
 
-    same_id = new_rows.join(legacy.select("source_id"), "source_id", "left_semi")
+    same_id = new.join(legacy.select("source_id"), "source_id", "left_semi")
     rows = [
-        _rows(new_rows, STUDENT, NEW, F.col("source_id"), True, 1.00, SYSTEM_OF_RECORD,
+        _rows(new, STUDENT, NEW, F.col("source_id"), True, 1.00, SYSTEM_OF_RECORD,
               F.coalesce(F.col("created_on").cast("timestamp_ntz"), run)),
         _rows(linked, STUDENT, LEGACY, F.col("source_id"), False, 0.95, EMAIL_MATCH, run),
-        _rows(legacy_primary, STUDENT, LEGACY, F.col("source_id"), True, 1.00, SYSTEM_OF_RECORD, run),
+        _rows(legacy_only, STUDENT, LEGACY, F.col("source_id"), True, 1.00, SYSTEM_OF_RECORD, run),
         _rows(same_id, STUDENT, LEGACY, F.col("source_id"), False, 0.98, REFERENCE_ID_MATCH, run),
-        _rows(new_rows.where("other_id is not null"), PROSPECT, ADMISSIONS, F.col("other_id"), False, 0.95,
+        _rows(new.where("other_id is not null"), PROSPECT, ADMISSIONS, F.col("other_id"), False, 0.95,
               OTHER_IDS_PARSE, run),
     ]
-    every = rows[0]
-    for r in rows[1:]:
-        every = every.unionByName(r)
-    return first_per_key(every, IDENTITY_KEY, [F.col("match_confidence").desc(), F.col("match_method")])
+    return first_per_key(reduce(DataFrame.unionByName, rows), IDENTITY_KEY,
+                         [F.col("match_confidence").desc(), F.col("match_method")])
 
 
 def with_scd(rows: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -125,21 +122,25 @@ def _time_text(column: str) -> Column:
 
 
 def resolve_identities(new: DataFrame, legacy: DataFrame, cfg: RunConfig, previous: DataFrame | None = None,
-                       shared_email: str = "first", rows_per_task: int | None = None,
-                       at_most: DataFrame | None = None) -> DataFrame:
+                       shared_email: str = "first", folder: str | None = None,
+                       rows_per_task: int | None = None) -> DataFrame:
     """Next state of the identity table.
 
     First run: all rows.  Later runs: rows whose tracked attributes changed close
-    their stored version and open another one; the rest stays as stored.
+    their stored version and open another one; the rest stays as stored.  Steps that
+    several others read are written once to ``folder`` (by default a new shared one).
     """
-    new, legacy = one_row_per_id(new), one_row_per_id(legacy)
-    ids = number_persons(persons(new, legacy), previous, rows_per_task, at_most)
-    rows = with_scd(identity_rows(new, legacy, ids, cfg, shared_email), cfg)
+    folder = folder or shared_dir(new.sparkSession)
+    at_most = new.count() + legacy.count()
+    legacy = keep(one_row_per_id(legacy), f"{folder}/legacy")
+    people = number_persons(persons(one_row_per_id(new), legacy), previous, rows_per_task, at_most)
+    people = keep(people, f"{folder}/people")
+    rows = with_scd(identity_rows(people, legacy, cfg, shared_email), cfg)
     if previous is None:
         return rows
     current = previous.where("is_current").select(*IDENTITY_KEY, F.col("row_hash").alias("__hash"))
-    changed = rows.join(current, IDENTITY_KEY, "left").where(
-        F.col("__hash").isNull() | (F.col("__hash") != F.col("row_hash")))
+    changed = keep(rows.join(current, IDENTITY_KEY, "left").where(
+        F.col("__hash").isNull() | (F.col("__hash") != F.col("row_hash"))), f"{folder}/changed")
     run = F.lit(cfg.run_time).cast("timestamp_ntz")
     opened = changed.withColumn("effective_date", F.when(F.col("__hash").isNull(), F.col("effective_date")).otherwise(run))
     opened = with_scd(opened.drop("__hash"), cfg).select(*previous.columns)

@@ -95,7 +95,7 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], partition_by: lis
 # --- history -----------------------------------------------------------------------
 
 def history_intervals(df: DataFrame, key: list[str], ts: str, tie: list[str] = (),
-                      rows_per_task: int | None = None, at_most: DataFrame | None = None) -> DataFrame:
+                      rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Valid-from / valid-to of each version; the newest one is current."""
     out = next_values(df.withColumn("effective_date", F.col(ts)), key, [ts, *tie], {"end_date": F.col(ts)},
                       rows_per_task, at_most)
