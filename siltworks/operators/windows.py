@@ -4,8 +4,9 @@ A window puts all rows of its group into one task.  That is fine while the whole
 input is small enough for one task (``rows_per_task``); beyond it, the order
 domain is cut into ranges, the window runs per (group, range), and a second
 window over one summary row per (group, range) carries values across the cuts.
-The cuts come from a bounded sample, so they steer only the balance: rows that
-are equal in the order always share a range, and every result is exact.
+The cuts come from a bounded sample (or Spark's range partitioner), so they steer
+only the balance: rows that are equal in the order always share a range, and every
+result is exact.
 """
 
 from __future__ import annotations
@@ -15,28 +16,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.config import ROWS_PER_TASK
+from siltworks.config import ROWS_PER_TASK, keep, shared_dir
 
 CHUNK = "__chunk"
-SAMPLE_PER_CHUNK = 50
-MAX_SAMPLE = 50_000
+SAMPLE_PER_CHUNK = 200
+MAX_CUTS = 32
+MAX_CHUNKS = 20_000
 
 
 def chunks_needed(df: DataFrame, rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> int:
-    """How many ranges keep one task below ``rows_per_task`` rows.
+    """How many ranges keep one task near or below ``rows_per_task`` rows.
 
     ``at_most`` is a number of rows, or a table, known to be no smaller than ``df``;
     counting a plain scan reads file footers only.
     """
     limit = rows_per_task or ROWS_PER_TASK
     rows = at_most if isinstance(at_most, int) else (df if at_most is None else at_most).count()
-    return 1 if rows <= limit else 2 * (rows // limit) + 1
+    return 1 if rows <= limit else min(2 * (rows // limit) + 1, MAX_CHUNKS)
 
 
 def with_chunk(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
-    """Add the range number of each row, rising with the ascending order (nulls first)."""
+    """Add the range number of each row, rising with the ascending order (nulls first).
+
+    A few cuts become one expression; for many, Spark range-partitions the rows and
+    the result is written, which fixes each row's range for all later steps.
+    """
+    if chunks > MAX_CUTS:
+        ranged = df.repartitionByRange(chunks, *order).withColumn(CHUNK, F.spark_partition_id())
+        return keep(ranged, shared_dir(df.sparkSession))
     types = dict(df.dtypes)
-    sampled = df.select(*order).orderBy(F.rand(17)).limit(min(SAMPLE_PER_CHUNK * chunks, MAX_SAMPLE))
+    sampled = df.select(*order).orderBy(F.rand(17)).limit(SAMPLE_PER_CHUNK * chunks)
     rows = sampled.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()
     cuts = list(dict.fromkeys(tuple(rows[len(rows) * i // chunks]) for i in range(1, chunks))) if rows else []
     key = F.struct(*[F.col(c) for c in order])
@@ -141,11 +150,6 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
 
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")
-
-
 def share_of_total(summary: DataFrame, count: str, name: str) -> DataFrame:
     """Percent of the column's total, two decimals; the input is one row per category."""
     total = F.sum(count).over(Window.partitionBy())

@@ -1,8 +1,9 @@
 """Stored tables: full refresh, merge, incremental append, history and layout.
 
-A table is a folder of complete versions.  A version counts only once its number
-is in the ``_current`` list, which is written last, so a job that dies leaves the
-table as it was and readers never see half a version.
+A table is a folder of parts.  A part counts only once it is in the ``_current``
+list, which is written last, so a job that dies leaves the table as it was and
+readers never see half a write.  Appends add a part; merges write a new full one
+(plain parquet has no row-level merge).
 """
 
 from __future__ import annotations
@@ -17,32 +18,41 @@ POLICIES = ("sync_all_columns", "append_new_columns", "fail")
 
 
 class StoredTable:
+    """Parts ``v<first>`` to ``v<last>`` under one folder; a full write starts a new first part."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _version(self) -> int:
+    def _live(self) -> tuple[int, int]:
         try:
-            last = self.spark.read.schema("version bigint").parquet(f"{self.path}/_current")
-            return last.agg(F.max("version")).first()[0] or 0
+            marks = self.spark.read.schema("first bigint, last bigint").parquet(f"{self.path}/_current")
+            return tuple(marks.agg(F.max(F.struct("last", "first")).alias("m")).select("m.first", "m.last").first())
         except AnalysisException:
-            return 0
+            return 0, 0
+
+    def _commit(self, df: DataFrame, first: int, last: int) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.path}/v{last}")
+        mark = self.spark.range(1).select(F.lit(first).cast("bigint").alias("first"), F.lit(last).cast("bigint").alias("last"))
+        mark.coalesce(1).write.mode("append").parquet(f"{self.path}/_current")
+        return self.read()
 
     def exists(self) -> bool:
-        return self._version() > 0
+        return self._live()[1] > 0
 
     def read(self) -> DataFrame:
-        version = self._version()
-        if not version:
+        """All live parts under the columns of the newest one, which has every column."""
+        first, last = self._live()
+        if not last:
             raise FileNotFoundError(f"no version of {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v{version}")
+        newest = self.spark.read.parquet(f"{self.path}/v{last}")
+        if first == last:
+            return newest
+        return self.spark.read.schema(newest.schema).parquet(*[f"{self.path}/v{i}" for i in range(first, last + 1)])
 
     def overwrite(self, df: DataFrame) -> DataFrame:
         """Write a new complete version and make it the current one."""
-        version = self._version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-        mark = self.spark.range(version, version + 1, 1, 1).withColumnRenamed("id", "version")
-        mark.write.mode("append").parquet(f"{self.path}/_current")
-        return self.read()
+        version = self._live()[1] + 1
+        return self._commit(df, version, version)
 
     def merge(self, source: DataFrame, keys: list[str], on_schema_change: str = "append_new_columns") -> DataFrame:
         """Replace rows whose keys are in the source, add the others."""
@@ -51,11 +61,17 @@ class StoredTable:
         return self.overwrite(merge_rows(self.read(), source, keys, on_schema_change))
 
     def append_newer(self, source: DataFrame, ts: str, on_schema_change: str = "append_new_columns") -> DataFrame:
-        """Add only source rows newer than the newest stored one."""
+        """Add source rows newer than the newest stored one; stored parts are not rewritten
+        unless the policy drops columns."""
         if not self.exists():
             return self.overwrite(source)
         target = self.read()
-        return self.overwrite(evolve(target, newer_rows(source, target, ts), on_schema_change))
+        added = newer_rows(source, target, ts)
+        aligned = evolve(target.limit(0), added, on_schema_change)
+        if set(target.columns) - set(aligned.columns):
+            return self.overwrite(evolve(target, added, on_schema_change))
+        first, last = self._live()
+        return self._commit(aligned, first, last + 1)
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],

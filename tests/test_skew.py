@@ -12,7 +12,14 @@ from siltworks.operators.aggregate import percentiles
 from siltworks.quality.checks import mutually_exclusive_ranges, sequential_values
 from siltworks.sources.stored import history_intervals
 
-TINY = 60
+TINY = 100
+
+
+@pytest.fixture(autouse=True, params=["expression", "written ranges"])
+def cuts(request, monkeypatch):
+    """Both ways to cut the order domain."""
+    if request.param != "expression":
+        monkeypatch.setattr(w, "MAX_CUTS", 1)
 
 
 @pytest.fixture(scope="module")
@@ -65,7 +72,7 @@ def test_chunks_are_small_and_ordered(hot):
     chunks = w.chunks_needed(hot, TINY)
     out = w.with_chunk(hot, ["s", "id"], chunks)
     sizes = out.groupBy(w.CHUNK).agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy(w.CHUNK).collect()
-    assert len(sizes) > 10 and max(r["n"] for r in sizes) < 6 * TINY
+    assert len(sizes) > 10 and max(r["n"] for r in sizes) < 4 * TINY
     assert all(a["hi"] <= b["lo"] for a, b in zip(sizes, sizes[1:]))
 
 

@@ -64,6 +64,12 @@ def test_high_water_mark(spark, tmp_path):
     table.append_newer(first, "ts")
     more = spark.createDataFrame([(2, 20), (3, 15), (4, 30)], "id int, ts int")
     assert sorted(r["id"] for r in table.append_newer(more, "ts").collect()) == [1, 2, 4]
+    wider = spark.createDataFrame([(5, 40, "n")], "id int, ts int, note string")
+    assert sorted((r["id"], r["note"]) for r in table.append_newer(wider, "ts").collect() if r["id"] > 3) == [(4, None), (5, "n")]
+    narrow = spark.createDataFrame([(6, 50)], "id int, ts int")
+    assert table.append_newer(narrow, "ts").columns == ["id", "ts", "note"]
+    assert table.append_newer(spark.createDataFrame([(7, 60)], "id int, ts int"), "ts", "sync_all_columns").columns == ["id", "ts"]
+    assert table.read().count() == 6
     empty = spark.createDataFrame([], "id int, ts int")
     assert stored.newer_rows(more, empty, "ts").count() == 3
 
