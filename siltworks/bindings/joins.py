@@ -121,9 +121,9 @@ def _(t):
 
 
 @query("join_cross", """
-select n_nationkey, n_name, cast(i as integer) as series_number from nation cross join (select unnest(generate_series(1, 10)) as i)""")
+select c_custkey, c_name, cast(i as integer) as series_number from customer cross join (select unnest(generate_series(1, 10)) as i)""")
 def _(t):
-    return joins.repeat_over_series(t.nation.select("n_nationkey", "n_name"), 10, "series_number")
+    return joins.repeat_over_series(t.customer.select("c_custkey", "c_name"), 10, "series_number")
 
 
 @query("join_full_outer", """

@@ -372,15 +372,15 @@ def _(t):
 
 
 @query("model_dim_gender", f"""
-select md5(n_name) as gender_key, n_name as gender_code, concat('Name ', n_nationkey) as gender_name, case when n_regionkey < 2 then 'Binary' else 'Unknown' end as gender_category,
-  true as is_active, n_nationkey as sort_order, {RUN_SQL} as _loaded_at, 'SEED' as _source_system, 'PUBLIC' as _data_classification, 'COMMON' as _data_owner
-from nation where n_regionkey <> 3""")
+select md5(s_name) as gender_key, s_name as gender_code, concat('Name ', s_nationkey) as gender_name, case when s_nationkey < 10 then 'Binary' else 'Unknown' end as gender_category,
+  true as is_active, s_nationkey as sort_order, {RUN_SQL} as _loaded_at, 'SEED' as _source_system, 'PUBLIC' as _data_classification, 'COMMON' as _data_owner
+from supplier where s_acctbal > 0""")
 def _(t):
-    """A seed file in the shape of the gender seed, written from nation."""
+    """A seed file in the shape of the gender seed, written from supplier."""
     folder = shared_dir(t.spark)
-    kind = F.when(col("n_regionkey") < 2, "Binary").otherwise("Unknown")
-    seed = t.nation.select(col("n_name").alias("gender_code"), F.concat(F.lit("Name "), col("n_nationkey").cast("string")).alias("gender_name"),
-                           kind.alias("gender_category"), (col("n_regionkey") != 3).alias("is_active"), col("n_nationkey").alias("sort_order"))
+    kind = F.when(col("s_nationkey") < 10, "Binary").otherwise("Unknown")
+    seed = t.supplier.select(col("s_name").alias("gender_code"), F.concat(F.lit("Name "), col("s_nationkey").cast("string")).alias("gender_name"),
+                             kind.alias("gender_category"), (col("s_acctbal") > 0).alias("is_active"), col("s_nationkey").alias("sort_order"))
     seed.write.mode("overwrite").option("header", True).csv(folder)
     read = loads.load_seed(t.spark, folder, "gender_code string, gender_name string, gender_category string, is_active boolean, sort_order int")
     return star_schema.gender_dimension(read, CFG.run_time)

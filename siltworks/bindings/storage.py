@@ -36,16 +36,14 @@ def _(t):
 
 
 @query("seed_load", """
-select n_nationkey as nation_code, n_name as nation_name, n_regionkey > 1 as is_active, n_regionkey as sort_order from nation""")
+select s_suppkey as code, s_name as name, s_acctbal > 0 as is_active, s_nationkey as sort_order from supplier""")
 def _(t):
-    """A reference CSV whose header and values have blanks around them."""
+    """A reference CSV with blanks after the commas, in header and values."""
     folder = shared_dir(t.spark)
-    header = t.nation.agg(F.lit("nation_code, nation_name, is_active, sort_order").alias("value"))
-    rows = t.nation.select(F.concat_ws(", ", col("n_nationkey").cast("string"), "n_name",
-                                       (col("n_regionkey") > 1).cast("string"), col("n_regionkey").cast("string")).alias("value"))
-    lines = header.withColumn("o", F.lit(0)).unionByName(rows.withColumn("o", F.lit(1)))
-    lines.coalesce(1).sortWithinPartitions("o").select("value").write.mode("overwrite").text(folder)
-    return loads.load_seed(t.spark, folder, "nation_code int, nation_name string, is_active boolean, sort_order int")
+    parts = [F.concat(F.lit(" "), c.cast("string")) for c in (col("s_name"), col("s_acctbal") > 0, col("s_nationkey"))]
+    rows = t.supplier.select("s_suppkey", *parts).toDF("code", " name", " is_active", " sort_order")
+    rows.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).csv(folder)
+    return loads.load_seed(t.spark, folder, "code bigint, name string, is_active boolean, sort_order int")
 
 
 @query("stamp_missing_lineage", f"""

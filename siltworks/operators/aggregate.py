@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.operators.windows import chunks_needed, running_sum, same
+from siltworks.operators.windows import chunks_needed, running_totals, same
 
 AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 COMPARISONS = {
@@ -80,11 +80,12 @@ def percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str
     inputs the rank comes from running counts of the value frequencies, which are
     spread over tasks.
     """
-    if chunks_needed(df, rows_per_task, at_most) == 1:
+    chunks = chunks_needed(df, rows_per_task, at_most)
+    if chunks == 1:
         return df.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(n) for n, q in quantiles.items()])
     freq = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("__v"))
     freq = freq.agg(F.count("*").alias("__n"))
-    ranked = running_sum(freq, group, ["__v"], "__n", "__upto", rows_per_task)
+    ranked = running_totals(freq, group, ["__v"], "__n", "__upto", chunks)
     sizes = freq.groupBy(*group).agg(F.sum("__n").alias("__size"))
     if group:
         right = sizes.select(*[F.col(g).alias(f"__s_{g}") for g in group], "__size")

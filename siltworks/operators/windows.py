@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from siltworks.config import ROWS_PER_TASK, keep, shared_dir
 
 CHUNK = "__chunk"
+TIE = "__tie"
 SAMPLE_PER_CHUNK = 200
 MAX_CUTS = 32
 MAX_CHUNKS = 20_000
@@ -77,6 +78,8 @@ def _carry(chunked: DataFrame, carried: DataFrame, group: list[str]) -> DataFram
 
 def _neighbour(df, group, order, values, forward, rows_per_task, at_most):
     names = list(values)
+    if TIE not in df.columns:
+        df = df.withColumn(TIE, F.xxhash64(*df.columns))
     shift = F.lead if forward else F.lag
     chunks = chunks_needed(df, rows_per_task, at_most)
     df = df.withColumn("__values", F.struct(*[values[n].alias(n) for n in names]))
@@ -84,6 +87,7 @@ def _neighbour(df, group, order, values, forward, rows_per_task, at_most):
         w = Window.partitionBy(*group).orderBy(*order)
         out = df.withColumn("__near", shift("__values").over(w))
     else:
+        order = [*order, TIE]  # rows equal in the order may spread over ranges
         df = with_chunk(df, order, chunks)
         edge = F.min_by if forward else F.max_by
         edges = df.groupBy(*group, CHUNK).agg(edge("__values", F.struct(*order)).alias("__edge"))
@@ -110,10 +114,23 @@ def next_values(df: DataFrame, group: list[str], order: list[str], values: dict[
 
 def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, name: str,
                 rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
-    """Add the sum of ``value`` up to and including all rows equal in the order."""
+    """Add the sum of ``value`` up to and including all rows equal in the order.
+
+    In the split form rows equal in group and order are summed first, so neither a
+    hot group nor a hot order value meets in one task.
+    """
     chunks = chunks_needed(df, rows_per_task, at_most)
     if chunks == 1:
         return df.withColumn(name, F.sum(value).over(Window.partitionBy(*group).orderBy(*order)))
+    keys = [*group, *order]
+    sums = running_totals(df.groupBy(*keys).agg(F.sum(value).alias("__value")), group, order, "__value", name, chunks)
+    right = sums.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
+    on = same([df[k] for k in keys], [right[f"__r_{k}"] for k in keys])
+    return df.join(right, on).drop(*[f"__r_{k}" for k in keys])
+
+
+def running_totals(df: DataFrame, group: list[str], order: list[str], value: str, name: str, chunks: int) -> DataFrame:
+    """Split running sum over rows that are unique in group and order."""
     df = with_chunk(df, order, chunks)
     before = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*group, CHUNK).agg(F.sum(value).alias("__total"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltworks.functions.dates import shift
 from siltworks.operators.joins import full_outer
 from siltworks.operators.tables import symmetric_difference
-from siltworks.operators.windows import next_values, previous_values
+from siltworks.operators.windows import TIE, next_values, previous_values
 
 IGNORE_RULES = ("all_values_are_missing", "any_value_is_missing")
 
@@ -162,12 +162,13 @@ def mutually_exclusive_ranges(df, lower, upper, partition_by=(), gaps="allowed",
     if gaps not in rules:
         raise ValueError(f"gaps is one of {sorted(rules)}")
     group = list(partition_by)
-    ranges = df.select(*group, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
+    ranges = df.select(*group, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"),
+                       F.xxhash64(*df.columns).alias(TIE))
     order = ["lower_bound", "upper_bound"]
     out = next_values(ranges, group, order,
-                      {"next_lower_bound": F.col("lower_bound"), "__more": F.lit(True)}, rows_per_task, at_most)
+                      {"next_lower_bound": F.col("lower_bound"), "has_next": F.lit(True)}, rows_per_task, at_most)
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
-    out = out.withColumn("is_last_record", F.col("__more").isNull()).drop("__more")
+    out = out.withColumn("is_last_record", F.col("has_next").isNull()).drop("has_next")
     own = low <= high if zero_length_allowed else low < high
     out = out.withColumn("is_valid_range", F.coalesce(own, F.lit(False)))
     out = out.withColumn("is_valid_next", F.coalesce(rules[gaps](high, following), F.col("is_last_record")))
@@ -186,7 +187,7 @@ def recency(df, field, datepart, interval, now, ignore_time=False, group_by=()):
 def sequential_values(df, column, interval=1, datepart=None, group_by=(), rows_per_task=None, at_most=None):
     """Values that are not one step after the value before; the first of a group passes."""
     group, before = list(group_by), f"previous_{column}"
-    rows = df.select(*group, column)
+    rows = df.select(*group, column, F.xxhash64(*df.columns).alias(TIE))
     out = previous_values(rows, group, [column], {before: F.col(column)}, rows_per_task, at_most)
     wanted = F.col(before) + interval if datepart is None else shift(F.col(before), datepart, interval)
     here = F.col(column) if datepart is None else F.col(column).cast("timestamp_ntz")

@@ -103,8 +103,11 @@ def evolve(target: DataFrame, incoming: DataFrame, on_schema_change: str) -> Dat
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> None:
-    """Range-partitioned, sorted files, so file and row-group statistics prune on the keys."""
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    """Range-partitioned, sorted files, so file and row-group statistics prune on the keys.
+
+    A row hash ends the range key, so rows of one hot key fill several files.
+    """
+    out = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys).write.mode("overwrite")
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
