@@ -54,24 +54,21 @@ def _(t):
 
 @query("compare_column", f"""
 with a as ({A_SQL}), b as ({B_SQL}),
-j as (select case when a.o_orderstatus = b.o_orderstatus then '✅: perfect match'
-    when a.o_orderstatus is null and b.o_orderstatus is null then '✅: both are null'
-    when a.o_orderkey is null then '🤷: ‍missing from a' when b.o_orderkey is null then '🤷: missing from b'
-    when a.o_orderstatus is null then '🤷: value is null in a only' when b.o_orderstatus is null then '🤷: value is null in b only'
-    else '🙅: ‍values do not match' end as match_status
-  from a full outer join b on a.o_orderkey = b.o_orderkey)
-select 'o_orderstatus' as column_name, match_status, count(*) as count_records,
-  round(100.0 * count(*) / sum(count(*)) over (), 2) as percent_of_total from j group by 2""")
+pairs as (select a.o_orderkey as ka, b.o_orderkey as kb, a.o_orderstatus as va, b.o_orderstatus as vb from a full outer join b on a.o_orderkey = b.o_orderkey),
+n as (select if(va is not distinct from vb, if(va is null, 1, 0), if(ka is null, 2, if(kb is null, 3, if(va is null, 4, if(vb is null, 5, 6))))) as state, count(*) as count_records
+  from pairs group by 1)
+select 'o_orderstatus' as column_name, label as match_status, count_records, round(100.0 * count_records / sum(count_records) over (), 2) as percent_of_total
+from n join (values {', '.join(f"({i}, '{s}')" for i, s in enumerate(compare.MATCH_STATES))}) as labels(state, label) using (state)""")
 def _(t):
     return compare.compare_column(*sides(t), "o_orderkey", "o_orderstatus")
 
 
 def _cell_sql(c):
     return f"""select coalesce(a.o_orderkey, b.o_orderkey) as primary_key, '{c}' as column_name,
-  coalesce(a.{c} = b.{c} and a.o_orderkey is not null and b.o_orderkey is not null, a.{c} is null and b.{c} is null, false) as perfect_match,
+  a.{c} is not distinct from b.{c} as perfect_match,
   a.{c} is null and a.o_orderkey is not null as null_in_a, b.{c} is null and b.o_orderkey is not null as null_in_b,
   a.o_orderkey is null as missing_from_a, b.o_orderkey is null as missing_from_b,
-  coalesce(a.o_orderkey is not null and b.o_orderkey is not null and a.{c} is distinct from b.{c}, false) as conflicting_values
+  a.o_orderkey = b.o_orderkey is true and a.{c} is distinct from b.{c} as conflicting_values
 from a full outer join b on a.o_orderkey = b.o_orderkey"""
 
 

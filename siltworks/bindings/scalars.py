@@ -248,16 +248,13 @@ def _(t):
 select event_id, cast(floor(epoch(ts)) as bigint) as seconds, date_trunc('second', ts) as from_seconds,
   date_trunc('millisecond', ts) as from_millis, ts as from_micros, ts as from_nanos from events""")
 def _(t):
-    micros = F.unix_micros(col("ts").cast("timestamp"))
+    micros = d.unix_micros(col("ts"))
     rows = t.events.select("event_id", d.to_unix(col("ts")).alias("seconds"), micros.alias("us"))
 
-    def ntz(c, unit):
-        return d.from_unix(c, unit).cast("timestamp_ntz")
-
-    return rows.select("event_id", "seconds", ntz(col("seconds"), "seconds").alias("from_seconds"),
-                       ntz(F.floor(col("us") / 1000), "milliseconds").alias("from_millis"),
-                       ntz(col("us"), "microseconds").alias("from_micros"),
-                       ntz(col("us").cast("decimal(25,0)") * 1000, "nanoseconds").alias("from_nanos"))
+    return rows.select("event_id", "seconds", d.from_unix(col("seconds")).alias("from_seconds"),
+                       d.from_unix(F.floor(col("us") / 1000), "milliseconds").alias("from_millis"),
+                       d.from_unix(col("us"), "microseconds").alias("from_micros"),
+                       d.from_unix(col("us").cast("decimal(25,0)") * 1000, "nanoseconds").alias("from_nanos"))
 
 
 @query("round_timestamp", "select event_id, date_trunc('day', ts + interval 12 hour) as nearest_day from events")

@@ -10,8 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNIX_UNITS = {"seconds": 1_000_000, "milliseconds": 1_000, "microseconds": 1}
-DAY_PARTS = ("year", "quarter", "month", "week", "day")
-TIME_PARTS = {"hour": 3600, "minute": 60, "second": 1}
+TIME_PARTS = ("hour", "minute", "second")
 
 
 def as_date(value) -> Column:
@@ -66,7 +65,7 @@ def week_of_year(c: Column, mode: str = "iso") -> Column:
 def shift(c: Column, part: str, n) -> Column:
     """Timestamp moved by ``n`` parts."""
     step = n if isinstance(n, Column) else F.lit(n)
-    return F.timestamp_add(part.upper(), step.cast("int"), c)
+    return F.timestamp_add(part.upper(), step.cast("bigint"), c)
 
 
 def shift_date(c: Column, part: str, n: int) -> Column:
@@ -91,8 +90,8 @@ def last_day(c: Column, part: str = "month") -> Column:
 def boundary_diff(start: Column, end: Column, part: str) -> Column:
     """How many starts of ``part`` lie between the two, not how many full parts."""
     if part in TIME_PARTS:
-        a, b = (F.date_trunc(part, x.cast("timestamp_ntz")).cast("timestamp") for x in (start, end))
-        return F.floor((F.unix_timestamp(b) - F.unix_timestamp(a)) / TIME_PARTS[part]).cast("int")
+        a, b = (F.date_trunc(part, x).cast("timestamp_ntz") for x in (start, end))
+        return F.timestamp_diff(part.upper(), a, b).cast("int")
     years = F.year(end) - F.year(start)
     if part == "year":
         return years
@@ -195,17 +194,28 @@ def today(now, time_zone: str = "UTC") -> Column:
     return convert_timezone(F.lit(now), time_zone).cast("date")
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def from_unix(c: Column, unit: str = "seconds") -> Column:
+    """UTC wall-clock time of a count since 1970, whatever the session's zone."""
     if unit == "nanoseconds":
-        return F.timestamp_micros((c / 1000).cast("bigint"))
-    if unit not in UNIX_UNITS:
+        micros = F.floor(c / 1000)
+    elif unit in UNIX_UNITS:
+        micros = c.cast("bigint") * UNIX_UNITS[unit]
+    else:
         raise ValueError(f"unit is one of {[*UNIX_UNITS, 'nanoseconds']}")
-    return F.timestamp_micros(c.cast("bigint") * UNIX_UNITS[unit])
+    return F.timestamp_add("MICROSECOND", micros.cast("bigint"), _epoch())
+
+
+def unix_micros(ts: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", _epoch(), ts.cast("timestamp_ntz"))
 
 
 def to_unix(ts: Column) -> Column:
-    """Seconds since 1970 of a UTC wall-clock or zoned timestamp."""
-    return F.unix_timestamp(ts.cast("timestamp"))
+    """Whole seconds since 1970 of a UTC wall-clock time."""
+    return F.floor(unix_micros(ts) / 1_000_000)
 
 
 def make_day(year, month, day) -> Column:

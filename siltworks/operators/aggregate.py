@@ -108,3 +108,14 @@ def percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str
     right = result.select(*[F.col(g).alias(f"__s_{g}") for g in group], *quantiles)
     on = same([groups[g] for g in group], [right[f"__s_{g}"] for g in group])
     return groups.join(right, on, "left").select(*group, *quantiles)
+
+
+def with_percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
+                     rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
+    """Each row with the percentiles of its group: the windowed form, as a join to one row per group."""
+    found = percentiles(df, group, value, quantiles, rows_per_task, at_most)
+    if not group:
+        return df.withColumns({n: found.select(n).scalar() for n in quantiles})
+    right = found.select(*[F.col(g).alias(f"__p_{g}") for g in group], *quantiles)
+    on = same([df[g] for g in group], [right[f"__p_{g}"] for g in group])
+    return df.join(right, on, "left").drop(*[f"__p_{g}" for g in group])

@@ -18,7 +18,6 @@ MATCH_STATES = (
     "🤷: value is null in a only",
     "🤷: value is null in b only",
     "🙅: ‍values do not match",
-    "unknown",
 )
 
 
@@ -46,9 +45,10 @@ def compare_column(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFra
         return df.groupBy(F.col(key).alias("k"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
 
     j = full_outer(side(a), side(b), ["k"])
-    av, bv, ak, bk = F.col("a_v"), F.col("b_v"), F.col("a_k"), F.col("b_k")
-    state = (F.when(av == bv, 0).when(av.isNull() & bv.isNull(), 1).when(ak.isNull(), 2).when(bk.isNull(), 3)
-             .when(av.isNull(), 4).when(bv.isNull(), 5).when(av != bv, 6).otherwise(7))
+    av, bv = F.col("a_v"), F.col("b_v")
+    one_side = F.when(F.col("a_k").isNull(), 2).when(F.col("b_k").isNull(), 3)
+    state = F.when(av.eqNullSafe(bv), av.isNull().cast("int")).otherwise(
+        F.coalesce(one_side, F.when(av.isNull(), 4).when(bv.isNull(), 5).otherwise(6)))
     weight = F.coalesce("a_n", F.lit(1)) * F.coalesce("b_n", F.lit(1))
     counts = j.groupBy(state.alias("__state")).agg(F.sum(weight).alias("count_records"))
     label = F.element_at(F.array(*[F.lit(s) for s in MATCH_STATES]), F.col("__state") + 1)
@@ -57,15 +57,15 @@ def compare_column(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFra
 
 
 def _cell_flags(av, bv, ak, bk):
-    both = ak.isNotNull() & bk.isNotNull()
-    differ = F.coalesce(av != bv, F.lit(False)) | (av.isNotNull() & bv.isNull()) | (av.isNull() & bv.isNotNull())
+    """Equal non-null values can only come from a matched pair, so one null-safe test decides."""
+    equal = av.eqNullSafe(bv)
     return {
-        "perfect_match": F.coalesce((av == bv) & both, av.isNull() & bv.isNull()),
-        "null_in_a": av.isNull() & ak.isNotNull(),
-        "null_in_b": bv.isNull() & bk.isNotNull(),
+        "perfect_match": equal,
+        "null_in_a": ak.isNotNull() & av.isNull(),
+        "null_in_b": bk.isNotNull() & bv.isNull(),
         "missing_from_a": ak.isNull(),
         "missing_from_b": bk.isNull(),
-        "conflicting_values": both & differ,
+        "conflicting_values": ak.isNotNull() & bk.isNotNull() & ~equal,
     }
 
 

@@ -68,6 +68,15 @@ def test_percentiles(hot, group):
         assert b[k] == [None if x is None else pytest.approx(x) for x in a[k]], k
 
 
+def test_percentiles_on_rows(hot, rows):
+    win = Window.partitionBy("g")
+    plain = hot.select("id", F.percentile("v", F.lit(0.5)).over(win).alias("m"))
+    from siltworks.operators.aggregate import with_percentiles
+
+    assert rows(with_percentiles(hot, ["g"], "v", {"m": 0.5}, TINY).select("id", "m")) == rows(plain)
+    assert with_percentiles(hot, [], "v", {"m": 0.5}).select("m").distinct().count() == 1
+
+
 def test_chunks_are_small_and_ordered(hot):
     chunks = w.chunks_needed(hot, TINY)
     out = w.with_chunk(hot, ["s", "id"], chunks)
