@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.operators.windows import chunks_needed, running_totals, same
+from siltworks.operators.windows import by_group_size, running_totals, same
 
 AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 COMPARISONS = {
@@ -76,36 +76,41 @@ def percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str
                 rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Interpolated percentiles per group.
 
-    The built-in aggregate keeps a group's distinct values in one task.  For large
-    inputs the rank comes from running counts of the value frequencies, which are
-    spread over tasks.
+    The built-in aggregate keeps a group's distinct values in one task.  For groups
+    too large for that the rank comes from running counts of the value frequencies,
+    which are spread over tasks.
     """
-    chunks = chunks_needed(df, rows_per_task, at_most)
-    if chunks == 1:
-        return df.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(n) for n, q in quantiles.items()])
+    def plain(rows):
+        return rows.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(n) for n, q in quantiles.items()])
+
+    return by_group_size(df, group, plain, lambda rows, ranges: _ranked_percentiles(rows, group, value, quantiles, ranges),
+                         rows_per_task, at_most)
+
+
+def _ranked_percentiles(df, group, value, quantiles, ranges):
+    """Percentiles from running counts of the distinct values."""
     freq = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("__v"))
     freq = freq.agg(F.count("*").alias("__n"))
-    ranked = running_totals(freq, group, ["__v"], "__n", "__upto", chunks)
+    ranked = running_totals(freq, group, ["__v"], "__n", "__upto", ranges)
     sizes = freq.groupBy(*group).agg(F.sum("__n").alias("__size"))
     if group:
         right = sizes.select(*[F.col(g).alias(f"__s_{g}") for g in group], "__size")
         ranked = ranked.join(right, same([ranked[g] for g in group], [right[f"__s_{g}"] for g in group]))
     else:
         ranked = ranked.withColumn("__size", sizes.scalar())
-    out = []
+    cells = []
     for i, q in enumerate(quantiles.values()):
         place = (F.col("__size") - 1) * F.lit(q)
-        out += [F.min(F.when(F.col("__upto") > F.floor(place), F.col("__v"))).alias(f"__low{i}"),
-                F.min(F.when(F.col("__upto") > F.ceil(place), F.col("__v"))).alias(f"__high{i}"),
-                F.max(place - F.floor(place)).alias(f"__part{i}")]
-    cells = ranked.groupBy(*group).agg(*out)
-    low, high, part = ([F.col(f"__{k}{i}") for i in range(len(quantiles))] for k in ("low", "high", "part"))
-    made = [(low[i] + (high[i] - low[i]) * part[i]).alias(n) for i, n in enumerate(quantiles)]
-    result = cells.select(*group, *made)
+        cells += [F.min(F.when(F.col("__upto") > F.floor(place), F.col("__v"))).alias(f"__low{i}"),
+                  F.min(F.when(F.col("__upto") > F.ceil(place), F.col("__v"))).alias(f"__high{i}"),
+                  F.max(place - F.floor(place)).alias(f"__part{i}")]
+    found = ranked.groupBy(*group).agg(*cells)
+    made = [(F.col(f"__low{i}") + (F.col(f"__high{i}") - F.col(f"__low{i}")) * F.col(f"__part{i}")).alias(n)
+            for i, n in enumerate(quantiles)]
     if not group:
-        return result
+        return found.select(*made)
     groups = df.select(*group).distinct()  # a group of nulls only keeps its row
-    right = result.select(*[F.col(g).alias(f"__s_{g}") for g in group], *quantiles)
+    right = found.select(*[F.col(g).alias(f"__s_{g}") for g in group], *made)
     on = same([groups[g] for g in group], [right[f"__s_{g}"] for g in group])
     return groups.join(right, on, "left").select(*group, *quantiles)
 

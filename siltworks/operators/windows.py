@@ -1,16 +1,17 @@
 """Ordered operators that stay parallel when one group holds most of the rows.
 
-A window puts all rows of its group into one task.  That is fine while the whole
-input is small enough for one task (``rows_per_task``); beyond it, the order
-domain is cut into ranges, the window runs per (group, range), and a second
-window over one summary row per (group, range) carries values across the cuts.
-The cuts come from a bounded sample (or Spark's range partitioner), so they steer
-only the balance: rows that are equal in the order always share a range, and every
-result is exact.
+A window puts all rows of a group into one task.  That is fine for a group of at
+most ``rows_per_task`` rows, so inputs are counted first, in total and, if that is
+more, per group.  The rows of larger groups (few, since each is large) are set
+apart: their order domain is cut into ranges, the window runs per (group, range),
+and a second window over one summary row per (group, range) carries values across
+the cuts.  The cuts come from a bounded sample (or Spark's range partitioner), so
+they steer only the balance: every result is exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,15 +26,34 @@ MAX_CUTS = 32
 MAX_CHUNKS = 20_000
 
 
-def chunks_needed(df: DataFrame, rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> int:
-    """How many ranges keep one task near or below ``rows_per_task`` rows.
+def by_group_size(df: DataFrame, group: list[str], plain: Callable[[DataFrame], DataFrame],
+                  split: Callable[[DataFrame, int], DataFrame], rows_per_task: int | None = None,
+                  at_most: DataFrame | int | None = None) -> DataFrame:
+    """``plain`` for groups that fit one task, ``split`` (with a number of ranges) for larger ones.
 
     ``at_most`` is a number of rows, or a table, known to be no smaller than ``df``;
     counting a plain scan reads file footers only.
     """
     limit = rows_per_task or ROWS_PER_TASK
-    rows = at_most if isinstance(at_most, int) else (df if at_most is None else at_most).count()
-    return 1 if rows <= limit else min(2 * (rows // limit) + 1, MAX_CHUNKS)
+    total = at_most if isinstance(at_most, int) else (df if at_most is None else at_most).count()
+    if total <= limit:
+        return plain(df)
+    if not group:
+        return split(df, ranges_for(total, limit))
+    sizes = df.groupBy(*group).agg(F.count("*").alias("__size")).where(F.col("__size") > limit)
+    hot = keep(sizes, shared_dir(df.sparkSession))  # at most total / limit rows
+    rows = hot.agg(F.sum("__size")).first()[0]
+    if rows is None:
+        return plain(df)
+    marks = hot.select(*[F.col(g).alias(f"__h_{g}") for g in group])
+    on = same([df[g] for g in group], [marks[f"__h_{g}"] for g in group])
+    rest = df.join(F.broadcast(marks), on, "left_anti")
+    large = df.join(F.broadcast(marks), on, "left_semi")
+    return plain(rest).unionByName(split(large, ranges_for(rows, limit)))
+
+
+def ranges_for(rows: int, limit: int) -> int:
+    return min(2 * (rows // limit) + 1, MAX_CHUNKS)
 
 
 def with_chunk(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
@@ -77,27 +97,28 @@ def _carry(chunked: DataFrame, carried: DataFrame, group: list[str]) -> DataFram
 
 
 def _neighbour(df, group, order, values, forward, rows_per_task, at_most):
-    names = list(values)
+    shift, edge = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
     if TIE not in df.columns:
         df = df.withColumn(TIE, F.xxhash64(*df.columns))
-    shift = F.lead if forward else F.lag
-    chunks = chunks_needed(df, rows_per_task, at_most)
-    df = df.withColumn("__values", F.struct(*[values[n].alias(n) for n in names]))
-    if chunks == 1:
-        w = Window.partitionBy(*group).orderBy(*order)
-        out = df.withColumn("__near", shift("__values").over(w))
-    else:
-        order = [*order, TIE]  # rows equal in the order may spread over ranges
-        df = with_chunk(df, order, chunks)
-        edge = F.min_by if forward else F.max_by
-        edges = df.groupBy(*group, CHUNK).agg(edge("__values", F.struct(*order)).alias("__edge"))
+    df = df.withColumn("__values", F.struct(*[c.alias(n) for n, c in values.items()]))
+
+    def named(out):
+        return out.select(*[c for c in out.columns if not c.startswith("__")],
+                          *[F.col(f"__near.{n}").alias(n) for n in values])
+
+    def plain(rows):
+        return named(rows.withColumn("__near", shift("__values").over(Window.partitionBy(*group).orderBy(*order))))
+
+    def split(rows, ranges):
+        total_order = [*order, TIE]  # rows equal in the order may spread over ranges
+        rows = with_chunk(rows, total_order, ranges)
+        edges = rows.groupBy(*group, CHUNK).agg(edge("__values", F.struct(*total_order)).alias("__edge"))
         edges = edges.withColumn("__carried", shift("__edge").over(Window.partitionBy(*group).orderBy(CHUNK)))
-        w = Window.partitionBy(*group, CHUNK).orderBy(*order)
-        df = df.withColumn("__inner", shift("__values").over(w))
-        df = _carry(df, edges, group)
-        out = df.withColumn("__near", F.coalesce("__inner", "__carried")).drop("__inner", "__carried", CHUNK)
-    return out.select(*[c for c in out.columns if not c.startswith("__")],
-                      *[F.col(f"__near.{n}").alias(n) for n in names])
+        w = Window.partitionBy(*group, CHUNK).orderBy(*total_order)
+        rows = _carry(rows.withColumn("__inner", shift("__values").over(w)), edges, group)
+        return named(rows.withColumn("__near", F.coalesce("__inner", "__carried")))
+
+    return by_group_size(df, group, plain, split, rows_per_task, at_most)
 
 
 def previous_values(df: DataFrame, group: list[str], order: list[str], values: dict[str, Column],
@@ -119,14 +140,18 @@ def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, n
     In the split form rows equal in group and order are summed first, so neither a
     hot group nor a hot order value meets in one task.
     """
-    chunks = chunks_needed(df, rows_per_task, at_most)
-    if chunks == 1:
-        return df.withColumn(name, F.sum(value).over(Window.partitionBy(*group).orderBy(*order)))
-    keys = [*group, *order]
-    sums = running_totals(df.groupBy(*keys).agg(F.sum(value).alias("__value")), group, order, "__value", name, chunks)
-    right = sums.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
-    on = same([df[k] for k in keys], [right[f"__r_{k}"] for k in keys])
-    return df.join(right, on).drop(*[f"__r_{k}" for k in keys])
+    def plain(rows):
+        return rows.withColumn(name, F.sum(value).over(Window.partitionBy(*group).orderBy(*order)))
+
+    def split(rows, ranges):
+        keys = [*group, *order]
+        sums = rows.groupBy(*keys).agg(F.sum(value).alias("__value"))
+        right = running_totals(sums, group, order, "__value", name, ranges)
+        right = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
+        on = same([rows[k] for k in keys], [right[f"__r_{k}"] for k in keys])
+        return rows.join(right, on).drop(*[f"__r_{k}" for k in keys])
+
+    return by_group_size(df, group, plain, split, rows_per_task, at_most)
 
 
 def running_totals(df: DataFrame, group: list[str], order: list[str], value: str, name: str, chunks: int) -> DataFrame:
@@ -144,17 +169,19 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], value: str
 def global_row_number(df: DataFrame, order: list[str], name: str,
                       rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
     """Number all rows 1..n in an order without ties."""
-    chunks = chunks_needed(df, rows_per_task, at_most)
-    if chunks == 1:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    df = with_chunk(df, order, chunks)
-    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = df.groupBy(CHUNK).agg(F.count("*").alias("__n"))  # one row per range
-    counts = counts.select(CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__carried"))
-    df = df.withColumn("__inner", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order)))
-    return (df.join(F.broadcast(counts), CHUNK)
-            .withColumn(name, F.col("__inner") + F.col("__carried"))
-            .drop("__inner", "__carried", CHUNK))
+    def plain(rows):
+        return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+    def split(rows, ranges):
+        rows = with_chunk(rows, order, ranges)
+        before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        counts = rows.groupBy(CHUNK).agg(F.count("*").alias("__n"))  # one row per range
+        counts = counts.select(CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__carried"))
+        rows = rows.withColumn("__inner", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order)))
+        number = F.col("__inner") + F.col("__carried")
+        return rows.join(F.broadcast(counts), CHUNK).withColumn(name, number).drop("__inner", "__carried", CHUNK)
+
+    return by_group_size(df, [], plain, split, rows_per_task, at_most)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -77,18 +77,35 @@ def test_percentiles_on_rows(hot, rows):
     assert with_percentiles(hot, [], "v", {"m": 0.5}).select("m").distinct().count() == 1
 
 
-def test_chunks_are_small_and_ordered(hot):
-    chunks = w.chunks_needed(hot, TINY)
-    out = w.with_chunk(hot, ["s", "id"], chunks)
+def test_ranges_are_small_and_ordered(hot):
+    out = w.with_chunk(hot, ["s", "id"], w.ranges_for(1200, TINY))
     sizes = out.groupBy(w.CHUNK).agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy(w.CHUNK).collect()
     assert len(sizes) > 10 and max(r["n"] for r in sizes) < 4 * TINY
     assert all(a["hi"] <= b["lo"] for a, b in zip(sizes, sizes[1:]))
 
 
-def test_small_input_is_not_split(hot):
-    assert w.chunks_needed(hot) == 1
-    assert w.chunks_needed(hot, 500) > 1
-    assert w.chunks_needed(hot, 500, at_most=400) == 1
+def test_only_large_groups_are_split(hot):
+    def parts(limit, group=("g",), at_most=None):
+        seen = {}
+
+        def plain(rows):
+            seen["plain"] = sorted({r[0] or "" for r in rows.select("g").distinct().collect()})
+            return rows
+
+        def split(rows, ranges):
+            seen["split"] = sorted({r[0] or "" for r in rows.select("g").distinct().collect()})
+            return rows
+
+        n = w.by_group_size(hot, list(group), plain, split, limit, at_most).count()
+        assert n == 1200
+        return seen
+
+    assert list(parts(5000)) == ["plain"]
+    assert list(parts(700)) == ["plain"]
+    assert list(parts(700, group=())) == ["split"]
+    assert list(parts(700, at_most=600)) == ["plain"]
+    both = parts(300)
+    assert both["split"] == ["hot"] and "a" in both["plain"] and "" in both["plain"] and "hot" not in both["plain"]
 
 
 def test_checks_on_hot_groups(hot, rows):
