@@ -93,11 +93,11 @@ def _(t):
 with a as (select c_nationkey as col_1, max(c_custkey) as v from customer group by 1), b as (select s_nationkey as col_1, max(s_suppkey) as v from supplier group by 1)
 select coalesce(a.col_1, b.col_1) as col_1, a.v as expression, b.v as compare_expression, abs(coalesce(a.v, 0) - coalesce(b.v, 0)) as expression_difference,
   round(abs(coalesce(a.v, 0) - coalesce(b.v, 0)) / nullif(a.v * 1.0, 0), 9) as expression_difference_percent
-from a full outer join b on a.col_1 = b.col_1 where abs(coalesce(a.v, 0) - coalesce(b.v, 0)) > 1400""")
+from a full outer join b on a.col_1 = b.col_1 where abs(coalesce(a.v, 0) - coalesce(b.v, 0)) > 50""")
 def _(t):
     out = e.expect_table_aggregation_to_equal_other_table(
         t.customer, "max(c_custkey)", t.supplier, other_expression="max(s_suppkey)", group_by=["c_nationkey"],
-        other_group_by=["s_nationkey"], tolerance=1400)
+        other_group_by=["s_nationkey"], tolerance=50)
     return out.withColumn("expression_difference_percent", F.round("expression_difference_percent", 9))
 
 

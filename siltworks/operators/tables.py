@@ -28,11 +28,6 @@ def nullcheck_table(df: DataFrame) -> DataFrame:
     ])
 
 
-def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Select source columns under business names."""
-    return df.select(*[F.col(a).alias(b) for a, b in names.items()])
-
-
 def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropna(subset=keys)
 

@@ -9,8 +9,6 @@ from siltworks.quality import checks as q
 from siltworks.quality import expectations as e
 from siltworks.quality.runner import Check, require_columns, run_checks, store_failures
 
-NOW = dt.datetime(2020, 10, 24)
-
 
 @pytest.fixture(scope="module")
 def data(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.config import RunConfig
 from siltworks.plans import events, identity, star_schema
-from siltworks.plans.golden import golden_records
+from siltworks.plans.golden import golden_records, is_active, seeks_degree
 
 CFG = RunConfig(run_time=dt.datetime(2024, 1, 1), as_of=dt.date(2024, 1, 1), institution_code="X")
 NEW = "source_id string, email string, first_name string, last_name string, birth_date date, created_on timestamp_ntz, other_id string"
@@ -87,6 +87,12 @@ def test_golden_record_prefers_the_new_system(spark, first):
     assert got[None, "3"]["data_quality_flag"] == "MISSING_NAME" and got[None, "3"]["legacy_only"]
 
 
+def test_legacy_status_rules(spark):
+    df = spark.createDataFrame([("A", "BA", True), ("W", "BA", None), (None, None, True)], "s string, d string, g boolean")
+    got = df.select(is_active(F.col("s")), seeks_degree(F.col("d"), F.col("g"))).collect()
+    assert [tuple(r) for r in got] == [(True, True), (False, False), (False, False)]
+
+
 def test_email_choice(spark, rows):
     def d(*a):
         return dt.date(*a) if a else None
