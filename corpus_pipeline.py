@@ -3,14 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltworks.llm import jaccard_join, packing, substring_dedup, toxicity
 
-STAGES: list = []
 ORACLE_SQL = None  # hashes, learned weights and byte-pair ids are beyond SQL
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject; ids of rejected ones go, with all their rows."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    rejected = toxicity.score_toxicity(docs, labels).where("predicted = 1").select(F.col("id").alias("rejected_id"))
+    return docs.join(rejected.distinct(), docs["doc_id"].cast("long").eqNullSafe(F.col("rejected_id")), "left_anti")
+
+
+def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; rows of one id are one document."""
+    found = jaccard_join.shingle_groups(docs.select("doc_id", "text"))
+    copies = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("copy_id")).distinct()
+    return docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("copy_id")), "left_anti")
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words that repeat an earlier passage; texts that lose nothing stay as they are."""
+    out = substring_dedup.remove_repeated(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    kept = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    size = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))
+    made = {"text": text, "n_chars": size}
+    return kept.select(*[made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences, with their token ids."""
+    out = packing.pack(docs.select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "start", F.expr("octet_length(ids) div 4").cast("bigint").alias("length"),
+                      "doc_tokens", "sequence_id", "offset", F.crc32("ids").alias("ids_crc32"), "ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", keep_one_of_a_group),
+    ("substring dedup", drop_repeated_passages),
+    ("packing", pack_sequences),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage, from ``documents``."""
+    """Rows of the last stage, from ``documents``; each stage's rows are written to the shared folder and read again."""
+    from siltworks.config import keep, shared_dir
+
+    folder = shared_dir(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = keep(docs, f"{folder}/stage-{i}")
     return docs

@@ -35,6 +35,15 @@ def deal(docs: DataFrame, key: str, text: str, keep: bool = False, per_partition
     return docs.select(*cols)
 
 
+def deal_by_bytes(docs: DataFrame, key: str, text: str, bucket_bytes: int, more: dict | None = None) -> DataFrame:
+    """Columns ``bucket``, ``id``, ``text`` and ``more``, with about ``bucket_bytes`` of text in a bucket."""
+    source = F.col(f"`{key}`"), F.col(f"`{text}`")
+    total = docs.agg(F.sum(F.octet_length(source[1].cast("string")))).first()[0] or 0
+    n = max(1, -(-total // bucket_bytes))
+    return docs.select(F.pmod(F.xxhash64(*source), F.lit(n)).cast("int").alias("bucket"), source[0].cast("long").alias("id"),
+                       source[1].cast("string").alias("text"), *[c.alias(k) for k, c in (more or {}).items()])
+
+
 def key_ranges(df: DataFrame) -> int:
     """A power of two, at least twice the number of shuffle partitions."""
     return 1 << (2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()

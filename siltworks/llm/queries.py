@@ -1,19 +1,133 @@
-"""The operators as queries over the given tables."""
+"""The operators as queries over the given tables, with production parameters and whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.llm import jaccard_join, substring_dedup
+from siltworks.llm import (bpe, cap_filters, jaccard_join, katz, licences, packing, preferences, substring_dedup,
+                           top_products, toxicity)
 from siltworks.llm.base import query, table
 
 
+@query("op1_license_scan")
+def op1(spark, folder):
+    out = licences.scan_licences(table(spark, folder, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op2_embedding_near_dedup", """
+with recursive v as (
+    select vec_id, label, list_transform(embedding, lambda x: x::double) as x from embeddings
+), links as (
+    select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.x, b.x) >= 0.98
+), reach as (
+    select vec_id, vec_id as other from embeddings
+    union
+    select reach.vec_id, links.b from reach join links on reach.other = links.a
+), least as (
+    select vec_id, min(other) as component_id from reach group by vec_id
+)
+select least.vec_id, (select count(*) from links where links.a = least.vec_id) as n_links, component_id,
+    least.vec_id = component_id as kept
+from least
+""")
+def op2(spark, folder):
+    out = cap_filters.near_vectors(table(spark, folder, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                      (F.col("id") == F.col("component")).alias("kept"))
+
+
+@query("op3_chat_format", """
+with turns as (
+    select conv_id, turn, role, text, '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) as shown,
+        row_number() over (partition by conv_id order by turn, role, text) as place
+    from conversations where conv_id is not null
+), sides as (
+    select conv_id // 2 as pair_id, conv_id % 2 as side, place, shown, role, text from turns
+), differ as (
+    select a.pair_id, min(a.place) as place from sides a left join sides b
+        on a.pair_id = b.pair_id and a.place = b.place and a.side = 1 - b.side
+        and a.role is not distinct from b.role and a.text is not distinct from b.text
+    where b.pair_id is null group by a.pair_id
+), sizes as (
+    select pair_id, count(distinct side) as n_sides, max(place) as longest from sides group by pair_id
+), shared as (
+    select s.pair_id, n_sides, case when n_sides = 2 then coalesce(d.place - 1, longest) else 0 end as n_shared
+    from sizes s left join differ d on s.pair_id = d.pair_id
+), both_sides as (
+    select h.pair_id, h.n_shared, t.side, t.place, t.shown, t.role, t.place > h.n_shared as free,
+        sum(case when t.place > h.n_shared then length(t.shown) else 0 end) over
+            (partition by t.pair_id, t.side order by t.place) - length(t.shown) as begun
+    from shared h join sides t on h.pair_id = t.pair_id
+), done as (
+    select pair_id, side, any_value(n_shared)::int as n_shared, count(*) as n,
+        coalesce(string_agg(shown, '' order by place) filter (where not free), '') as prompt,
+        coalesce(string_agg(shown, '' order by place) filter (where free), '') as completion,
+        coalesce(string_agg((begun + length(role) + 5)::bigint || '-' || (begun + length(shown) - 1)::bigint, ',' order by place)
+            filter (where free and role = 'assistant'), '') as learned
+    from both_sides group by pair_id, side
+)
+select coalesce(c.pair_id, r.pair_id) as pair_id, coalesce(c.n_shared, r.n_shared) as n_shared,
+    coalesce(c.prompt, r.prompt) as prompt, c.completion as chosen, c.learned as chosen_learned,
+    r.completion as rejected, r.learned as rejected_learned
+from (select * from done where side = 0) c full join (select * from done where side = 1) r on c.pair_id = r.pair_id
+""")
+def op3(spark, folder):
+    out = preferences.format_pairs(preferences.adjacent_pairs(table(spark, folder, "conversations")))
+
+    def spans(name):
+        shown = F.transform(name, lambda s: F.concat(s["begin"].cast("string"), F.lit("-"), s["end"].cast("string")))
+        return F.array_join(shown, ",").alias(name)
+
+    return out.select("pair_id", "n_shared", "prompt", "chosen", spans("chosen_learned"), "rejected", spans("rejected_learned"))
+
+
+@query("op4_top_products", """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+), scored as (
+    select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
+    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5
+""")
+def op4(spark, folder):
+    return top_products.top_products(table(spark, folder, "embeddings"))
+
+
+@query("op5_pack")
+def op5(spark, folder):
+    out = packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "start", F.expr("octet_length(ids) div 4").cast("bigint").alias("length"),
+                      F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op6_katz_backoff")
+def op6(spark, folder):
+    return katz.score_texts(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op7_substring_dedup")
 def op7(spark, folder):
     out = substring_dedup.remove_repeated(table(spark, folder, "documents").select("doc_id", "text"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op8_bpe")
+def op8(spark, folder):
+    out = bpe.encode_texts(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_toxicity")
+def op9(spark, folder):
+    out = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 @query("op10_jaccard_join")
 def op10(spark, folder):
     out = jaccard_join.shingle_groups(table(spark, folder, "documents"))

@@ -65,3 +65,66 @@ def shingle_groups(docs):
                 pairs.append((i, j))
     label = roots(len(docs), pairs)
     return [(d[0], len(s), docs[r][0]) for d, s, r in zip(docs, sets, label)]
+
+
+def katz(docs):
+    """docs: (id, text).  Rows of the language-model query by plain dictionaries, by id."""
+    import math
+    import zlib
+    from collections import Counter, defaultdict
+
+    from siltworks.llm.katz import CUT, good_turing
+
+    uni, bi = Counter(), Counter()
+    lines = {i: ["<s>", *SPACES.findall(lower(t)), "</s>"] for i, t in docs}
+    out_of = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in docs}
+    for i, line in lines.items():
+        if not out_of[i]:
+            uni.update(line[1:])
+            bi.update(zip(line, line[1:]))
+    total = sum(uni.values())
+
+    def ratios(counts):
+        of = Counter(counts.values())
+        r = good_turing([of[k] for k in range(1, CUT + 2)])
+        return lambda c: r[min(c, CUT + 1)] * c
+
+    d1, d2 = ratios(uni), ratios(bi)
+    p1 = {w: d1(c) / (total + 1) for w, c in uni.items()}
+    unknown = 1 - sum(p1.values())
+    after = defaultdict(dict)
+    for (v, w), c in bi.items():
+        after[v][w] = c
+
+    def p(w, v):
+        if v not in after:
+            return p1.get(w, unknown)
+        n = sum(after[v].values())
+        n += n > CUT
+        if w in after[v]:
+            return d2(after[v][w]) / n
+        left = 1 - sum(d2(c) for c in after[v].values()) / n
+        return left / (1 - sum(p1[x] for x in after[v])) * p1.get(w, unknown)
+
+    rows = []
+    for i in sorted(lines):
+        line = lines[i]
+        rows.append((i, out_of[i], len(line) - 1, sum(w in uni for w in line[1:]), total,
+                     sum(math.log10((uni[w] + 0.1) / (total + 0.1 * (len(uni) + 1))) for w in line[1:]),
+                     sum(math.log10(p(w, v)) for v, w in zip(line, line[1:]))))
+    return rows, p, after, p1, unknown
+
+
+LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def licences(docs):
+    """(id, n_words, n_base, first_word, last_word, base_labels) by id."""
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    out = []
+    for i, t in sorted(docs, key=lambda d: d[0]):
+        w = LETTERS.findall(lower(t))
+        found = [(s, label) for s in range(len(w)) for p, label in phrases.items() if tuple(w[s:s + len(p)]) == p]
+        starts = [s for s, _ in found]
+        out.append((i, len(w), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))))
+    return out
