@@ -57,6 +57,17 @@ def cut(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
         yield int(part[lo]), slice(int(lo), int(at[i + 1]) if i + 1 < len(at) else len(keys))
 
 
+def squeeze(ranked: np.ndarray) -> bytes:
+    """Rising unsigned keys as the byte planes of their gaps: the high planes are zeros, which compress."""
+    gaps = np.diff(ranked, prepend=np.uint64(0))
+    return gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unsqueeze(planes: bytes) -> np.ndarray:
+    gaps = np.frombuffer(planes, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(gaps).view("<u8").ravel(), dtype=np.uint64)
+
+
 def lists(parts: list[np.ndarray], kind) -> pa.Array:
     """A list column of the given arrays."""
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)

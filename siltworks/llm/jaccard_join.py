@@ -5,8 +5,9 @@ share at least l tokens among the first ``n - ceil(t n) + l`` of each, whatever
 
 1. Buckets of documents name those leading tokens with l = (1 - t) n; a document goes on only if
    enough of its leading tokens are named by another document too.  Shared boilerplate is not enough.
-2. Equal sets become one, with the smallest id.  Sets with a common token among the first
-   ``n - ceil(t n) + 1`` fall into one coarse group, by stars and contraction, not by pairs.
+2. Equal sets become one, with the smallest id.  Buckets of sets learn how many sets have each token;
+   now rarer tokens come first, so passages that many documents share come last.  Sets with a common
+   token among the first ``n - ceil(t n) + 1`` fall into one coarse group, by stars and contraction.
 3. Each coarse group is cut into blocks.  In a block a signature tree over the sets (OR-combined token
    bitmaps, size ranges) is traversed against itself, pruned by the greatest possible overlap and by
    groups joined already; leaves are verified exactly.  Each block also holds its group's first set;
@@ -109,7 +110,7 @@ def shingle_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     sets = (described.where("tokens is not null").groupBy("first", "second")
             .agg(F.min(mine).alias("set_id"), F.first("tokens").alias("tokens")))
     sets = keep(sets, f"{folder}/sets")
-    found = keep(_labels(sets, folder, share, block), f"{folder}/labels")
+    found = keep(_labels(sets, folder, share, block, ranges), f"{folder}/labels")
 
     named_sets = sets.select(F.col("first").alias("d1"), F.col("second").alias("d2"), "set_id").join(found, "set_id", "left")
     named_sets = named_sets.select("d1", "d2", F.coalesce("label", "set_id").alias("label"))
@@ -120,17 +121,57 @@ def shingle_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     return out.select("id", "n_shingles", F.nullif("label", F.lit(dealing.NO_ID)).alias("component"))
 
 
-def _labels(sets: DataFrame, folder: str, share: tuple[int, int], block: int) -> DataFrame:
+def _rarest(sets: DataFrame, share: tuple[int, int], ranges: int) -> DataFrame:
+    """Each set's leading tokens in the order of (number of sets that have it, hash), but for those that
+    it alone has: ``set_id``, ``lead``."""
+    n = dealing.BUCKETS_PER_PARTITION * max(1, sets.rdd.getNumPartitions())
+    dealt = sets.select(F.pmod(F.xxhash64("set_id"), F.lit(n)).cast("int").alias("bucket"), "set_id", "tokens")
+
+    def name(table: pa.Table) -> pa.Table:
+        keys, counts = np.unique(mix(dealing.flat(table["tokens"])[0].view(U64)), return_counts=True)
+        parts = list(dealing.cut(keys, ranges))
+        return pa.table({"part": pa.array([p for p, _ in parts], pa.int32()),
+                         "bucket": pa.array([table["bucket"][0].as_py()] * len(parts), pa.int32()),
+                         "keys": pa.array([dealing.squeeze(keys[s]) for _, s in parts], pa.binary()),
+                         "counts": dealing.lists([counts[s] for _, s in parts], pa.int64())})
+
+    def add_up(table: pa.Table) -> pa.Table:
+        rows = [dealing.unsqueeze(k) for k in table["keys"].to_pylist()]
+        _, back = np.unique(np.concatenate(rows), return_inverse=True)
+        total = np.bincount(back, dealing.flat(table["counts"])[0]).astype(np.int64)[back]
+        return pa.table({"part": table["part"], "bucket": table["bucket"],
+                         "totals": dealing.lists(np.split(total, np.cumsum([len(r) for r in rows])[:-1]), pa.int64())})
+
+    def lead(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if len(left):
+            tokens, sizes = dealing.flat(left["tokens"])
+            keys, back = np.unique(mix(tokens.view(U64)), return_inverse=True)
+            total = np.zeros(len(keys), np.int64)
+            where = dict(dealing.cut(keys, ranges))
+            for part, answer in zip(right["part"].to_pylist(), right["totals"]):
+                total[where[part]] = answer.values.to_numpy()
+            total = total[back]
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            for lo, hi in zip(at[:-1], at[1:]):
+                first = np.lexsort((tokens[lo:hi].view(U64), total[lo:hi]))[:hi - lo - least_common(int(hi - lo), share) + 1]
+                out.append(tokens[lo:hi][first[total[lo:hi][first] > 1]])
+        return pa.table({"set_id": left["set_id"] if len(left) else pa.array([], pa.int64()), "lead": dealing.lists(out, pa.int64())})
+
+    named = dealt.groupBy("bucket").applyInArrow(name, "part int, bucket int, keys binary, counts array<bigint>")
+    totals = named.groupBy("part").applyInArrow(add_up, "part int, bucket int, totals array<bigint>")
+    return dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(lead, "set_id bigint, lead array<bigint>")
+
+
+def _labels(sets: DataFrame, folder: str, share: tuple[int, int], block: int, ranges: int) -> DataFrame:
     """Columns ``set_id``, ``label``: the smallest set linked with each set that may have links."""
     def leading(batches):
         """Per task: tokens with the least set that has them here (a null ``to``), and stars of the others."""
         ids, tokens = [], []
         for batch in batches:
-            for i, s in zip(batch["set_id"].to_numpy(), batch["tokens"]):
-                s = s.values.to_numpy().view(U64)
-                s = s[:len(s) - least_common(len(s), share) + 1]
-                ids.append(np.full(len(s), i))
-                tokens.append(s)
+            lead, sizes = dealing.flat(pa.chunked_array([batch["lead"]]))
+            ids.append(np.repeat(batch["set_id"].to_numpy(), sizes))
+            tokens.append(lead.view(U64))
         yield from _stars(np.concatenate(tokens) if tokens else np.zeros(0, U64), np.concatenate(ids) if ids else np.zeros(0, np.int64), True)
 
     def meet(batches):
@@ -140,7 +181,8 @@ def _labels(sets: DataFrame, folder: str, share: tuple[int, int], block: int) ->
             yield from _stars(table["token"].to_numpy().view(U64), table["a"].to_numpy(), False)
 
     shape = "token bigint, a bigint, b bigint"
-    local = keep(sets.select("set_id", "tokens").mapInArrow(leading, shape), f"{folder}/leading")
+    rarest = _rarest(sets, share, ranges)
+    local = keep(rarest.mapInArrow(leading, shape), f"{folder}/leading")
     across = local.where("b is null").repartition("token").mapInArrow(meet, shape)
     edges = local.where("b is not null").unionAll(across).select("a", "b")
     coarse = keep(components(edges), f"{folder}/coarse")
