@@ -25,11 +25,13 @@ from siltworks.config import keep, shared_dir
 from siltworks.llm import dealing
 from siltworks.llm.words import GRAM_BASE, LOWER, U64, Words, mix
 
-BUCKET_BYTES = 12_000_000
+BUCKET_BYTES = 6_000_000
 CUT = 5
 FOLDS = 10
 START, END = U64(0x1F83D9ABFB41BD6B), U64(0x5BE0CD19137E2179)
 BASE_ADD = 0.1
+#: Not a bucket: rows with the counts of counts of a key range.
+STATS = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -115,11 +117,13 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
                     rows[name].append(value)
         return pa.table({"n": pa.array(rows["n"], pa.int32()), "part": pa.array(rows["part"], pa.int32()),
                          "bucket": pa.array([table["bucket"][0].as_py()] * len(rows["n"]), pa.int32()),
-                         "keys": dealing.lists(rows["keys"], pa.int64()), "counts": dealing.lists(rows["counts"], pa.int64())})
+                         "keys": pa.array([dealing.squeeze(k) for k in rows["keys"]], pa.binary()), "counts": dealing.lists(rows["counts"], pa.int64())})
 
     def add_up(table: pa.Table) -> pa.Table:
-        """Answers hold 2 * total + 1 for the bucket that speaks for a key, 2 * total for the others."""
-        keys, sizes = dealing.flat(table["keys"])
+        """Answers in the order of a bucket's keys: 0 where no other bucket has the key, else
+        2 * (total + 1), and 1 more for the one bucket that speaks for it."""
+        rows = [dealing.unsqueeze(k) for k in table["keys"].to_pylist()]
+        keys, sizes = np.concatenate(rows), np.array([len(r) for r in rows])
         counts, _ = dealing.flat(table["counts"])
         bucket = np.repeat(table["bucket"].to_numpy(), sizes)
         order = np.lexsort((bucket, keys))
@@ -130,21 +134,20 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
         total = np.add.reduceat(counts[order], lead)
         of_counts = np.bincount(np.minimum(total, CUT + 2), minlength=CUT + 3)[1:CUT + 2]
         stats = np.append(of_counts, [total.sum(), (total > 0).sum()])
-        shared = np.repeat(times > 1, times)
-        code = 2 * np.repeat(total, times) + new
-        at, code = order[shared], code[shared]
-        back = np.argsort(bucket[at], kind="stable")
-        at, code = at[back], code[back]
-        out = dealing.by_bucket(np.append(bucket[at], np.full(len(stats), 1 << 30)), {
-            "keys": (np.append(keys[at], np.zeros(len(stats), np.int64)), pa.int64()),
-            "totals": (np.append(code, stats), pa.int64())})
-        return out.add_column(0, "n", pa.array([table["n"][0].as_py()] * len(out), pa.int32()))
-
-    counted = dealt.groupBy("bucket").applyInArrow(name_counts, "n int, part int, bucket int, keys array<bigint>, counts array<bigint>")
-    counted = counted.groupBy("n", "part").applyInArrow(add_up, "n int, bucket int, keys array<bigint>, totals array<bigint>")
+        code = np.empty(len(keys), np.int64)
+        code[order] = np.where(np.repeat(times > 1, times), 2 * (np.repeat(total, times) + 1) + new, 0)
+        answers = [*np.split(code, np.cumsum(sizes)[:-1]), stats]
+        n_rows = len(answers)
+        return pa.table({"n": pa.array([table["n"][0].as_py()] * n_rows, pa.int32()),
+                         "part": pa.array([table["part"][0].as_py()] * n_rows, pa.int32()),
+                         "bucket": pa.array([*table["bucket"].to_pylist(), STATS], pa.int32()),
+                         "totals": dealing.lists(answers, pa.int64())})
+
+    counted = dealt.groupBy("bucket").applyInArrow(name_counts, "n int, part int, bucket int, keys binary, counts array<bigint>")
+    counted = counted.groupBy("n", "part").applyInArrow(add_up, "n int, part int, bucket int, totals array<bigint>")
     counted.write.partitionBy("n").parquet(f"{folder}/counts")
-    counted = dealt.sparkSession.read.schema("bucket int, keys array<bigint>, totals array<bigint>, n int").parquet(f"{folder}/counts")
-    sums = counted.where(f"bucket = {1 << 30}").groupBy("n").agg(
+    counted = dealt.sparkSession.read.schema("part int, bucket int, totals array<bigint>, n int").parquet(f"{folder}/counts")
+    sums = counted.where(f"bucket = {STATS}").groupBy("n").agg(
         *[F.sum(F.get("totals", F.lit(i))).alias(f"s{i}") for i in range(CUT + 3)]).collect()
     by_order = {r["n"]: [int(x) for x in r[1:]] for r in sums}
     empty = [0] * (CUT + 3)
@@ -165,11 +168,13 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
             weight = (~left["held_out"].to_numpy())[t.text].astype(np.float64)
             total = np.bincount(back, weight, len(keys)).astype(np.int64)
             speaks = np.ones(len(keys), bool)
-            if (orders == n).any():
-                mine = right.filter(pa.array(orders == n))
-                at = np.searchsorted(keys, dealing.flat(mine["keys"])[0].view(U64))
-                code = dealing.flat(mine["totals"])[0]
-                total[at], speaks[at] = code >> 1, (code & 1) > 0
+            where = dict(dealing.cut(keys, ranges))
+            mine = right.filter(pa.array(orders == n))
+            for part, answer in zip(mine["part"].to_pylist(), mine["totals"]):
+                code = answer.values.to_numpy()
+                s = where[part]
+                total[s] = np.where(code > 0, (code >> 1) - 1, total[s])
+                speaks[s] = (code == 0) | (code & 1 > 0)
             return keys, first, back, total, speaks
 
         _, _, back1, total1, _ = totals(1, t.token)
@@ -206,9 +211,10 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
                  "n_tokens": pa.array(t.counts), "n_known": pa.array(add((c1 > 0).astype(float)).astype(np.int64)),
                  "base_score": pa.array(add(base)), "score": pa.array(add(np.log10(p)))}
         chunk = {name: dealing.lists([v[where.get(i, none)] for i in parts], kind) for name, v, where, kind in (
-            ("keys", names, sums, pa.int64()), ("mass", mass, sums, pa.float64()), ("share", share, sums, pa.float64()),
+            ("mass", mass, sums, pa.float64()), ("share", share, sums, pa.float64()),
             ("asked", asked, asks, pa.int64()), ("doc", doc, asks, pa.int64()), ("times", times, asks, pa.int64()),
             ("count", count, asks, pa.int64()))}
+        chunk = {"keys": pa.array([dealing.squeeze(names[sums.get(i, none)]) for i in parts], pa.binary()), **chunk}
         out = {"part": pa.concat_arrays([blank(n_texts, pa.int32()), pa.array(parts, pa.int32())]),
                "bucket": pa.array([left["bucket"][0].as_py()] * n_rows, pa.int32()),
                "at": pa.concat_arrays([pa.array(np.arange(n_texts, dtype=np.int64)), blank(len(parts), pa.int64())])}
@@ -218,12 +224,12 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
             out[name] = pa.concat_arrays([blank(n_texts, a.type), a])
         return pa.table(out)
 
-    evaluated = dealt.groupBy("bucket").cogroup(counted.where(f"bucket < {1 << 30}").groupBy("bucket")).applyInArrow(evaluate, _EVALUATED)
+    evaluated = dealt.groupBy("bucket").cogroup(counted.where(f"bucket < {STATS}").groupBy("bucket")).applyInArrow(evaluate, _EVALUATED)
     evaluated = keep(evaluated, f"{folder}/evaluated")
 
     def weigh(table: pa.Table) -> pa.Table:
         """Backoff weights of the contexts that are asked for, as log10, summed per waiting text."""
-        keys = dealing.flat(table["keys"])[0].view(U64)
+        keys = np.concatenate([dealing.unsqueeze(k) for k in table["keys"].to_pylist()])
         names, back = np.unique(keys, return_inverse=True)
         mass = np.bincount(back, dealing.flat(table["mass"])[0], len(names))
         share = np.bincount(back, dealing.flat(table["share"])[0], len(names))
@@ -248,7 +254,7 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
 
 _CHUNK = ("keys", "mass", "share", "asked", "doc", "times", "count")
 _EVALUATED = ("part int, bucket int, at bigint, id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-              "base_score double, score double, keys array<bigint>, mass array<double>, share array<double>, "
+              "base_score double, score double, keys binary, mass array<double>, share array<double>, "
               "asked array<bigint>, doc array<bigint>, times array<bigint>, count array<bigint>")
 
 
@@ -256,5 +262,5 @@ def _nothing() -> pa.Table:
     longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
     kinds = {"part": pa.int32(), "bucket": pa.int32(), "at": pa.int64(), "id": pa.int64(), "held_out": pa.bool_(),
              "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64(),
-             "keys": longs, "mass": doubles, "share": doubles, "asked": longs, "doc": longs, "times": longs, "count": longs}
+             "keys": pa.binary(), "mass": doubles, "share": doubles, "asked": longs, "doc": longs, "times": longs, "count": longs}
     return pa.table({k: pa.array([], v) for k, v in kinds.items()})
