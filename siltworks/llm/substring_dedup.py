@@ -31,6 +31,7 @@ ANCHOR = 10
 NONE = np.iinfo(np.int64).min
 TOP = U64(0xFFFFFFFFFFFFFFFF)
 SECOND_BASE = 0xA0761D6478BD642F
+LETTERS = 64
 
 
 class Anchored:
@@ -230,19 +231,7 @@ def _repeated_starts(a: Anchored, right: pa.Table) -> np.ndarray:
     if not len(at):
         return at
 
-    # The shard's automaton: one pattern per anchor phrase of a confirmed window, over word numbers.
-    length_of_anchor = a.window - a.span + 1
-    numbers = np.unique(a.words.hashes, return_inverse=True)[1]
-    wanted = np.unique(a.anchor[at])
-    ranked = np.argsort(a.phrase, kind="stable")
-    sample = ranked[np.searchsorted(a.phrase[ranked], wanted)]
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for words in np.lib.stride_tricks.sliding_window_view(numbers, length_of_anchor)[sample].tolist():
-        automaton.add_word(tuple(words))
-    automaton.make_automaton()
-    hit = np.zeros(len(a.phrase), bool)
-    ends = np.fromiter((end for end, _ in automaton.iter(tuple(numbers.tolist()))), np.int64)
-    hit[ends - length_of_anchor + 1] = True
+    hit = _hits(a, at)
 
     # Windows around hits, by the digests of the confirmed ones.
     found = np.flatnonzero(a.around(a.phrase, hit))
@@ -257,3 +246,40 @@ def _repeated_starts(a: Anchored, right: pa.Table) -> np.ndarray:
     found, spot = found[same], order[spot[same]]
     here = a.ids[texts[found]]
     return found[(home[spot] != here) | (first[spot] != place[found])]
+
+
+def _hits(a: Anchored, windows: np.ndarray) -> np.ndarray:
+    """Marks every place where the anchor phrase of one of the windows stands.
+
+    A word of a phrase is written as letters of a small alphabet, a range of its own for each letter of
+    a word, so that automaton nodes have few branches; a run of words that no phrase has is one blank.
+    """
+    length = a.window - a.span + 1
+    sample = windows[np.unique(a.anchor[windows], return_index=True)[1]]
+    near = sample[:, None] + np.arange(a.span)
+    places = sample + (a.phrase[near] == a.anchor[sample][:, None]).argmax(1)
+    phrases = a.words.hashes[places[:, None] + np.arange(length)]
+    known = np.unique(phrases)
+    letters = 1
+    while LETTERS ** letters <= len(known):
+        letters += 1
+    shift = LETTERS ** np.arange(letters)
+
+    def spell(numbers: np.ndarray) -> str:
+        marks = numbers[:, None] // shift % LETTERS + LETTERS * np.arange(letters)
+        return marks.astype("<u4").tobytes().decode("utf-32-le")
+
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    spelled = spell(1 + np.searchsorted(known, phrases.ravel()))
+    size = length * letters
+    for i in range(0, len(spelled), size):
+        automaton.add_word(spelled[i:i + size])
+    automaton.make_automaton()
+    numbers = np.searchsorted(known, a.words.hashes)
+    numbers[numbers == len(known)] = 0
+    numbers = np.where(known[numbers] == a.words.hashes, numbers + 1, 0)
+    streamed = np.flatnonzero((numbers > 0) | np.concatenate([[False], numbers[:-1] > 0]))
+    ends = np.fromiter((end for end, _ in automaton.iter(spell(numbers[streamed]))), np.int64) // letters
+    hit = np.zeros(len(a.phrase), bool)
+    hit[streamed[ends] - length + 1] = True
+    return hit
