@@ -187,13 +187,13 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
         seen = c2 > 0
         p = np.where(seen, two.discounted(c2) / np.maximum(context + (context > CUT), 1), lower)
         n_texts = len(left)
-        add = lambda x: np.bincount(t.text, x, n_texts)
+        add = lambda x: np.bincount(t.text, x, n_texts).astype(float)
         base = np.log10((c1 + BASE_ADD) / (one.total + BASE_ADD * (one.types + 1)))
 
         mine = first2[speaks & (total2 > 0)]
         names, back = np.unique(t.before[mine], return_inverse=True)
-        mass = np.bincount(back, two.discounted(c2[mine]), len(names))
-        share = np.bincount(back, lower[mine], len(names))
+        mass = np.bincount(back, two.discounted(c2[mine]), len(names)).astype(float)
+        share = np.bincount(back, lower[mine], len(names)).astype(float)
         waits = np.flatnonzero(~seen & (context > 0))
         waits = waits[np.lexsort((t.text[waits], t.before[waits]))]
         asked, doc, count = t.before[waits], t.text[waits], context[waits]
@@ -241,7 +241,7 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
         where = np.stack([np.repeat(table["bucket"].to_numpy().astype(np.int64), sizes), dealing.flat(table["doc"])[0]])
         texts, back = np.unique(where, axis=1, return_inverse=True)
         return pa.table({"bucket": pa.array(texts[0].astype(np.int32), pa.int32()), "at": texts[1],
-                         "weight": np.bincount(back, weight, texts.shape[1])})
+                         "weight": np.bincount(back, weight, texts.shape[1]).astype(float)})
 
     waited = evaluated.where("part is not null").select("part", "bucket", *_CHUNK).groupBy("part").applyInArrow(
         weigh, "bucket int, at bigint, weight double")
