@@ -28,6 +28,8 @@ BLOCKS, WORDS = 3, 16
 MARGIN = 0.1
 SEED = 7
 TILE = 1000
+#: Vectors decoded at once: each gives a row per filter.
+DECODED = 256
 
 
 class ProductCode:
@@ -80,7 +82,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
     def spread(batches):
         codes: dict[int, ProductCode] = {}
-        for batch in batches:
+        for batch in (b.slice(lo, DECODED) for b in batches for lo in range(0, b.num_rows, DECODED)):
             rows = batch["x"].to_pylist()
             dims = np.array([len(r) for r in rows])
             for dim in np.unique(dims):
