@@ -1,6 +1,6 @@
 """Preference pairs of conversations: a shared prompt and two masked completions.
 
-Column expressions only: turns are gathered per conversation, compared place by place, and rendered.
+Column expressions only: turns are gathered per pair, compared place by place, and rendered.
 """
 
 from __future__ import annotations
@@ -16,15 +16,6 @@ def render(turn: Column) -> Column:
     return F.concat(F.lit("<|"), F.coalesce(turn["role"], F.lit("")), F.lit("|>\n"), F.coalesce(turn["text"], F.lit("")), F.lit("<|end|>\n"))
 
 
-def gather(turns: DataFrame, key: str, turn: str, role: str, text: str) -> DataFrame:
-    """Conversations in order of turns: ``conv``, ``turns`` array<struct<role, text>>.  Equal turn numbers
-    are ordered by role and text; a null turn number comes first."""
-    item = F.struct(F.col(f"`{turn}`").alias("turn"), F.col(f"`{role}`").cast("string").alias("role"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = turns.select(F.col(f"`{key}`").cast("long").alias("conv"), item.alias("item")).where("conv is not null")
-    rows = rows.groupBy("conv").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    return rows.select("conv", F.transform("items", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
-
-
 def format_pairs(pairs: DataFrame, learned: tuple[str, ...] = LEARNED) -> DataFrame:
     """``pairs``: pair_id, chosen and rejected (array<struct<role, text>>, null for a missing side).
 
@@ -67,8 +58,21 @@ def format_pairs(pairs: DataFrame, learned: tuple[str, ...] = LEARNED) -> DataFr
 
 def adjacent_pairs(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Conversations 2k (chosen) and 2k + 1 (rejected) as pair k; a conversation without its partner is
-    paired with null.  Rows with a null conversation are no conversation.  No group is larger than two
+    paired with null.  Rows with a null conversation are no conversation.  Equal turn numbers are ordered by
+    role and text; a null turn number comes first.  Turns move once, and no group is larger than two
     conversations, however many share a first turn."""
-    side = gather(turns, key, turn, role, text).withColumn("pair_id", F.expr("conv div 2 - if(conv < 0 and conv % 2 <> 0, 1, 0)"))
+    conv = F.col(f"`{key}`").cast("long")
+    item = F.struct(F.col(f"`{turn}`").alias("turn"), F.col(f"`{role}`").cast("string").alias("role"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = turns.select(conv.alias("conv"), item.alias("item")).where("conv is not null")
+    rows = rows.withColumn("pair_id", F.expr("conv div 2 - if(conv < 0 and conv % 2 <> 0, 1, 0)"))
     odd = F.pmod("conv", F.lit(2)) == 1
-    return side.groupBy("pair_id").agg(F.max(F.when(~odd, F.col("turns"))).alias("chosen"), F.max(F.when(odd, F.col("turns"))).alias("rejected"))
+
+    def side(mine: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(mine, F.col("item"))))
+
+    rows = rows.groupBy("pair_id").agg(side(~odd).alias("even"), side(odd).alias("odd"))
+
+    def shown(items: str) -> Column:
+        return F.when(F.size(items) > 0, F.transform(items, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
+
+    return rows.select("pair_id", shown("even").alias("chosen"), shown("odd").alias("rejected"))
