@@ -131,7 +131,7 @@ select * from (select *, coalesce(lower_bound < upper_bound, false) as is_valid_
       lead(1) over (partition by o_custkey order by valid_from, valid_to) is null as is_last_record from {RANGES}))
 where not (is_valid_range and is_valid_next)""")
 def _(t):
-    return q.mutually_exclusive_ranges(ranges(t), "valid_from", "valid_to", ["o_custkey"], at_most=t.orders)
+    return q.mutually_exclusive_ranges(ranges(t), "valid_from", "valid_to", ["o_custkey"])
 
 
 @query("dq_not_accepted", f"select distinct o_orderpriority from {DIRTY} where o_orderpriority in ('1-URGENT', '5-LOW', '2-HIGH')")
@@ -167,7 +167,7 @@ def _(t):
 select * from (select o_custkey, o_orderkey, lag(o_orderkey) over (partition by o_custkey order by o_orderkey) as previous_o_orderkey from orders)
 where not (o_orderkey = previous_o_orderkey + 1)""")
 def _(t):
-    return q.sequential_values(t.orders, "o_orderkey", group_by=["o_custkey"], at_most=t.orders)
+    return q.sequential_values(t.orders, "o_orderkey", group_by=["o_custkey"])
 
 
 @query("dq_unique_combo", f"""

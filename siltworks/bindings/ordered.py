@@ -74,7 +74,7 @@ def _(t):
 select o_orderkey, row_number() over (order by o_orderdate, o_orderkey) as sequence_number from orders""")
 def _(t):
     return windows.global_row_number(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"],
-                                     "sequence_number", at_most=t.orders).drop("o_orderdate")
+                                     "sequence_number").drop("o_orderdate")
 
 
 @query("lag_sequence", """
@@ -82,7 +82,7 @@ select o_custkey, o_orderkey, o_orderdate, lag(o_orderdate) over (partition by o
 from orders""")
 def _(t):
     return windows.previous_values(t.orders.select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"],
-                                   ["o_orderdate", "o_orderkey"], {"previous_date": col("o_orderdate")}, at_most=t.orders)
+                                   ["o_orderdate", "o_orderkey"], {"previous_date": col("o_orderdate")})
 
 
 @query("range_overlap", """
@@ -91,7 +91,7 @@ select * from (select o_custkey, o_orderkey, beg, fin, lead(beg) over (partition
 def _(t):
     fin = F.timestamp_add("DAY", F.lit(60), col("o_orderdate"))
     rows = t.orders.select("o_custkey", "o_orderkey", col("o_orderdate").alias("beg"), fin.alias("fin"))
-    out = windows.next_values(rows, ["o_custkey"], ["beg", "fin", "o_orderkey"], {"next_beg": col("beg")}, at_most=t.orders)
+    out = windows.next_values(rows, ["o_custkey"], ["beg", "fin", "o_orderkey"], {"next_beg": col("beg")})
     return out.where("fin > next_beg")
 
 
@@ -101,7 +101,7 @@ select o_custkey, o_orderkey, o_orderstatus, o_orderdate as effective_date,
 from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)""")
 def _(t):
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
-    return history_intervals(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"], at_most=t.orders).drop("o_orderdate")
+    return history_intervals(rows, ["o_custkey"], "o_orderdate", ["o_orderkey"]).drop("o_orderdate")
 
 
 @query("dense_rank_weeks", """
@@ -141,7 +141,7 @@ select o_custkey, o_orderkey, cast(sum(cast(o_totalprice as decimal(18,2))) over
 from orders""")
 def _(t):
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", col("o_totalprice").cast("decimal(18,2)").alias("price"))
-    out = windows.running_sum(rows, ["o_custkey"], ["o_orderdate"], "price", "running_total", at_most=t.orders)
+    out = windows.running_sum(rows, ["o_custkey"], ["o_orderdate"], "price", "running_total")
     return out.select("o_custkey", "o_orderkey", col("running_total").cast("double").alias("running_total"))
 
 

@@ -16,9 +16,6 @@ MASTER_ID_PREFIX = "DTU_PERSON_"
 EARTH_RADIUS_MILES = 3961
 KM_PER_MILE = 1.60934
 
-# A window that is not split may put this many rows of a group in one task.
-ROWS_PER_TASK = 4_000_000
-
 
 @dataclass(frozen=True)
 class RunConfig:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.operators.windows import by_group_size, running_totals, same
+from siltworks.operators.windows import attach, in_ranges, running_totals, unused
 
 AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 COMPARISONS = {
@@ -73,54 +73,32 @@ def single_value(df: DataFrame, value: Column, default, name: str = "value") ->
 
 
 def percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
-                rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
-    """Interpolated percentiles per group.
+                ranges: int | None = None) -> DataFrame:
+    """Interpolated percentiles per group, null for a group without values.
 
-    The built-in aggregate keeps a group's distinct values in one task.  For groups
-    too large for that the rank comes from running counts of the value frequencies,
-    which are spread over tasks.
+    The built-in aggregate keeps a group's distinct values in one task.  Here the rank
+    comes from running counts of the value frequencies, which are spread over ranges.
+    A null counts nothing but keeps the row of its group.
     """
-    def plain(rows):
-        return rows.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(n) for n, q in quantiles.items()])
-
-    return by_group_size(df, group, plain, lambda rows, ranges: _ranked_percentiles(rows, group, value, quantiles, ranges),
-                         rows_per_task, at_most)
-
-
-def _ranked_percentiles(df, group, value, quantiles, ranges):
-    """Percentiles from running counts of the distinct values."""
-    freq = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("__v"))
-    freq = freq.agg(F.count("*").alias("__n"))
-    ranked = running_totals(freq, group, ["__v"], "__n", "__upto", ranges)
-    sizes = freq.groupBy(*group).agg(F.sum("__n").alias("__size"))
-    if group:
-        right = sizes.select(*[F.col(g).alias(f"__s_{g}") for g in group], "__size")
-        ranked = ranked.join(right, same([ranked[g] for g in group], [right[f"__s_{g}"] for g in group]))
-    else:
-        ranked = ranked.withColumn("__size", sizes.scalar())
-    cells = []
-    for i, q in enumerate(quantiles.values()):
-        place = (F.col("__size") - 1) * F.lit(q)
-        cells += [F.min(F.when(F.col("__upto") > F.floor(place), F.col("__v"))).alias(f"__low{i}"),
-                  F.min(F.when(F.col("__upto") > F.ceil(place), F.col("__v"))).alias(f"__high{i}"),
+    number, n, upto, size, chunk = unused(df, "__value", "__n", "__upto", "__size", "__chunk")
+    freq = df.groupBy(*group, F.col(value).cast("double").alias(number)).agg(F.count(F.col(value)).alias(n))
+    freq = in_ranges(freq, [*group, number], chunk, ranges)
+    ranked = running_totals(freq, group, [number], n, upto, chunk, whole=size)
+    cells, made = [], []
+    for i, (name, q) in enumerate(quantiles.items()):
+        place = (F.col(size) - 1) * F.lit(q)
+        cells += [F.min(F.when(F.col(upto) > F.floor(place), F.col(number))).alias(f"__low{i}"),
+                  F.min(F.when(F.col(upto) > F.ceil(place), F.col(number))).alias(f"__high{i}"),
                   F.max(place - F.floor(place)).alias(f"__part{i}")]
-    found = ranked.groupBy(*group).agg(*cells)
-    made = [(F.col(f"__low{i}") + (F.col(f"__high{i}") - F.col(f"__low{i}")) * F.col(f"__part{i}")).alias(n)
-            for i, n in enumerate(quantiles)]
-    if not group:
-        return found.select(*made)
-    groups = df.select(*group).distinct()  # a group of nulls only keeps its row
-    right = found.select(*[F.col(g).alias(f"__s_{g}") for g in group], *made)
-    on = same([groups[g] for g in group], [right[f"__s_{g}"] for g in group])
-    return groups.join(right, on, "left").select(*group, *quantiles)
+        low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
+        made.append((low + (high - low) * F.col(f"__part{i}")).alias(name))
+    return ranked.groupBy(*group).agg(*cells).select(*group, *made)
 
 
 def with_percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
-                     rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
+                     ranges: int | None = None) -> DataFrame:
     """Each row with the percentiles of its group: the windowed form, as a join to one row per group."""
-    found = percentiles(df, group, value, quantiles, rows_per_task, at_most)
+    found = percentiles(df, group, value, quantiles, ranges)
     if not group:
         return df.withColumns({n: found.select(n).scalar() for n in quantiles})
-    right = found.select(*[F.col(g).alias(f"__p_{g}") for g in group], *quantiles)
-    on = same([df[g] for g in group], [right[f"__p_{g}"] for g in group])
-    return df.join(right, on, "left").drop(*[f"__p_{g}" for g in group])
+    return attach(df, found, group, list(quantiles))

@@ -1,86 +1,54 @@
 """Ordered operators that stay parallel when one group holds most of the rows.
 
-A window puts all rows of a group into one task.  That is fine for a group of at
-most ``rows_per_task`` rows, so inputs are counted first, in total and, if that is
-more, per group.  The rows of larger groups (few, since each is large) are set
-apart: their order domain is cut into ranges, the window runs per (group, range),
-and a second window over one summary row per (group, range) carries values across
-the cuts.  The cuts come from a bounded sample (or Spark's range partitioner), so
-they steer only the balance: every result is exact.
+A window puts all rows of a group into one task.  Here the rows are dealt into ranges
+of (group, order, row hash) instead, which fixes one total order, and are written once
+to the shared folder, which fixes the range of each row.  The window runs per (group,
+range); a second window over one summary row per (group, range) carries values across
+the cuts.  There is one form for all sizes.  Ranges hold about equally many rows, so
+their number (``ranges``; by default the session's shuffle partitions) is what a user
+raises with the data; it steers the balance only.  Rows equal in every column have
+nothing to be told apart by and stay in one range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.config import ROWS_PER_TASK, keep, shared_dir
+from siltworks.config import shared_dir
 
-CHUNK = "__chunk"
-TIE = "__tie"
-SAMPLE_PER_CHUNK = 200
-MAX_CUTS = 32
-MAX_CHUNKS = 20_000
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the table has them already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
-def by_group_size(df: DataFrame, group: list[str], plain: Callable[[DataFrame], DataFrame],
-                  split: Callable[[DataFrame, int], DataFrame], rows_per_task: int | None = None,
-                  at_most: DataFrame | int | None = None) -> DataFrame:
-    """``plain`` for groups that fit one task, ``split`` (with a number of ranges) for larger ones.
 
-    ``at_most`` is a number of rows, or a table, known to be no smaller than ``df``;
-    counting a plain scan reads file footers only.
-    """
-    limit = rows_per_task or ROWS_PER_TASK
-    total = at_most if isinstance(at_most, int) else (df if at_most is None else at_most).count()
-    if total <= limit:
-        return plain(df)
-    if not group:
-        return split(df, ranges_for(total, limit))
-    sizes = df.groupBy(*group).agg(F.count("*").alias("__size")).where(F.col("__size") > limit)
-    hot = keep(sizes, shared_dir(df.sparkSession))  # at most total / limit rows
-    rows = hot.agg(F.sum("__size")).first()[0]
-    if rows is None:
-        return plain(df)
-    marks = hot.select(*[F.col(g).alias(f"__h_{g}") for g in group])
-    on = same([df[g] for g in group], [marks[f"__h_{g}"] for g in group])
-    rest = df.join(F.broadcast(marks), on, "left_anti")
-    large = df.join(F.broadcast(marks), on, "left_semi")
-    return plain(rest).unionByName(split(large, ranges_for(rows, limit)))
-
-
-def ranges_for(rows: int, limit: int) -> int:
-    return min(2 * (rows // limit) + 1, MAX_CHUNKS)
-
-
-def with_chunk(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
-    """Add the range number of each row, rising with the ascending order (nulls first).
-
-    A few cuts become one expression; for many, Spark range-partitions the rows and
-    the result is written, which fixes each row's range for all later steps.
-    """
-    if chunks > MAX_CUTS:
-        ranged = df.repartitionByRange(chunks, *order).withColumn(CHUNK, F.spark_partition_id())
-        return keep(ranged, shared_dir(df.sparkSession))
-    types = dict(df.dtypes)
-    sampled = df.select(*order).orderBy(F.rand(17)).limit(SAMPLE_PER_CHUNK * chunks)
-    rows = sampled.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()
-    cuts = list(dict.fromkeys(tuple(rows[len(rows) * i // chunks]) for i in range(1, chunks))) if rows else []
-    key = F.struct(*[F.col(c) for c in order])
+def row_hash_of(df: DataFrame) -> Column:
+    """64-bit hash of a row.  Maps, which have no hash, go in as JSON text."""
+    kinds = dict(df.dtypes)
+    cells = [F.to_json(F.struct(F.col(c))) if "map<" in kinds[c] else F.col(c) for c in df.columns]
+    return F.xxhash64(*cells)
 
-    def bound(cut) -> Column:
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(cut, order)])
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(key < bound(cuts[mid]), search(low, mid)).otherwise(search(mid + 1, high))
+def in_ranges(df: DataFrame, order: list[str], chunk: str, ranges: int | None = None) -> DataFrame:
+    """The table with the number of each row's range, rising with the ascending order (nulls first).
 
-    return df.withColumn(CHUNK, search(0, len(cuts)))
+    Spark samples the order columns for the bounds, then the rows are written once and read back.
+    """
+    spark = df.sparkSession
+    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(count, *order).withColumn(chunk, F.spark_partition_id())
+    folder = shared_dir(spark)
+    dealt.write.parquet(folder)
+    return spark.read.schema(dealt.schema).parquet(folder)
 
 
 def same(left: list[Column], right: list[Column]) -> Column:
@@ -88,100 +56,93 @@ def same(left: list[Column], right: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
 
 
-def _carry(chunked: DataFrame, carried: DataFrame, group: list[str]) -> DataFrame:
-    """Attach the summary row of its (group, range) to each row."""
-    keys = [*group, CHUNK]
-    right = carried.select(*[F.col(k).alias(f"__r_{k}") for k in keys], "__carried")
-    on = same([chunked[k] for k in keys], [right[f"__r_{k}"] for k in keys])
-    return chunked.join(right, on, "left").drop(*[f"__r_{k}" for k in keys])
+def attach(df: DataFrame, found: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Columns ``names`` of the row of ``found`` with the same keys (nulls equal), if any."""
+    right = found.select(*[F.col(k).alias(f"__r_{i}") for i, k in enumerate(keys)],
+                         *[F.col(n).alias(f"__f_{i}") for i, n in enumerate(names)])
+    on = same([df[k] for k in keys], [right[f"__r_{i}"] for i in range(len(keys))])
+    return df.join(right, on, "left").select(
+        *[df[c] for c in df.columns], *[right[f"__f_{i}"].alias(n) for i, n in enumerate(names)])
 
 
-def _neighbour(df, group, order, values, forward, rows_per_task, at_most):
+def _neighbour(df, group, order, values, forward, ranges, tie):
     shift, edge = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
-    if TIE not in df.columns:
-        df = df.withColumn(TIE, F.xxhash64(*df.columns))
-    df = df.withColumn("__values", F.struct(*[c.alias(n) for n, c in values.items()]))
-
-    def named(out):
-        return out.select(*[c for c in out.columns if not c.startswith("__")],
-                          *[F.col(f"__near.{n}").alias(n) for n in values])
-
-    def plain(rows):
-        return named(rows.withColumn("__near", shift("__values").over(Window.partitionBy(*group).orderBy(*order))))
-
-    def split(rows, ranges):
-        total_order = [*order, TIE]  # rows equal in the order may spread over ranges
-        rows = with_chunk(rows, total_order, ranges)
-        edges = rows.groupBy(*group, CHUNK).agg(edge("__values", F.struct(*total_order)).alias("__edge"))
-        edges = edges.withColumn("__carried", shift("__edge").over(Window.partitionBy(*group).orderBy(CHUNK)))
-        w = Window.partitionBy(*group, CHUNK).orderBy(*total_order)
-        rows = _carry(rows.withColumn("__inner", shift("__values").over(w)), edges, group)
-        return named(rows.withColumn("__near", F.coalesce("__inner", "__carried")))
-
-    return by_group_size(df, group, plain, split, rows_per_task, at_most)
+    kept = [c for c in df.columns if c != tie]
+    rank, near, chunk, last, inner, carried = unused(df, "__rank", "__near", "__chunk", "__last", "__inner", "__carried")
+    rows = df.withColumns({rank: F.col(tie) if tie else row_hash_of(df),
+                           near: F.struct(*[c.alias(n) for n, c in values.items()])})
+    total_order = [*order, rank]
+    rows = in_ranges(rows, [*group, *total_order], chunk, ranges)
+    edges = rows.groupBy(*group, chunk).agg(edge(near, F.struct(*total_order)).alias(last))
+    edges = edges.withColumn(carried, shift(last).over(Window.partitionBy(*group).orderBy(chunk)))
+    w = Window.partitionBy(*group, chunk).orderBy(*total_order)
+    rows = attach(rows.withColumn(inner, shift(near).over(w)), edges, [*group, chunk], [carried])
+    found = rows.withColumn(near, F.coalesce(inner, carried))
+    return found.select(*kept, *[F.col(near)[n].alias(n) for n in values])
 
 
 def previous_values(df: DataFrame, group: list[str], order: list[str], values: dict[str, Column],
-                    rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
-    """Add, per group, values of the row before in ascending order (``lag``)."""
-    return _neighbour(df, group, order, values, False, rows_per_task, at_most)
+                    ranges: int | None = None, tie: str | None = None) -> DataFrame:
+    """Add, per group, values of the row before in ascending order (``lag``).
+
+    Rows equal in the order follow a hash of the row, or column ``tie``, which is then left out.
+    """
+    return _neighbour(df, group, order, values, False, ranges, tie)
 
 
 def next_values(df: DataFrame, group: list[str], order: list[str], values: dict[str, Column],
-                rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
-    """Add, per group, values of the row after in ascending order (``lead``)."""
-    return _neighbour(df, group, order, values, True, rows_per_task, at_most)
+                ranges: int | None = None, tie: str | None = None) -> DataFrame:
+    """Add, per group, values of the row after in ascending order (``lead``); ties as in ``previous_values``."""
+    return _neighbour(df, group, order, values, True, ranges, tie)
 
 
 def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, name: str,
-                rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
+                ranges: int | None = None) -> DataFrame:
     """Add the sum of ``value`` up to and including all rows equal in the order.
 
-    In the split form rows equal in group and order are summed first, so neither a
-    hot group nor a hot order value meets in one task.
+    Rows equal in group and order may lie in several ranges; each range sums its own,
+    and one row per (group, order) with the sum of all of them takes the running total.
+    """
+    rank, chunk, first, total = unused(df, "__rank", "__chunk", "__first", "__total")
+    rows = in_ranges(df.withColumn(rank, row_hash_of(df)), [*group, *order, rank], chunk, ranges)
+    keys = [*group, *order]
+    cells = rows.groupBy(*keys, chunk).agg(F.sum(value).alias(total))
+    peers = cells.groupBy(*keys).agg(F.sum(total).alias(total), F.min(chunk).alias(first))
+    sums = running_totals(peers, group, order, total, name, first)
+    sums = attach(cells.select(*keys, chunk), sums, keys, [name])
+    return attach(rows, sums, [*keys, chunk], [name]).select(*df.columns, name)
+
+
+def running_totals(df: DataFrame, group: list[str], order: list[str], value: str, name: str, chunk: str,
+                   whole: str | None = None) -> DataFrame:
+    """Running sum over rows that are unique in group and order and have the number of their range.
+
+    ``whole`` names a column for the sum of the group.
     """
-    def plain(rows):
-        return rows.withColumn(name, F.sum(value).over(Window.partitionBy(*group).orderBy(*order)))
-
-    def split(rows, ranges):
-        keys = [*group, *order]
-        sums = rows.groupBy(*keys).agg(F.sum(value).alias("__value"))
-        right = running_totals(sums, group, order, "__value", name, ranges)
-        right = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], name)
-        on = same([rows[k] for k in keys], [right[f"__r_{k}"] for k in keys])
-        return rows.join(right, on).drop(*[f"__r_{k}" for k in keys])
-
-    return by_group_size(df, group, plain, split, rows_per_task, at_most)
-
-
-def running_totals(df: DataFrame, group: list[str], order: list[str], value: str, name: str, chunks: int) -> DataFrame:
-    """Split running sum over rows that are unique in group and order."""
-    df = with_chunk(df, order, chunks)
-    before = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*group, CHUNK).agg(F.sum(value).alias("__total"))
-    totals = totals.withColumn("__carried", F.sum("__total").over(before))
-    df = df.withColumn("__inner", F.sum(value).over(Window.partitionBy(*group, CHUNK).orderBy(*order)))
-    df = _carry(df, totals, group)
-    total = F.coalesce(F.col("__inner") + F.col("__carried"), "__inner", "__carried")
-    return df.withColumn(name, total).drop("__inner", "__carried", CHUNK)
-
-
-def global_row_number(df: DataFrame, order: list[str], name: str,
-                      rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
-    """Number all rows 1..n in an order without ties."""
-    def plain(rows):
-        return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
-    def split(rows, ranges):
-        rows = with_chunk(rows, order, ranges)
-        before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        counts = rows.groupBy(CHUNK).agg(F.count("*").alias("__n"))  # one row per range
-        counts = counts.select(CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__carried"))
-        rows = rows.withColumn("__inner", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order)))
-        number = F.col("__inner") + F.col("__carried")
-        return rows.join(F.broadcast(counts), CHUNK).withColumn(name, number).drop("__inner", "__carried", CHUNK)
-
-    return by_group_size(df, [], plain, split, rows_per_task, at_most)
+    part, carried, inner = unused(df, "__part", "__carried", "__inner")
+    per_group = Window.partitionBy(*group)
+    before = per_group.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    parts = df.groupBy(*group, chunk).agg(F.sum(value).alias(part))  # one row per group and range
+    parts = parts.withColumn(carried, F.sum(part).over(before))
+    if whole:
+        parts = parts.withColumn(whole, F.sum(part).over(per_group))
+    sums = df.withColumn(inner, F.sum(value).over(Window.partitionBy(*group, chunk).orderBy(*order)))
+    sums = attach(sums, parts, [*group, chunk], [carried, *([whole] if whole else [])])
+    total = F.coalesce(F.col(inner) + F.col(carried), inner, carried)
+    return sums.withColumn(name, total).drop(inner, carried)
+
+
+def global_row_number(df: DataFrame, order: list[str], name: str, ranges: int | None = None) -> DataFrame:
+    """Number all rows 1..n in an order; rows equal in it follow a hash of the row."""
+    rank, chunk, size, carried, inner = unused(df, "__rank", "__chunk", "__size", "__carried", "__inner")
+    total_order = [*order, rank]
+    rows = in_ranges(df.withColumn(rank, row_hash_of(df)), total_order, chunk, ranges)
+    before = Window.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(chunk).agg(F.count("*").alias(size))  # one row per range
+    counts = counts.withColumn(carried, F.coalesce(F.sum(size).over(before), F.lit(0)))
+    rows = rows.withColumn(inner, F.row_number().over(Window.partitionBy(chunk).orderBy(*total_order)))
+    rows = attach(rows, counts, [chunk], [carried])
+    return rows.select(*df.columns, (F.col(inner) + F.col(carried)).cast("bigint").alias(name))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

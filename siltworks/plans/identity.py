@@ -50,13 +50,13 @@ def number_persons(people: DataFrame, previous: DataFrame | None = None, rows_pe
     """Add ``master_id``.  Stored persons keep theirs; new ones are numbered after the highest."""
     order = ["source_id", "source_system"]
     if previous is None:
-        numbered = global_row_number(people, order, "__n", rows_per_task, at_most)
+        numbered = global_row_number(people, order, "__n")
         return numbered.withColumn("master_id", master_id(F.col("__n"))).drop("__n")
     stored = previous.where(F.col("is_primary_source")).select("source_system", "source_id", "master_id").distinct()
     kept = people.join(stored, ["source_system", "source_id"])
     added = people.join(stored, ["source_system", "source_id"], "left_anti")
     top = previous.agg(F.max(F.substring("master_id", len(MASTER_ID_PREFIX) + 1, 20).cast("bigint"))).scalar()
-    numbered = global_row_number(added, order, "__n", rows_per_task, at_most)
+    numbered = global_row_number(added, order, "__n")
     numbered = numbered.withColumn("master_id", master_id(F.col("__n") + F.coalesce(top, F.lit(0)))).drop("__n")
     return kept.unionByName(numbered)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltworks.functions.dates import shift
 from siltworks.operators.joins import full_outer
 from siltworks.operators.tables import symmetric_difference
-from siltworks.operators.windows import TIE, next_values, previous_values
+from siltworks.operators.windows import next_values, previous_values, row_hash_of
 
 IGNORE_RULES = ("all_values_are_missing", "any_value_is_missing")
 
@@ -156,17 +156,17 @@ def equality_failures() -> Column:
 # --- ordered ---------------------------------------------------------------------
 
 def mutually_exclusive_ranges(df, lower, upper, partition_by=(), gaps="allowed", zero_length_allowed=False,
-                              rows_per_task=None, at_most=None):
+                              ranges=None):
     """Ranges that end before they begin, overlap the next one, or break the gap rule."""
     rules = {"allowed": lambda a, b: a <= b, "not_allowed": lambda a, b: a == b, "required": lambda a, b: a < b}
     if gaps not in rules:
         raise ValueError(f"gaps is one of {sorted(rules)}")
     group = list(partition_by)
-    ranges = df.select(*group, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"),
-                       F.xxhash64(*df.columns).alias(TIE))
+    spans = df.select(*group, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"),
+                      row_hash_of(df).alias("__tie"))
     order = ["lower_bound", "upper_bound"]
-    out = next_values(ranges, group, order,
-                      {"next_lower_bound": F.col("lower_bound"), "has_next": F.lit(True)}, rows_per_task, at_most)
+    out = next_values(spans, group, order,
+                      {"next_lower_bound": F.col("lower_bound"), "has_next": F.lit(True)}, ranges, "__tie")
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     out = out.withColumn("is_last_record", F.col("has_next").isNull()).drop("has_next")
     own = low <= high if zero_length_allowed else low < high
@@ -184,11 +184,11 @@ def recency(df, field, datepart, interval, now, ignore_time=False, group_by=()):
     return out.where(F.col("most_recent") < F.col("threshold"))
 
 
-def sequential_values(df, column, interval=1, datepart=None, group_by=(), rows_per_task=None, at_most=None):
+def sequential_values(df, column, interval=1, datepart=None, group_by=(), ranges=None):
     """Values that are not one step after the value before; the first of a group passes."""
     group, before = list(group_by), f"previous_{column}"
-    rows = df.select(*group, column, F.xxhash64(*df.columns).alias(TIE))
-    out = previous_values(rows, group, [column], {before: F.col(column)}, rows_per_task, at_most)
+    rows = df.select(*group, column, row_hash_of(df).alias("__tie"))
+    out = previous_values(rows, group, [column], {before: F.col(column)}, ranges, "__tie")
     wanted = F.col(before) + interval if datepart is None else shift(F.col(before), datepart, interval)
     here = F.col(column) if datepart is None else F.col(column).cast("timestamp_ntz")
     wanted = wanted if datepart is None else wanted.cast("timestamp_ntz")

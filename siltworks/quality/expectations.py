@@ -161,28 +161,28 @@ def expect_column_values_to_be_between(df, column, min_value=None, max_value=Non
     return accepted_range(df, column, min_value, max_value, not strictly, where)
 
 
-def _along(df, column, sort_column, group_by, where, bad, rows_per_task, at_most):
+def _along(df, column, sort_column, group_by, where, bad, ranges):
     rows = filtered(df, where)
     group, order = list(group_by), [sort_column] if sort_column == column else [sort_column, column]
-    out = previous_values(rows, group, order, {"value_lag": F.col(column)}, rows_per_task, at_most)
+    out = previous_values(rows, group, order, {"value_lag": F.col(column)}, ranges)
     return out.where(bad(F.col(column), F.col("value_lag")))
 
 
 def expect_column_values_to_be_increasing(df, column, sort_column, where=None, strictly=True, group_by=(),
-                                          rows_per_task=None, at_most=None):
+                                          ranges=None):
     """Rows not above the row before; rows equal in the sort column are ordered by value."""
     def bad(c, lag):
         return c <= lag if strictly else c < lag
 
-    return _along(df, column, sort_column, group_by, where, bad, rows_per_task, at_most)
+    return _along(df, column, sort_column, group_by, where, bad, ranges)
 
 
 def expect_column_values_to_be_decreasing(df, column, sort_column, where=None, strictly=True, group_by=(),
-                                          rows_per_task=None, at_most=None):
+                                          ranges=None):
     def bad(c, lag):
         return c >= lag if strictly else c > lag
 
-    return _along(df, column, sort_column, group_by, where, bad, rows_per_task, at_most)
+    return _along(df, column, sort_column, group_by, where, bad, ranges)
 
 
 def expect_column_value_lengths_to_be_between(df, column, min_value=None, max_value=None, where=None, strictly=False):
@@ -290,16 +290,16 @@ def expect_column_mean_to_be_between(df, column, min_value=None, max_value=None,
 
 
 def expect_column_quantile_values_to_be_between(df, column, quantile, min_value=None, max_value=None, group_by=(),
-                                                where=None, strictly=False, rows_per_task=None, at_most=None):
+                                                where=None, strictly=False, ranges=None):
     rows = filtered(df, where)
-    found = percentiles(rows, list(group_by), column, {"expression": quantile}, rows_per_task, at_most)
+    found = percentiles(rows, list(group_by), column, {"expression": quantile}, ranges)
     return found.where(fails(within(min_value, max_value, strictly)(F.col("expression"))))
 
 
 def expect_column_median_to_be_between(df, column, min_value=None, max_value=None, group_by=(), where=None,
-                                       strictly=False, rows_per_task=None, at_most=None):
+                                       strictly=False, ranges=None):
     return expect_column_quantile_values_to_be_between(df, column, 0.5, min_value, max_value, group_by, where,
-                                                       strictly, rows_per_task, at_most)
+                                                       strictly, ranges)
 
 
 def expect_column_stdev_to_be_between(df, column, min_value=None, max_value=None, group_by=(), where=None,

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.operators.windows import first_per_key, next_values
+from siltworks.operators.windows import first_per_key, next_values, row_hash_of
 
 POLICIES = ("sync_all_columns", "append_new_columns", "fail")
 
@@ -107,17 +107,16 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], partition_by: lis
 
     A row hash ends the range key, so rows of one hot key fill several files.
     """
-    out = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys).write.mode("overwrite")
+    out = df.repartitionByRange(*keys, row_hash_of(df)).sortWithinPartitions(*keys).write.mode("overwrite")
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
 # --- history -----------------------------------------------------------------------
 
 def history_intervals(df: DataFrame, key: list[str], ts: str, tie: list[str] = (),
-                      rows_per_task: int | None = None, at_most: DataFrame | int | None = None) -> DataFrame:
+                      ranges: int | None = None) -> DataFrame:
     """Valid-from / valid-to of each version; the newest one is current."""
-    out = next_values(df.withColumn("effective_date", F.col(ts)), key, [ts, *tie], {"end_date": F.col(ts)},
-                      rows_per_task, at_most)
+    out = next_values(df.withColumn("effective_date", F.col(ts)), key, [ts, *tie], {"end_date": F.col(ts)}, ranges)
     return out.withColumn("is_current", F.col("end_date").isNull())
 
 

@@ -1,4 +1,4 @@
-"""Split windows must equal plain ones, whatever the size of the largest group."""
+"""Ranged windows must equal plain ones, whatever the size of the largest group, and not depend on where rows lie."""
 
 import datetime as dt
 import random
@@ -12,14 +12,7 @@ from siltworks.operators.aggregate import percentiles
 from siltworks.quality.checks import mutually_exclusive_ranges, sequential_values
 from siltworks.sources.stored import history_intervals
 
-TINY = 100
-
-
-@pytest.fixture(autouse=True, params=["expression", "written ranges"])
-def cuts(request, monkeypatch):
-    """Both ways to cut the order domain."""
-    if request.param != "expression":
-        monkeypatch.setattr(w, "MAX_CUTS", 1)
+RANGES = 13
 
 
 @pytest.fixture(scope="module")
@@ -39,8 +32,8 @@ def hot(spark):
 def test_neighbours(hot, rows, group, order):
     win = Window.partitionBy(*group).orderBy(*order)
     plain = hot.select("id", F.lag("v").over(win).alias("p"), F.lead("ts").over(win).alias("n"))
-    out = w.previous_values(hot, group, order, {"p": F.col("v")}, TINY)
-    out = w.next_values(out, group, order, {"n": F.col("ts")}, TINY).select("id", "p", "n")
+    out = w.previous_values(hot, group, order, {"p": F.col("v")}, RANGES)
+    out = w.next_values(out, group, order, {"n": F.col("ts")}, RANGES).select("id", "p", "n")
     assert rows(out) == rows(plain)
 
 
@@ -48,19 +41,19 @@ def test_neighbours(hot, rows, group, order):
 @pytest.mark.parametrize("order", [["ts"], ["ts", "id"], ["s"]])
 def test_running_sum(hot, rows, group, order):
     plain = hot.select("id", F.sum("v").over(Window.partitionBy(*group).orderBy(*order)).alias("t"))
-    assert rows(w.running_sum(hot, group, order, "v", "t", TINY).select("id", "t")) == rows(plain)
+    assert rows(w.running_sum(hot, group, order, "v", "t", RANGES).select("id", "t")) == rows(plain)
 
 
 def test_global_row_number(hot, rows):
     plain = hot.select("id", F.row_number().over(Window.orderBy("s", "id")).cast("bigint").alias("n"))
-    assert rows(w.global_row_number(hot, ["s", "id"], "n", TINY).select("id", "n")) == rows(plain)
+    assert rows(w.global_row_number(hot, ["s", "id"], "n", RANGES).select("id", "n")) == rows(plain)
 
 
 @pytest.mark.parametrize("group", [["g"], []])
 def test_percentiles(hot, group):
     quantiles = {"q0": 0.0, "q37": 0.37, "median": 0.5, "q100": 1.0}
     plain = hot.groupBy(*group).agg(*[F.percentile("v", F.lit(q)).alias(n) for n, q in quantiles.items()])
-    split = percentiles(hot, group, "v", quantiles, TINY)
+    split = percentiles(hot, group, "v", quantiles, RANGES)
     a = {r["g"] if group else 0: [r[n] for n in quantiles] for r in plain.collect()}
     b = {r["g"] if group else 0: [r[n] for n in quantiles] for r in split.collect()}
     assert a.keys() == b.keys()
@@ -73,46 +66,53 @@ def test_percentiles_on_rows(hot, rows):
     plain = hot.select("id", F.percentile("v", F.lit(0.5)).over(win).alias("m"))
     from siltworks.operators.aggregate import with_percentiles
 
-    assert rows(with_percentiles(hot, ["g"], "v", {"m": 0.5}, TINY).select("id", "m")) == rows(plain)
+    assert rows(with_percentiles(hot, ["g"], "v", {"m": 0.5}, RANGES).select("id", "m")) == rows(plain)
     assert with_percentiles(hot, [], "v", {"m": 0.5}).select("m").distinct().count() == 1
 
 
 def test_ranges_are_small_and_ordered(hot):
-    out = w.with_chunk(hot, ["s", "id"], w.ranges_for(1200, TINY))
-    sizes = out.groupBy(w.CHUNK).agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy(w.CHUNK).collect()
-    assert len(sizes) > 10 and max(r["n"] for r in sizes) < 4 * TINY
+    out = w.in_ranges(hot, ["s", "id"], "c", RANGES)
+    sizes = out.groupBy("c").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("c").collect()
+    assert len(sizes) > 10 and max(r["n"] for r in sizes) < 400
     assert all(a["hi"] <= b["lo"] for a, b in zip(sizes, sizes[1:]))
 
 
-def test_only_large_groups_are_split(hot):
-    def parts(limit, group=("g",), at_most=None):
-        seen = {}
+def test_ties_do_not_depend_on_where_rows_lie(spark, hot, rows):
+    tied = hot.withColumn("ts", F.expr("date_trunc('DAY', ts)")).withColumn("at", F.lit(1))
+    seen = []
+    for parts, ranges in ((3, 2), (11, 13), (1, 40)):
+        moved = tied.repartition(parts, F.rand(parts))
+        seen.append([rows(w.previous_values(moved, ["g"], ["ts"], {"p": F.col("id")}, ranges)),
+                     rows(w.next_values(moved, [], ["at"], {"n": F.col("id")}, ranges)),
+                     rows(w.running_sum(moved, ["g"], ["at"], "v", "t", ranges)),
+                     rows(w.global_row_number(moved, ["at"], "n", ranges))])
+    assert seen[0] == seen[1] == seen[2]
 
-        def plain(rows):
-            seen["plain"] = sorted({r[0] or "" for r in rows.select("g").distinct().collect()})
-            return rows
 
-        def split(rows, ranges):
-            seen["split"] = sorted({r[0] or "" for r in rows.select("g").distinct().collect()})
-            return rows
+def test_columns_of_the_caller_stay(spark):
+    df = spark.sql("select id as __mine, map('a', id) as __rank, id % 2 as __chunk, 1 as x from range(6)")
+    out = w.previous_values(df, ["__chunk"], ["x"], {"p": F.col("__mine")}, 3)
+    assert out.columns == ["__mine", "__rank", "__chunk", "x", "p"]
+    assert out.where("p is null").count() == 2
+    assert w.global_row_number(df, ["x"], "n", 3).select("n").distinct().count() == 6
 
-        n = w.by_group_size(hot, list(group), plain, split, limit, at_most).count()
-        assert n == 1200
-        return seen
 
-    assert list(parts(5000)) == ["plain"]
-    assert list(parts(700)) == ["plain"]
-    assert list(parts(700, group=())) == ["split"]
-    assert list(parts(700, at_most=600)) == ["plain"]
-    both = parts(300)
-    assert both["split"] == ["hot"] and "a" in both["plain"] and "" in both["plain"] and "hot" not in both["plain"]
+@pytest.mark.parametrize("group", [["g"], []])
+def test_empty_input(hot, group):
+    none = hot.where("id < 0")
+    assert w.previous_values(none, group, ["ts"], {"p": F.col("v")}, RANGES).count() == 0
+    assert w.running_sum(none, group, ["ts"], "v", "t", RANGES).count() == 0
+    assert w.global_row_number(none, ["ts"], "n", RANGES).count() == 0
+    assert [tuple(r) for r in percentiles(none, group, "v", {"m": 0.5}, RANGES).collect()] == ([] if group else [(None,)])
 
 
 def test_checks_on_hot_groups(hot, rows):
-    ranges = hot.where("ts is not null").withColumn("until", F.expr("timestampadd(HOUR, 2 + id % 3, ts)"))
-    args = (ranges, "ts", "until", ["g"])
-    assert rows(mutually_exclusive_ranges(*args, rows_per_task=TINY)) == rows(mutually_exclusive_ranges(*args))
-    assert rows(sequential_values(hot, "id", group_by=["g"], rows_per_task=TINY)) == rows(sequential_values(hot, "id", group_by=["g"]))
+    spans = hot.where("ts is not null").withColumn("until", F.expr("timestampadd(HOUR, 2 + id % 3, ts)"))
+    args = (spans, "ts", "until", ["g"])
+    assert rows(mutually_exclusive_ranges(*args, ranges=RANGES)) == rows(mutually_exclusive_ranges(*args, ranges=1))
+    win = Window.partitionBy("g").orderBy("id")
+    steps = hot.select("g", "id", F.lag("id").over(win).alias("previous_id")).where("id <> previous_id + 1")
+    assert rows(sequential_values(hot, "id", group_by=["g"], ranges=RANGES)) == rows(steps)
     versions = hot.select("id", "g", "ts")
-    a = history_intervals(versions, ["g"], "ts", ["id"], rows_per_task=TINY)
-    assert rows(a) == rows(history_intervals(versions, ["g"], "ts", ["id"]))
+    a = history_intervals(versions, ["g"], "ts", ["id"], ranges=RANGES)
+    assert rows(a) == rows(history_intervals(versions, ["g"], "ts", ["id"], ranges=1))
