@@ -170,21 +170,21 @@ _MAIL = "nullif(lower(trim(email)), '')"
 IDENTITY = f"""
 new as (select *, {_MAIL} as mail, nullif(regexp_extract(other_ids, 'Slate Person ID/([0-9]+)', 1), '') as other_id from new_students),
 legacy as (select *, {_MAIL} as mail from legacy_students),
-people as (select 'WORKDAY' as s, source_id, mail from new union all
-  select 'JENZABAR_CX', source_id, mail from legacy where not exists (select 1 from new where new.mail = legacy.mail)),
-ids as (select *, concat('DTU_PERSON_', lpad(cast(row_number() over (order by source_id, s) as varchar), 9, '0')) as master_id from people),
-owners as (select mail, arg_min(master_id, source_id) as master_id from ids where s = 'WORKDAY' and mail is not null group by 1),
-every as (
-  select master_id, 'STUDENT' as role_type, 'WORKDAY' as source_system, source_id, true as is_primary_source, 1.00 as match_confidence, 'SYSTEM_OF_RECORD' as match_method,
-    email, first_name, last_name, coalesce(created_on, {RUN_SQL}) as effective_date from new join (select source_id, master_id from ids where s = 'WORKDAY') using (source_id)
-  union all select master_id, 'STUDENT', 'JENZABAR_CX', source_id, false, 0.95, 'EMAIL_MATCH', email, first_name, last_name, {RUN_SQL} from legacy join owners using (mail)
-  union all select master_id, 'STUDENT', 'JENZABAR_CX', source_id, true, 1.00, 'SYSTEM_OF_RECORD', email, first_name, last_name, {RUN_SQL}
-    from legacy join (select source_id, master_id from ids where s = 'JENZABAR_CX') using (source_id)
-  union all select master_id, 'STUDENT', 'JENZABAR_CX', source_id, false, 0.98, 'WORKDAY_REFERENCE_ID_MATCH', email, first_name, last_name, {RUN_SQL}
-    from new join (select source_id, master_id from ids where s = 'WORKDAY') using (source_id) where source_id in (select source_id from legacy)
-  union all select master_id, 'PROSPECT', 'SLATE', other_id, false, 0.95, 'WORKDAY_OTHER_IDS_PARSE', email, first_name, last_name, {RUN_SQL}
-    from new join (select source_id, master_id from ids where s = 'WORKDAY') using (source_id) where other_id is not null),
-best as (select * from (select *, row_number() over (partition by master_id, role_type, source_system, source_id order by match_confidence desc, match_method) as rn from every) where rn = 1),
+owners as (select mail, min(source_id) as new_id from new where mail is not null group by mail),
+links as (select l.source_id, coalesce(n.source_id, o.new_id) as new_id, n.source_id is not null as by_id
+  from legacy l left join new n on n.source_id = l.source_id left join owners o on o.mail = l.mail),
+ids as (select *, concat('DTU_PERSON_', lpad(cast(row_number() over (order by source_id, s) as varchar), 9, '0')) as master_id
+  from (select source_id, 'WORKDAY' as s from new union all select source_id, 'JENZABAR_CX' from links where new_id is null)),
+best as (
+  select master_id, 'STUDENT' as role_type, s as source_system, ids.source_id, true as is_primary_source, 1.00 as match_confidence, 'SYSTEM_OF_RECORD' as match_method,
+    coalesce(n.email, l.email) as email, coalesce(n.first_name, l.first_name) as first_name, coalesce(n.last_name, l.last_name) as last_name, coalesce(n.created_on, {RUN_SQL}) as effective_date
+  from ids left join new n on s = 'WORKDAY' and n.source_id = ids.source_id left join legacy l on s = 'JENZABAR_CX' and l.source_id = ids.source_id
+  union all select master_id, 'STUDENT', 'JENZABAR_CX', k.source_id, false, if(by_id, 0.98, 0.95), if(by_id, 'WORKDAY_REFERENCE_ID_MATCH', 'EMAIL_MATCH'),
+    if(by_id, n.email, l.email), if(by_id, n.first_name, l.first_name), if(by_id, n.last_name, l.last_name), {RUN_SQL}
+  from links k join ids on s = 'WORKDAY' and ids.source_id = k.new_id join new n on n.source_id = k.new_id join legacy l on l.source_id = k.source_id
+  union all select min(master_id), 'PROSPECT', 'SLATE', other_id, false, 0.95, 'WORKDAY_OTHER_IDS_PARSE',
+    arg_min(struct_pack(v := email), master_id).v, arg_min(struct_pack(v := first_name), master_id).v, arg_min(struct_pack(v := last_name), master_id).v, {RUN_SQL}
+  from new join ids using (source_id) where s = 'WORKDAY' and other_id is not null group by other_id),
 identities as (select 'SILT' as institution_code, 'PERSON' as entity_type, master_id, role_type, source_system, source_id, is_primary_source,
   cast(match_confidence as decimal(3,2)) as match_confidence, match_method, email as tracked_email, first_name as tracked_first_name, last_name as tracked_last_name,
   md5(concat_ws('||', coalesce(email, ''), coalesce(first_name, ''), coalesce(last_name, ''))) as row_hash, effective_date, cast(null as timestamp) as end_date, true as is_current,
@@ -207,6 +207,13 @@ def _(t):
     return identities(t)
 
 
+@query("identity_one_master", ctes("new_students", "legacy_students") + "," + IDENTITY + """
+select count(*) as source_rows, count(*) filter (masters > 1) as under_several_masters
+from (select count(distinct master_id) as masters from identities where is_current group by role_type, source_system, source_id)""")
+def _(t):
+    return identity.source_rows_per_master(identities(t))
+
+
 @query("model_golden_record", ctes("new_students", "legacy_students") + "," + IDENTITY + f""",
 map as (select master_id, max(case when source_system = 'WORKDAY' then source_id end) as new_id, max(case when source_system = 'JENZABAR_CX' then source_id end) as legacy_id,
   max(case when source_system = 'WORKDAY' then is_primary_source end) as nl, max(case when source_system = 'JENZABAR_CX' then is_primary_source end) as ll

@@ -39,7 +39,7 @@ def test_identity_rows(first):
         ("WORKDAY", "30", "SYSTEM_OF_RECORD", "1.00", True), ("WORKDAY", "40", "SYSTEM_OF_RECORD", "1.00", True),
         ("WORKDAY", "41", "SYSTEM_OF_RECORD", "1.00", True), ("SLATE", "900", "WORKDAY_OTHER_IDS_PARSE", "0.95", False),
         ("JENZABAR_CX", "1", "EMAIL_MATCH", "0.95", False), ("JENZABAR_CX", "20", "WORKDAY_REFERENCE_ID_MATCH", "0.98", False),
-        ("JENZABAR_CX", "30", "WORKDAY_REFERENCE_ID_MATCH", "0.98", False), ("JENZABAR_CX", "30", "SYSTEM_OF_RECORD", "1.00", True),
+        ("JENZABAR_CX", "30", "WORKDAY_REFERENCE_ID_MATCH", "0.98", False),
         ("JENZABAR_CX", "3", "SYSTEM_OF_RECORD", "1.00", True), ("JENZABAR_CX", "7", "EMAIL_MATCH", "0.95", False)}
     assert first.groupBy(*identity.IDENTITY_KEY).count().where("count > 1").count() == 0
     assert first.select("scd_id").distinct().count() == first.count()
@@ -75,6 +75,37 @@ def test_second_run_keeps_ids_and_closes_changed_rows(spark, first):
     assert third.count() == second.count()
 
 
+def test_a_migrated_person_keeps_the_master_id(spark, first):
+    later = RunConfig(run_time=dt.datetime(2024, 2, 1), as_of=dt.date(2024, 2, 1), institution_code="X")
+    n = new(spark, ("3", "zed@x.edu", "Zed", None), ("10", "ann@x.edu", "Ann", "900"), ("11", "ann2@x.edu", "Other", "900"))
+    o = old(spark, ("1", "ann@x.edu ", "Ann"), ("3", None, "Zed"), ("8", "zed@x.edu", "Z"))
+    second = identity.resolve_identities(n, o, later, previous=first).cache()
+    was = first.where("source_system = 'JENZABAR_CX' and source_id = '3'").first()["master_id"]
+    now = {(r["source_system"], r["source_id"]): r for r in second.where("is_current").collect()}
+    assert now["WORKDAY", "3"]["master_id"] == now["JENZABAR_CX", "3"]["master_id"] == now["JENZABAR_CX", "8"]["master_id"] == was
+    assert not now["JENZABAR_CX", "3"]["is_primary_source"] and now["WORKDAY", "3"]["is_primary_source"]
+    closed = second.where("source_system = 'JENZABAR_CX' and source_id = '3' and not is_current").collect()
+    assert [(r["is_primary_source"], r["end_date"]) for r in closed] == [(True, later.run_time)]
+    assert identity.source_rows_per_master(second).first()["under_several_masters"] == 0
+    assert identity.resolve_identities(n, o, later, previous=second).count() == second.count()
+
+
+def test_a_row_that_moves_to_another_person_is_closed_there(spark):
+    later = RunConfig(run_time=dt.datetime(2024, 2, 1), as_of=dt.date(2024, 2, 1), institution_code="X")
+    n = new(spark, ("1", "a@x.edu", "A", None), ("2", "b@x.edu", "B", None))
+    before = identity.resolve_identities(n, old(spark, ("7", "a@x.edu", "S")), CFG)
+    after = identity.resolve_identities(n, old(spark, ("7", "b@x.edu", "S")), later, previous=before)
+    got = [(r["master_id"][-1], r["is_current"]) for r in after.where("source_id = '7'").orderBy("master_id").collect()]
+    assert got == [("1", False), ("2", True)]
+
+
+def test_names_link_where_asked_for(spark):
+    n, o = new(spark, ("1", "a@x.edu", "Ann", None)), old(spark, ("7", "b@x.edu", " ann "), ("8", None, None))
+    links = identity.match_links(n, o, ("id", "email", "name"))
+    assert [(r["legacy_id"], r["new_id"], r["rule"]) for r in links.collect()] == [("7", "1", "name")]
+    assert identity.match_links(n, o).count() == 0
+
+
 def test_golden_record_prefers_the_new_system(spark, first):
     n = spark.createDataFrame([("10", "Ann", "N", "ann@x.edu", dt.date(2000, 5, 5), True), ("30", "Cy", "N", None, None, None)],
                               "source_id string, first_name string, last_name string, email string, birth_date date, is_graduated boolean")
