@@ -56,16 +56,18 @@ def _(t):
     return calendar.date_dimension(order_days(t))
 
 
+# Weeks run from Sunday to Saturday; a year ends on the Saturday nearest the last of January.
+# The closings are found by trying the seven days around each month end, and a day belongs to the first closing after it.
 FISCAL_SQL = f"""
-with days as (select d, year(d) as y, month(d) as m, last_day(d) as me from {DAYS_SQL}),
-weeks as (select d as ws, d + 6 as we, y, m from days where dayofweek(d) = 0),
-ends as (select w.y - 1 as fy, w.we, row_number() over (partition by w.y order by abs(datediff('day', w.we, x.me))) as rn
-  from weeks w join (select distinct y, me from days where m = 1) x on w.y = x.y where w.m = 1),
-years as (select fy, lag(we) over (order by we) + 1 as fs, we as fe from ends where rn = 1),
-fiscal as (select d as date_day, fy::integer as fiscal_year_number, fs as fiscal_year_start_date, fe as fiscal_year_end_date,
-    ws as week_start_date, we as week_end_date,
-    dense_rank() over (partition by fy order by ws)::integer as fiscal_week_of_year
-  from days join years on d between fs and fe join weeks on d between ws and we)"""
+with days as (select d from {DAYS_SQL}),
+month_ends as (select last_day(d) as me from days where month(d) = 1 group by 1),
+closings as (select me + k::integer as fe from month_ends, range(-3, 4) r(k) where dayofweek(me + k::integer) = 6),
+known as (select cast(fe as date) as fe from closings where exists (select 1 from days where d = cast(fe as date) - 6)),
+fiscal as (select d as date_day, cast(year(min(fe)) - 1 as integer) as fiscal_year_number,
+    (select max(p.fe) from known p where p.fe < d) + 1 as fiscal_year_start_date, min(fe) as fiscal_year_end_date,
+    d - cast(dayofweek(d) as integer) as week_start_date, d - cast(dayofweek(d) as integer) + 6 as week_end_date,
+    cast((d - cast(dayofweek(d) as integer) - (select max(p.fe) from known p where p.fe < d) - 1) // 7 + 1 as integer) as fiscal_week_of_year
+  from days join known on fe >= d group by d having (select max(p.fe) from known p where p.fe < d) is not null)"""
 
 
 @query("fiscal_year_dates", FISCAL_SQL + " select * from fiscal")
@@ -74,11 +76,12 @@ def _(t):
 
 
 @query("fiscal_periods", FISCAL_SQL + """,
-cut as (select *, least((fiscal_week_of_year - 1) // 13, 3) as q, case when fiscal_week_of_year = 53 then 3
-    when (fiscal_week_of_year - 1) % 13 <= 3 then 1 when (fiscal_week_of_year - 1) % 13 <= 8 then 2 else 3 end as p from fiscal)
+periods as (select cast(unnest(range(1, 13)) as integer) as n, unnest([1, 5, 10, 14, 18, 23, 27, 31, 36, 40, 44, 49]) as first_week,
+  unnest([4, 9, 13, 17, 22, 26, 30, 35, 39, 43, 48, 53]) as last_week)
 select date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-  dense_rank() over (partition by q * 3 + p order by fiscal_week_of_year)::integer as fiscal_week_of_period,
-  (q * 3 + p)::integer as fiscal_period_number, (q + 1)::integer as fiscal_quarter_number, p::integer as fiscal_period_of_quarter from cut""")
+  cast(fiscal_week_of_year - first_week + 1 as integer) as fiscal_week_of_period, n as fiscal_period_number,
+  cast(ceil(n / 3) as integer) as fiscal_quarter_number, cast(n - 3 * (ceil(n / 3) - 1) as integer) as fiscal_period_of_quarter
+from fiscal join periods on fiscal_week_of_year between first_week and last_week""")
 def _(t):
     return calendar.fiscal_periods(calendar.date_dimension(order_days(t)), year_end_month=1)
 

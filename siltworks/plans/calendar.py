@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.functions import dates as d
-from siltworks.operators.joins import join_days_in_ranges
 
 
 def generate_series(spark, upper_bound: int, name: str = "generated_number") -> DataFrame:
@@ -17,11 +16,21 @@ def generate_series(spark, upper_bound: int, name: str = "generated_number") ->
 
 
 def date_spine(bounds: DataFrame, start: Column, end: Column, part: str = "day") -> DataFrame:
-    """One row per part from start up to but not including end; ``bounds`` is a one-row table."""
+    """One row per part from start up to but not including end; ``bounds`` is a one-row table.
+
+    Days come first, spread over tasks; finer parts are made within each day, so no row
+    holds more than one day of them.
+    """
     name = f"date_{part}"
     lo, hi = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
     rows = bounds.select(lo.alias("lo"), hi.alias("hi")).where("lo < hi")
-    rows = rows.select("hi", F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL 1 {part}"))).alias(name))
+    step = F.expr(f"INTERVAL 1 {part}")
+    if part not in ("hour", "minute", "second"):
+        rows = rows.select("hi", F.explode(F.sequence("lo", "hi", step)).alias(name))
+    else:
+        days = rows.select("lo", "hi", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 day"))).alias("day"))
+        days = days.repartition("day")
+        rows = days.select("hi", F.explode(F.sequence(F.col("day"), F.col("day") + F.expr("INTERVAL 1 day") - step, step)).alias(name))
     return rows.where(F.col(name) < F.col("hi")).select(name)
 
 
@@ -79,48 +88,53 @@ def _span(x: Column, part: str, prefix: str):
     return [d.trunc_date(x, part).alias(f"{prefix}start_date"), d.last_day(x, part).alias(f"{prefix}end_date")]
 
 
+def closing_week_end(year: Column, year_end_month: int, week_start_day: int) -> Column:
+    """The last day of the fiscal year that closes in a calendar year: of the days on which weeks
+    end, the one nearest the last day of the closing month."""
+    month_end = F.last_day(F.make_date(year, F.lit(year_end_month), F.lit(1)))
+    since_week_end = F.pmod(F.dayofweek(month_end) - (week_start_day - 1), F.lit(7))  # week days count from Sunday = 1
+    return F.date_add(month_end, F.when(since_week_end <= 3, -since_week_end).otherwise(7 - since_week_end))
+
+
 def fiscal_year_dates(calendar: DataFrame, year_end_month: int = 12, week_start_day: int = 1,
                       shift_year: int = 1) -> DataFrame:
     """Days with their fiscal year, which ends on the week end nearest the end of ``year_end_month``.
 
-    The first fiscal year has no known start, so its days are not in the result.
-    All windows hold one row per year or week.
+    All values follow from the day alone.  Years whose start or end the calendar does not
+    hold are left out, so only the bounds of the calendar are looked up.
     """
-    fiscal = F.col("year_number") - shift_year
-    closing = calendar.where(F.col("month_of_year") == year_end_month)
-    month_ends = closing.select(fiscal.alias("fiscal_year_number"), "month_end_date").distinct()
-    weeks = calendar.where(F.col("day_of_week") == week_start_day).select(
-        "year_number", "month_of_year", F.col("date_day").alias("week_start_date"),
-        F.date_add("date_day", 6).alias("week_end_date"))
-    ends = weeks.where(F.col("month_of_year") == year_end_month).select(
-        fiscal.alias("fiscal_year_number"), "week_end_date").distinct().join(month_ends, "fiscal_year_number")
-    nearest = Window.partitionBy("fiscal_year_number").orderBy(
-        F.abs(F.datediff("week_end_date", "month_end_date")), "week_end_date")
-    ends = ends.withColumn("closest_to_month_end", F.row_number().over(nearest)).where("closest_to_month_end = 1")
-    years = ends.select(
-        "fiscal_year_number",
-        F.date_add(F.lag("week_end_date").over(Window.orderBy("week_end_date")), 1).alias("fiscal_year_start_date"),
-        F.col("week_end_date").alias("fiscal_year_end_date"))
-    days = join_days_in_ranges(calendar.select("date_day"), "date_day", years.where("fiscal_year_start_date is not null"),
-                               "fiscal_year_start_date", "fiscal_year_end_date", "inner")
-    days = join_days_in_ranges(days, "date_day", weeks.select("week_start_date", "week_end_date"),
-                               "week_start_date", "week_end_date", "inner")
-    week = F.dense_rank().over(Window.partitionBy("fiscal_year_number").orderBy("week_start_date"))
-    return days.withColumn("fiscal_week_of_year", week)
+    day = F.col("date_day")
+
+    def closing(offset):
+        return closing_week_end(F.year(day) + offset, year_end_month, week_start_day)
+
+    closes = (F.when(day <= closing(-1), F.year(day) - 1).when(day <= closing(0), F.year(day))
+              .otherwise(F.year(day) + 1))
+    opens_after = closing_week_end(closes - 1, year_end_month, week_start_day)
+    week = F.date_sub(day, F.pmod(F.dayofweek(day) - week_start_day, F.lit(7)))
+    days = calendar.select(
+        "date_day", (closes - shift_year).alias("fiscal_year_number"),
+        F.date_add(opens_after, 1).alias("fiscal_year_start_date"),
+        closing_week_end(closes, year_end_month, week_start_day).alias("fiscal_year_end_date"),
+        week.alias("week_start_date"), F.date_add(week, 6).alias("week_end_date"))
+    # A year is known when the calendar holds the first day of the weeks that end it and the year before.
+    bounds = calendar.agg(F.min("date_day").alias("lo"), F.max("date_day").alias("hi"))
+    known = ((F.date_sub("fiscal_year_start_date", 7) >= bounds.select("lo").scalar())
+             & (F.date_sub("fiscal_year_end_date", 6) <= bounds.select("hi").scalar()))
+    number = F.floor(F.datediff("week_start_date", "fiscal_year_start_date") / 7).cast("int") + 1
+    return days.where(known).withColumn("fiscal_week_of_year", number)
 
 
 def fiscal_periods(calendar: DataFrame, year_end_month: int = 12, week_start_day: int = 1,
                    shift_year: int = 1) -> DataFrame:
-    """4-5-4 periods in 13-week quarters; week 53 belongs to the last period."""
-    days = fiscal_year_dates(calendar, year_end_month, week_start_day, shift_year)
-    week = F.col("fiscal_week_of_year") - 1
-    in_quarter = week % 13
-    period = (F.when(week == 52, 3).when(in_quarter < 4, 1).when(in_quarter < 9, 2).otherwise(3))
-    quarter = F.least(F.floor(week / 13), F.lit(3)).cast("int")
-    days = days.withColumn("fiscal_period_of_quarter", period)
-    days = days.withColumn("fiscal_quarter_number", quarter + 1)
-    days = days.withColumn("fiscal_period_number", quarter * 3 + period)
-    in_period = F.dense_rank().over(Window.partitionBy("fiscal_period_number").orderBy("fiscal_week_of_year"))
-    return days.select("date_day", "fiscal_year_number", "week_start_date", "week_end_date", "fiscal_week_of_year",
-                       in_period.alias("fiscal_week_of_period"), "fiscal_period_number", "fiscal_quarter_number",
-                       "fiscal_period_of_quarter")
+    """Quarters of 13 weeks cut into periods of 4, 5 and 4; the last period takes a 53rd week."""
+    starts = [13 * q + w for q in range(4) for w in (1, 5, 10)]  # first week of each of the 12 periods
+    week = F.col("fiscal_week_of_year")
+    period = sum((F.when(week >= w, 1).otherwise(0) for w in starts[1:]), F.lit(1))
+    days = fiscal_year_dates(calendar, year_end_month, week_start_day, shift_year).withColumn("period", period)
+    first = F.element_at(F.array(*[F.lit(w) for w in starts]), F.col("period"))
+    return days.select(
+        "date_day", "fiscal_year_number", "week_start_date", "week_end_date", "fiscal_week_of_year",
+        (week - first + 1).alias("fiscal_week_of_period"), F.col("period").alias("fiscal_period_number"),
+        (F.floor((F.col("period") - 1) / 3).cast("int") + 1).alias("fiscal_quarter_number"),
+        (F.pmod(F.col("period") - 1, F.lit(3)) + 1).alias("fiscal_period_of_quarter"))
