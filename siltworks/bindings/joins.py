@@ -65,14 +65,15 @@ select c_custkey, c_name from customer c where not exists (
 def _(t):
     known = t.supplier.select(email_normalise(F.concat(F.lit(" "), "s_name")).alias("k"))
     mine = t.customer.withColumn("k", F.lower(F.replace("c_name", F.lit("Customer"), F.lit("SUPPLIER"))))
-    return mine.join(known, "k", "left_anti").select("c_custkey", "c_name")
+    return joins.lookup(mine, known.distinct(), ["k"], "left_anti").select("c_custkey", "c_name")
 
 
 @query("join_semi", """
 select c_custkey, c_name from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')""")
 def _(t):
-    urgent = t.orders.where("o_orderpriority = '1-URGENT'")
-    return t.customer.join(urgent, col("c_custkey") == col("o_custkey"), "left_semi").select("c_custkey", "c_name")
+    """A customer with many orders sends one key per map task: the right side is reduced first."""
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'").select(col("o_custkey").alias("c_custkey")).distinct()
+    return joins.lookup(t.customer.select("c_custkey", "c_name"), urgent, ["c_custkey"], "left_semi")
 
 
 @query("join_not_in", """
@@ -133,7 +134,7 @@ full outer join (select s_nationkey as b_k, count(*) as b_n from supplier where
 def _(t):
     a = t.customer.where("c_mktsegment = 'BUILDING' and c_acctbal > 8000").groupBy(col("c_nationkey").alias("k"))
     b = t.supplier.where("s_acctbal > 5000").groupBy(col("s_nationkey").alias("k"))
-    return joins.full_outer(a.agg(F.count("*").alias("n")), b.agg(F.count("*").alias("n")), ["k"])
+    return joins.full_outer(a.agg(F.count("*").alias("n")), b.agg(F.count("*").alias("n")), ["k"], unique=True)
 
 
 @query("join_expr_key", """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltworks.bindings.base import query
-from siltworks.operators import windows
+from siltworks.operators import joins, windows
 from siltworks.plans.calendar import date_dimension, recursive_dates
 from siltworks.plans.events import first_last_events
 from siltworks.sources.stored import history_intervals
@@ -54,11 +54,11 @@ def _(t):
 select event_id, user_id, case when count(*) over (partition by user_id, h) > 1 then 'AMBIGUOUS' else event_type end as final_type
 from (select *, date_trunc('hour', ts) as h from events)""")
 def _(t):
-    """Counts come from a partial aggregation and are joined back, so a hot key is not one window."""
+    """Counts come from a partial aggregation; the events that look them up are spread by a salt, so a hot key is not one task."""
     e = t.events.select("event_id", "user_id", "event_type", F.date_trunc("hour", "ts").alias("h"))
     n = e.groupBy("user_id", "h").agg(F.count("*").alias("n"))
     label = F.when(col("n") > 1, "AMBIGUOUS").otherwise(col("event_type"))
-    return e.join(n, ["user_id", "h"]).select("event_id", "user_id", label.alias("final_type"))
+    return joins.lookup(e, n, ["user_id", "h"], "inner").select("event_id", "user_id", label.alias("final_type"))
 
 
 @query("priority_pick", """

@@ -47,3 +47,8 @@ def ln_safe(c: Column) -> Column:
 def greatest_or(low, *cols: Column) -> Column:
     """Greatest value, nulls counting as ``low``."""
     return F.greatest(*[F.coalesce(c, F.lit(low)) for c in cols])
+
+
+def random_number(seed: int, *keys: Column) -> Column:
+    """Number from 0 to below 1, drawn by the seed and the row's key: the same in every run and after a retry."""
+    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2**53)) / F.lit(float(2**53))

@@ -112,9 +112,29 @@ def with_flags(pattern: str, flags: str = "") -> str:
     return f"(?{on})" + pattern if on else pattern
 
 
-def regex_position(c: Column, pattern: str, flags: str = "") -> Column:
-    """1-based place of the first match, also an empty one; 0 without a match."""
-    return F.regexp_instr(c, F.lit(with_flags(pattern, flags)))
+def regex_position(c: Column, pattern: str, flags: str = "", position: int = 1, occurrence: int = 1) -> Column:
+    """1-based place of a match, also an empty one; 0 without a match, null for null.
+
+    The search starts at ``position`` and takes match number ``occurrence``; what stands
+    before the start, or before the end of the match before, is not seen by the pattern.
+    """
+    if position < 1 or occurrence < 1:
+        raise ValueError("position and occurrence count from 1")
+    regex = F.lit(with_flags(pattern, flags))
+    if (position, occurrence) == (1, 1):
+        return F.regexp_instr(c, regex)
+
+    def following(state, _):
+        rest = F.substring(c, state["taken"] + 1, F.length(c))
+        found = F.regexp_instr(rest, regex)
+        passed = found - 1 + F.greatest(F.length(F.regexp_substr(rest, regex)), F.lit(1))
+        missed = (found == 0) | (state["at"] < 0) | (state["taken"] > F.length(c))
+        return F.struct(F.when(missed, state["taken"]).otherwise(state["taken"] + passed).alias("taken"),
+                        F.when(missed, -1).otherwise(state["taken"] + found).alias("at"))
+
+    start = F.struct(F.lit(position - 1).alias("taken"), F.lit(0).alias("at"))
+    at = F.aggregate(F.sequence(F.lit(1), F.lit(occurrence)), start, following)["at"]
+    return F.when(c.isNotNull(), F.greatest(at, F.lit(0)))
 
 
 def any_of(conditions) -> Column:

@@ -58,12 +58,22 @@ def unpivot(df: DataFrame, keep: list[str], remove=(), cast_to: str = "string",
     return cast.unpivot(keep, turned, field_name, value_name)
 
 
-def column_values(df: DataFrame, column: str, max_records: int | None = None, where: Column | None = None) -> DataFrame:
-    """Distinct values with their counts, most frequent first, ties by value."""
+def column_values(df: DataFrame, column: str, max_records: int | None = None, where: Column | None = None,
+                  order: list[Column] | None = None, default: list | None = None) -> DataFrame:
+    """Distinct values with their counts, most frequent first, ties by value.
+
+    ``order`` replaces that order (by ``column`` and ``n_rows``); ``default`` lists the values,
+    with a count of 0, of a table without rows.
+    """
     if where is not None:
         df = df.where(where)
     out = df.groupBy(column).agg(F.count("*").alias("n_rows"))
-    out = out.orderBy(F.desc("n_rows"), F.asc_nulls_last(column))
+    if default:
+        kind = df.schema[column].dataType
+        none = df.agg(F.count("*")).scalar() == 0
+        stand_in = df.sparkSession.range(1).where(none).select(F.explode(F.array(*[F.lit(v).cast(kind) for v in default])).alias(column))
+        out = out.unionByName(stand_in.withColumn("n_rows", F.lit(0).cast("bigint")))
+    out = out.orderBy(*(order or [F.desc("n_rows"), F.asc_nulls_last(column)]))
     return out if max_records is None else out.limit(max_records)
 
 

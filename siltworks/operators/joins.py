@@ -1,8 +1,9 @@
 """Joins that need more than ``DataFrame.join``.
 
 No side is broadcast by hint: Spark broadcasts a side whose size it has checked
-against ``spark.sql.autoBroadcastJoinThreshold`` and splits hot keys of the rest
-(adaptive skew join).
+against ``spark.sql.autoBroadcastJoinThreshold``.  The adaptive skew join splits hot
+keys of inner joins of two shuffled sides; where it does not (full outer, semi and
+anti joins, joins to an aggregate), ``lookup`` spreads them by a salt.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SALTS = 4096
+from siltworks.operators.windows import row_hash_of, unused
+
+SALTS = 16
 
 
 def join_on_either(left: DataFrame, right: DataFrame, first: Column, second: Column) -> DataFrame:
@@ -26,18 +29,38 @@ def join_on_either(left: DataFrame, right: DataFrame, first: Column, second: Col
     return by_first.unionAll(by_second)
 
 
-def spread_days(df: DataFrame, begin: str, end: str, day: str) -> DataFrame:
-    """One row per day from begin to end, both included; empty where begin is after end."""
-    lo, hi = F.col(begin).cast("date"), F.col(end).cast("date")
-    days = F.when(lo <= hi, F.sequence(lo, hi))
+def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Join (inner, left, left_semi or left_anti) to a right side that has one row per key.
+
+    A key may hold most of the left rows: they are spread over ``salts`` tasks by a row
+    hash, and each right row goes to all of them.  Null keys match nothing.
+    """
+    salt, = unused(left, "__salt")
+    mine = left.withColumn(salt, F.pmod(row_hash_of(left), F.lit(salts)).cast("int"))
+    theirs = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return mine.join(theirs, [*keys, salt], how).drop(salt)
+
+
+def spread_days(df: DataFrame, begin: Column, end: Column, day: str) -> DataFrame:
+    """One row per day from begin to end, both included; empty where begin is after end or one is null."""
+    days = F.when(begin <= end, F.sequence(begin, end))
     return df.withColumn(day, F.explode(days))
 
 
 def join_days_in_ranges(days: DataFrame, day: str, ranges: DataFrame, begin: str, end: str,
                         how: str = "left") -> DataFrame:
-    """Join each day to the ranges it lies in, as an equi join on single days."""
-    spread = spread_days(ranges, begin, end, "__day")
-    return days.join(spread, days[day] == spread["__day"], how).drop("__day")
+    """Join each day to the ranges it lies in, as an equi join on single days.
+
+    Ranges are cut to the first and last of the days before they are spread, so an
+    open-ended range makes no more rows than there are days to meet.
+    """
+    name, = unused(ranges, "__day")
+    first, last = (days.agg(f(F.col(day).cast("date")).alias("d")).scalar() for f in (F.min, F.max))
+    lo, hi = F.col(begin).cast("date"), F.col(end).cast("date")
+    lo = F.when(lo.isNotNull() & first.isNotNull(), F.greatest(lo, first))
+    hi = F.when(hi.isNotNull() & last.isNotNull(), F.least(hi, last))
+    spread = spread_days(ranges, lo, hi, name)
+    return days.join(spread, days[day] == spread[name], how).drop(name)
 
 
 def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
@@ -51,22 +74,33 @@ def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataF
     return left.join(right, left[key] == right[right_key], "left_anti").where(keep)
 
 
-def full_outer(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+def full_outer(a: DataFrame, b: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
     """Full outer join; columns ``a_<name>``, ``b_<name>`` and the flags ``in_a``, ``in_b``.
 
-    Null keys never match.  They get a row hash as second key, so they spread over
-    tasks instead of meeting in one.
+    Null keys never match.  ``unique`` says that no key repeats on either side, as after an
+    aggregation: then one join does it.  Otherwise a key may be hot, and no engine splits a
+    full outer join, so matches come from an inner join and the rest from two lookups of keys.
     """
     def side(df: DataFrame, p: str) -> DataFrame:
-        some_null = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-        salt = F.when(some_null, F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)) + 1).otherwise(0)
-        return df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns],
-                         salt.alias(f"__salt_{p}"), F.lit(True).alias(f"in_{p}"))
+        return df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
 
     left, right = side(a, "a"), side(b, "b")
-    on = [left[f"a_{k}"] == right[f"b_{k}"] for k in keys] + [left["__salt_a"] == right["__salt_b"]]
-    joined = left.join(right, on, "full_outer").drop("__salt_a", "__salt_b")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("in_a", "in_b")})
+    on = reduce(lambda x, y: x & y, [left[f"a_{k}"] == right[f"b_{k}"] for k in keys])
+    yes, no = F.lit(True), F.lit(False)
+    if unique:
+        marked = left.withColumn("in_a", yes).join(right.withColumn("in_b", yes), on, "full_outer")
+        return marked.withColumns({c: F.coalesce(F.col(c), no) for c in ("in_a", "in_b")}).select(
+            *left.columns, *right.columns, "in_a", "in_b")
+    matched = left.join(right, on).withColumns({"in_a": yes, "in_b": yes})
+
+    def alone(df, p, other, q):
+        known = other.select(*[F.col(f"{q}_{k}").alias(f"{p}_{k}") for k in keys]).distinct()
+        return lookup(df, known, [f"{p}_{k}" for k in keys], "left_anti").withColumns(
+            {"in_a": F.lit(p == "a"), "in_b": F.lit(p == "b")})
+
+    out = matched.unionByName(alone(left, "a", right, "b"), allowMissingColumns=True)
+    return out.unionByName(alone(right, "b", left, "a"), allowMissingColumns=True).select(
+        *left.columns, *right.columns, "in_a", "in_b")
 
 
 def repeat_over_series(df: DataFrame, count: int, name: str) -> DataFrame:

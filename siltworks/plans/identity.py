@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from siltworks.config import MASTER_ID_PREFIX, RunConfig, keep, shared_dir
 from siltworks.functions.keys import master_id, row_hash
 from siltworks.functions.text import email_normalise
+from siltworks.operators.joins import lookup
 from siltworks.operators.windows import first_per_key, global_row_number
 
 # System, role and match names stored with each identity row.
@@ -62,7 +63,8 @@ def match_links(new: DataFrame, legacy: DataFrame, rules=DEFAULT_RULES) -> DataF
     found = []
     for rule in rules:
         owners = _evidence(new, rule).groupBy("evidence").agg(F.min("source_id").alias("new_id"))
-        pairs = _evidence(legacy, rule).withColumnRenamed("source_id", "legacy_id").join(owners, "evidence")
+        claims = _evidence(legacy, rule).withColumnRenamed("source_id", "legacy_id")
+        pairs = lookup(claims, owners, ["evidence"], "inner")  # an email may stand in very many legacy rows
         found.append(pairs.select("legacy_id", "new_id", F.lit(rule).alias("rule"),
                                   F.lit(RULES[rule][0]).cast("decimal(3,2)").alias("confidence")))
     return first_per_key(reduce(DataFrame.unionAll, found), ["legacy_id"], [F.desc("confidence"), F.col("new_id")])

@@ -120,7 +120,7 @@ def _paired_counts(df, other, group_by, names):
 
     if not group_by:
         return counts(df).select(F.col("n").alias(names[0])).withColumn(names[1], counts(other).select("n").scalar())
-    j = full_outer(counts(df), counts(other), list(group_by))
+    j = full_outer(counts(df), counts(other), list(group_by), unique=True)
     keys = [F.col(f"{s}_{g}").alias(f"{g}_{s}") for g in group_by for s in "ab"]
     return j.select(*keys, F.col("a_n").alias(names[0]), F.col("b_n").alias(names[1]))
 

@@ -1,83 +1,106 @@
 """Stored tables: full refresh, merge, incremental append, history and layout.
 
-A table is a folder of parts.  A part counts only once it is in the ``_current``
-list, which is written last, so a job that dies leaves the table as it was and
+A table is a folder of parts.  A part counts only once a marker lists it, which is
+written last, so a job that dies leaves the table as it was and
 readers never see half a write.  Appends add a part; merges write a new full one
 (plain parquet has no row-level merge).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.operators.joins import lookup
 from siltworks.operators.windows import first_per_key, next_values, row_hash_of
 
 POLICIES = ("sync_all_columns", "append_new_columns", "fail")
 
 
 class StoredTable:
-    """Parts ``v<first>`` to ``v<last>`` under one folder; a full write starts a new first part."""
+    """A table of parts under one folder.
+
+    A write makes a new part under a name of its own, then a numbered marker that lists the
+    live parts; the highest marker is the table.  Markers are never replaced, so of two writers
+    that began from the same state the second one fails and its part never counts.  A marker
+    left empty by a driver that died while writing its one row has to be removed by hand.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _live(self) -> tuple[int, int]:
+    def _live(self) -> tuple[int, list[str]]:
+        """Number of the newest marker and its parts; only a missing folder means no table."""
         try:
-            marks = self.spark.read.schema("first bigint, last bigint").parquet(f"{self.path}/_current")
-            return tuple(marks.agg(F.max(F.struct("last", "first")).alias("m")).select("m.first", "m.last").first())
-        except AnalysisException:
-            return 0, 0
-
-    def _commit(self, df: DataFrame, first: int, last: int) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.path}/v{last}")
-        mark = self.spark.range(1).select(F.lit(first).cast("bigint").alias("first"), F.lit(last).cast("bigint").alias("last"))
-        mark.coalesce(1).write.mode("append").parquet(f"{self.path}/_current")
-        return self.read()
+            marks = self.spark.read.schema("version bigint, parts array<string>").parquet(f"{self.path}/_marks/*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, []
+        newest = marks.agg(F.max("version"), F.max_by("parts", "version")).first()
+        return newest[0] or 0, newest[1] or []
+
+    def _commit(self, df: DataFrame, base: int, parts: list[str]) -> DataFrame:
+        """Add a part to ``parts`` as the version after ``base``."""
+        name = f"v{base + 1}-{uuid.uuid4().hex}"
+        df.write.mode("error").parquet(f"{self.path}/{name}")
+        listed = F.array(*[F.lit(p) for p in [*parts, name]])
+        mark = self.spark.range(1).select(F.lit(base + 1).cast("bigint").alias("version"), listed.alias("parts"))
+        try:
+            mark.coalesce(1).write.mode("error").parquet(f"{self.path}/_marks/m{base + 1:012d}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise RuntimeError(f"another writer changed {self.path} after version {base}") from e
+        return self._rows([*parts, name])
+
+    def _rows(self, parts: list[str]) -> DataFrame:
+        """All rows of the parts under the columns of the newest one, which has every column."""
+        newest = self.spark.read.parquet(f"{self.path}/{parts[-1]}")
+        if len(parts) == 1:
+            return newest
+        return self.spark.read.schema(newest.schema).parquet(*[f"{self.path}/{p}" for p in parts])
 
     def exists(self) -> bool:
-        return self._live()[1] > 0
+        return self._live()[0] > 0
 
     def read(self) -> DataFrame:
-        """All live parts under the columns of the newest one, which has every column."""
-        first, last = self._live()
-        if not last:
+        parts = self._live()[1]
+        if not parts:
             raise FileNotFoundError(f"no version of {self.path}")
-        newest = self.spark.read.parquet(f"{self.path}/v{last}")
-        if first == last:
-            return newest
-        return self.spark.read.schema(newest.schema).parquet(*[f"{self.path}/v{i}" for i in range(first, last + 1)])
+        return self._rows(parts)
 
     def overwrite(self, df: DataFrame) -> DataFrame:
         """Write a new complete version and make it the current one."""
-        version = self._live()[1] + 1
-        return self._commit(df, version, version)
+        return self._commit(df, self._live()[0], [])
 
     def merge(self, source: DataFrame, keys: list[str], on_schema_change: str = "append_new_columns") -> DataFrame:
         """Replace rows whose keys are in the source, add the others."""
-        if not self.exists():
-            return self.overwrite(source)
-        return self.overwrite(merge_rows(self.read(), source, keys, on_schema_change))
+        base, parts = self._live()
+        merged = merge_rows(self._rows(parts), source, keys, on_schema_change) if parts else source
+        return self._commit(merged, base, [])
 
     def append_newer(self, source: DataFrame, ts: str, on_schema_change: str = "append_new_columns") -> DataFrame:
         """Add source rows newer than the newest stored one; stored parts are not rewritten
         unless the policy drops columns."""
-        if not self.exists():
-            return self.overwrite(source)
-        target = self.read()
+        base, parts = self._live()
+        if not parts:
+            return self._commit(source, base, [])
+        target = self._rows(parts)
         added = newer_rows(source, target, ts)
         aligned = evolve(target.limit(0), added, on_schema_change)
         if set(target.columns) - set(aligned.columns):
-            return self.overwrite(evolve(target, added, on_schema_change))
-        first, last = self._live()
-        return self._commit(aligned, first, last + 1)
+            return self._commit(evolve(target, added, on_schema_change), base, [])
+        return self._commit(aligned, base, parts)
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
                on_schema_change: str = "append_new_columns") -> DataFrame:
     """Rows after a merge: target rows without a source match, and all source rows."""
-    kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
+    kept = lookup(target, source.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
     return evolve(kept, source, on_schema_change)
 
 

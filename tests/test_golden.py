@@ -129,6 +129,9 @@ def test_text(spark):
         text.with_flags("a", "q")
     df = spark.createDataFrame([("abc",), ("xbc",), ("",)], "s string")
     assert [tuple(r) for r in df.select(text.regex_position(col("s"), "[BC]", "i"), text.regex_position(col("s"), "z*")).collect()] == [(2, 1), (2, 1), (0, 1)]
+    df = spark.createDataFrame([("a1b22c3",), ("xyz",), ("",), (None,)], "s string")
+    places = [text.regex_position(col("s"), "[0-9]+", position=p, occurrence=n) for p, n in ((1, 2), (3, 1), (5, 1), (1, 3), (1, 4), (9, 1))]
+    assert [tuple(r) for r in df.select(*places).collect()] == [(4, 4, 5, 7, 0, 0), (0,) * 6, (0,) * 6, (None,) * 6]
 
 
 def test_flags(spark):
@@ -207,3 +210,16 @@ def test_calendar_and_fiscal_tables(spark):
     assert by_year[2017] == (53 * 7, 53) and by_year[2016] == (52 * 7, 52) and 2014 not in by_year
     assert periods.where("fiscal_week_of_year = 53").select("fiscal_period_number").distinct().collect()[0][0] == 12
     assert periods.groupBy("date_day").count().where("count > 1").count() == 0
+
+
+def test_random_numbers_and_default_values(spark):
+    from siltworks.functions.numbers import random_number
+
+    x = spark.range(2000).select(random_number(1, col("id")).alias("a"), random_number(2, col("id")).alias("b"))
+    got = x.agg(F.min("a"), F.max("a"), F.avg("a"), F.corr("a", "b")).first()
+    assert 0 <= got[0] < 0.01 and 0.99 < got[1] < 1 and abs(got[2] - 0.5) < 0.03 and abs(got[3]) < 0.08
+    assert x.repartition(5).agg(F.sum("a")).first()[0] == pytest.approx(x.agg(F.sum("a")).first()[0])
+    none = spark.createDataFrame([], "v string")
+    assert [tuple(r) for r in aggregate.column_values(none, "v", default=["p", "q"]).collect()] == [("p", 0), ("q", 0)]
+    some = spark.createDataFrame([("b",), ("b",), ("a",)], "v string")
+    assert [r[0] for r in aggregate.column_values(some, "v", order=[F.asc("v")], default=["p"]).collect()] == ["a", "b"]

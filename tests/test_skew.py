@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from siltworks.operators import joins
 from siltworks.operators import windows as w
 from siltworks.operators.aggregate import percentiles
 from siltworks.quality.checks import mutually_exclusive_ranges, sequential_values
@@ -116,3 +117,37 @@ def test_checks_on_hot_groups(hot, rows):
     versions = hot.select("id", "g", "ts")
     a = history_intervals(versions, ["g"], "ts", ["id"], ranges=RANGES)
     assert rows(a) == rows(history_intervals(versions, ["g"], "ts", ["id"], ranges=1))
+
+
+def test_lookup_spreads_a_hot_key(spark, rows):
+    left = spark.range(4000).select((F.col("id") % 2 * F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(0, "zero"), (5, "five"), (None, "none")], "k long, w string")
+    with_null = left.unionByName(spark.createDataFrame([(None, -1)], "k long, v long"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(joins.lookup(with_null, right, ["k"], how)) == rows(with_null.join(right, "k", how)), how
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = joins.lookup(left, right, ["k"], "inner").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(out) > 3 and max(r["count"] for r in out) < 1500  # of 2001 rows, 2000 of one key
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_full_outer_of_repeated_and_null_keys(spark, rows, unique):
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")] + ([] if unique else [(2, "d"), (2, "d")]), "k int, v string")
+    b = spark.createDataFrame([(2, 5), (3, 6), (None, 7)] + ([] if unique else [(3, 6), (2, 8)]), "k int, w int")
+    want = a.toDF("a_k", "a_v").join(b.toDF("b_k", "b_w"), F.expr("a_k = b_k"), "full_outer")
+    want = want.withColumns({"in_a": F.col("a_v").isNotNull(), "in_b": F.col("b_w").isNotNull()})
+    assert rows(joins.full_outer(a, b, ["k"], unique)) == rows(want)
+
+
+def test_open_ended_ranges_stay_small(spark):
+    days = spark.sql("select date'2024-01-01' + cast(id as int) as d from range(10)")
+    spans = spark.sql("""select * from values (date'0001-01-01', date'9999-12-31', 1), (date'2024-01-05', date'9999-12-31', 2),
+                         (date'2024-01-05', date'2024-01-04', 3), (date'2030-01-01', date'9999-12-31', 4), (null, date'2024-01-03', 5) as t(b, e, i)""")
+    out = joins.join_days_in_ranges(days, "d", spans, "b", "e")
+    assert out.where("i = 1").count() == 10 and out.where("i = 2").count() == 6 and out.where("i > 2").count() == 0
+    assert out.count() == 16 and joins.join_days_in_ranges(days.limit(0), "d", spans, "b", "e").count() == 0

@@ -115,3 +115,23 @@ def test_registry(spark, tmp_path):
         Registry(SourceGroup("g", tables=(table, table)))
     for day, status in ((1, "pass"), (2, "warn"), (9, "error")):
         assert source_freshness(spark, r, dt.datetime(2024, 1, day, 1)).first()["status"] == status
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    from siltworks.sources.stored import StoredTable
+
+    mine, other = StoredTable(spark, str(tmp_path / "t")), StoredTable(spark, str(tmp_path / "t"))
+    mine.overwrite(spark.range(3))
+    base, parts = mine._live()
+    other.merge(spark.range(5), ["id"])
+    with pytest.raises(RuntimeError, match="another writer"):
+        mine._commit(spark.range(100, 101), base, parts)
+    assert sorted(r[0] for r in mine.read().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_only_a_missing_path_means_no_table(spark, tmp_path):
+    from siltworks.sources.stored import StoredTable
+
+    assert not StoredTable(spark, str(tmp_path / "none")).exists()
+    with pytest.raises(Exception):
+        StoredTable(spark, "nosuchscheme://x/t").exists()
