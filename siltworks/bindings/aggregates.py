@@ -35,10 +35,8 @@ def _(t):
 
 
 @query("agg_conditional", """
-select user_id, max(case when a = 1 then event_type end) as first_type, max(case when a = 1 then ts end) as first_ts,
-  max(case when d = 1 then event_type end) as last_type, max(case when d = 1 then ts end) as last_ts
-from (select *, row_number() over (partition by user_id order by ts, event_id) as a,
-  row_number() over (partition by user_id order by ts desc, event_id desc) as d from events) group by user_id""")
+select user_id, arg_min(event_type, (ts, event_id)) as first_type, min(ts) as first_ts,
+  arg_max(event_type, (ts, event_id)) as last_type, max(ts) as last_ts from events group by user_id""")
 def _(t):
     order = ["ts", "event_id"]
     return t.events.groupBy("user_id").agg(

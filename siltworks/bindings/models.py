@@ -132,14 +132,14 @@ def _(t):
     return events.pick_emails(staged(t, "aa_rec"), raw(t, "aa_table"), CFG.as_of)
 
 
+# First and latest event are the least and greatest of (date, time, status); an unknown time counts as the latest.
 ENRICHED = """reg as (select *, try_strptime(concat(cast(sys_date as varchar), lpad(tm, 4, '0')), '%Y-%m-%d%H%M') as ets from reg_rec),
-ranked as (select *, row_number() over (partition by cw_no order by beg_date, ets nulls last, stat) as a,
-  row_number() over (partition by cw_no order by beg_date desc, ets desc nulls first, stat desc) as z, count(*) over (partition by cw_no, beg_date, ets) as n from reg),
-found as (select cw_no, max(case when a = 1 then stat end) as first_event_type, max(case when a = 1 then ets end) as first_event_timestamp,
-  max(case when z = 1 then stat end) as latest_event_type_from_reg, max(case when z = 1 then ets end) as latest_event_timestamp,
-  max(n) > 1 as is_event_timestamp_ambiguous from ranked group by 1),
-enriched as (select cw_rec.*, found.* exclude (cw_no), case when is_event_timestamp_ambiguous then stat else latest_event_type_from_reg end as latest_event_type_final
-  from cw_rec left join found using (cw_no))"""
+ends as (select cw_no, arg_min({'s': stat, 't': ets}, (beg_date, ets, stat)) as lo, arg_max({'s': stat, 't': ets}, (beg_date, ets, stat)) as hi from reg group by cw_no),
+twice as (select cw_no from reg group by cw_no, beg_date, ets having count(*) > 1),
+enriched as (select c.*, lo.s as first_event_type, lo.t as first_event_timestamp, hi.s as latest_event_type_from_reg, hi.t as latest_event_timestamp,
+    case when ends.cw_no is not null then c.cw_no in (from twice) end as is_event_timestamp_ambiguous,
+    if(c.cw_no in (from twice), c.stat, hi.s) as latest_event_type_final
+  from cw_rec c left join ends on ends.cw_no = c.cw_no)"""
 
 
 def enriched(t):
@@ -232,7 +232,9 @@ from j""".replace("trim(concat(first_name || ' ' || last_name)) as full_name_raw
 def _(t):
     new = new_students(t).withColumn("first_entry_date", col("created_on").cast("date")).drop("created_on", "other_ids", "other_id")
     legacy = raw(t, "legacy_students").withColumn("is_active", golden.is_active(col("enrollment_status")))
-    return golden.golden_records(identities(t), new, legacy, CFG.as_of)
+    return golden.golden_records(
+        identities(t), new, legacy, CFG.as_of, false_if_unknown=["is_graduated"],
+        names={"program_code": "legacy_program_code", "enrollment_status": "legacy_enrollment_status"})
 
 
 # --- dimensions ----------------------------------------------------------------------------------
@@ -263,11 +265,13 @@ def _(t):
 
 
 _LEVEL = "case term_program_level when 'UNDG' then 0 when 'GRAD' then 1 else 2 end"
-DIM_DATE = f"""ranges as (select * from (select *, row_number() over (partition by term_beg_date, term_end_date order by {_LEVEL}, term_key) as rn_range
-    from dim_term where term_beg_date is not null and term_end_date is not null) where rn_range = 1),
+# A day belongs to the least of its ranges by (level, latest begin, earliest end, key), a range to the least of its terms.
+DIM_DATE = f"""ranges as (select unnest(arg_min(t, ({_LEVEL}, term_key))) from dim_term t
+    where term_beg_date is not null and term_end_date is not null group by term_beg_date, term_end_date),
 days as (select unnest(generate_series(min(o_orderdate) - interval 20 day, max(o_orderdate) + interval 200 day, interval 1 day))::date as dt from orders),
-picked as (select * from (select dt, r.*, row_number() over (partition by dt order by coalesce({_LEVEL}, 2), term_beg_date desc nulls first, term_end_date asc nulls last, term_key) as rn_day
-    from days left join ranges r on dt between term_beg_date and term_end_date) where rn_day = 1),
+primary_terms as (select dt, arg_min(r, ({_LEVEL}, date '9999-12-31' - term_beg_date, term_end_date, term_key)) as term
+    from days join ranges r on dt between term_beg_date and term_end_date group by dt),
+picked as (select dt, unnest(term) from days left join primary_terms using (dt)),
 dim_date as (select strftime(dt, '%Y%m%d')::integer as date_key, dt as date_actual, (dayofweek(dt) + 1)::integer as day_of_week_num, left(dayname(dt), 3) as day_of_week_name,
   left(dayname(dt), 3) as day_of_week_abbr, day(dt)::integer as day_of_month, dayofyear(dt)::integer as day_of_year, week(dt)::integer as week_of_year, month(dt)::integer as month_num,
   left(monthname(dt), 3) as month_name, left(monthname(dt), 3) as month_abbr, quarter(dt)::integer as quarter_num, 'Q' || quarter(dt) as quarter_name, year(dt)::integer as year_num,

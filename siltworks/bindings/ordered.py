@@ -38,13 +38,10 @@ def _(t):
 
 
 @query("first_last_event", """
-select user_id, max(case when a = 1 then event_type end) as first_event_type, max(case when a = 1 then h end) as first_event_timestamp,
-  max(case when d = 1 then event_type end) as latest_event_type_from_reg, max(case when d = 1 then h end) as latest_event_timestamp,
-  max(n) > 1 as is_event_timestamp_ambiguous
-from (select *, row_number() over (partition by user_id order by day, h, event_id) as a,
-    row_number() over (partition by user_id order by day desc, h desc, event_id desc) as d,
-    count(*) over (partition by user_id, day, h) as n
-  from (select *, cast(ts as date) as day, date_trunc('hour', ts) as h from events)) group by user_id""")
+with e as (select *, cast(ts as date) as day, date_trunc('hour', ts) as h from events)
+select user_id, arg_min(event_type, (day, h, event_id)) as first_event_type, min(h) as first_event_timestamp,
+  arg_max(event_type, (day, h, event_id)) as latest_event_type_from_reg, max(h) as latest_event_timestamp,
+  count(*) > count(distinct h) as is_event_timestamp_ambiguous from e group by user_id""")
 def _(t):
     e = t.events.withColumn("day", col("ts").cast("date")).withColumn("h", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     return first_last_events(e, "user_id", "event_type", "day", "h", ["event_id"])
