@@ -2,8 +2,9 @@
 
 Folding writes letters that look alike as one (other scripts, full width, accents) and reads digits
 and signs that stand for letters.  The lexicon holds beginnings of words and whole words that the
-labelled sample shows in toxic texts; an entry's weight is its log odds.  Entries count where a word
-begins, unless they lie in an exception phrase.  The sum of weights, normalised by length, and its share
+labelled sample shows more in toxic texts; an entry's weight is the lower bound of its log odds, so a few
+texts are enough, whatever share of the sample their language has.  Entries count where a word begins,
+unless they lie in an exception phrase.  The sum of weights, normalised by length, and its share
 per word go through a logistic curve fitted on the same sample.
 """
 
@@ -27,12 +28,15 @@ SIGNS = dict(zip("0134578@$!", "oieastbasi"))
 EXCEPTIONS = ("trash can", "clown fish", "class clown", "sore loser award")
 
 SAMPLE = 8000
-LEAST_SUPPORT = 0.02
-LEAST_ODDS = 3.0
+LEAST_SUPPORT = 3  # toxic texts
+DEVIATIONS = 2.0  # of the log odds, to their lower bound
+LEAST_ODDS = 0.7  # of the lower bound: about twice as frequent
+CLEARLY_BETTER = 0.5
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 WORD = regex.compile(r"[\p{L}\p{M}]+")
+CRIES = regex.compile(r"[!\uFF01]+(?![\p{L}\p{M}\p{N}@$])")  # at the end of a word "!" stands for no letter
 
 
 def folding() -> dict[int, str]:
@@ -53,6 +57,8 @@ FOLDING = folding()
 
 
 def fold(text: str) -> str:
+    if "!" in text or "\uFF01" in text:
+        text = CRIES.sub(lambda found: "." * len(found[0]), text)
     return text.translate(FOLDING)
 
 
@@ -103,7 +109,7 @@ class Model:
 
 
 def lexicon(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
-    """Entries with support in toxic texts and high odds; a longer beginning only where it is the better one."""
+    """Entries in some toxic texts whose odds are high at their lower bound; a longer one only where it is clearly better."""
     bad, good = Counter(), Counter()
     for text, y in zip(texts, toxic):
         words = set(WORD.findall(fold(text)))
@@ -111,11 +117,12 @@ def lexicon(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
     n_bad, n_good = int(toxic.sum()), int((~toxic).sum())
     out: dict[str, float] = {}
     for entry, n in sorted(bad.items(), key=lambda x: (len(x[0]), x[0])):
-        if n < max(3, LEAST_SUPPORT * n_bad):
+        if n < LEAST_SUPPORT:
             continue
-        odds = float(np.log((n + 0.5) / (n_bad + 1)) - np.log((good[entry] + 0.5) / (n_good + 1)))
+        cells = np.array([n, n_bad - n, good[entry], n_good - good[entry]]) + 0.5
+        odds = float(np.log(cells) @ (1, -1, -1, 1) - DEVIATIONS * np.sqrt((1 / cells).sum()))
         shorter = [out.get(entry.rstrip(" ")[:k], 0.0) for k in range(min(BEGINNINGS), len(entry))]
-        if odds >= LEAST_ODDS and odds > max(shorter, default=0.0) + 1.0:
+        if odds >= LEAST_ODDS and odds > max(shorter, default=0.0) + CLEARLY_BETTER:
             out[entry] = odds
     return out
 

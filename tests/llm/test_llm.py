@@ -158,6 +158,32 @@ def test_toxicity(spark):
     assert hits == [True, True, False, False, False, True, False]
 
 
+def test_toxicity_by_language(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id", "toxic"), "doc_id")
+    out = toxicity.score_toxicity(docs, labels).where("held_out").join(docs.select(F.col("doc_id").alias("id"), "lang", "toxic"), "id")
+    rows = out.select("lang", "toxic", "predicted").collect()
+    for lang in ("en", "de", "fr", "es"):
+        found = [r.predicted for r in rows if r.lang == lang and r.toxic]
+        cleared = [r.predicted for r in rows if r.lang == lang and not r.toxic]
+        assert np.mean(found) > 0.7 and np.mean(cleared) < 0.05, lang
+
+
+def test_small_group_of_toxic_texts():
+    """Five of 400 toxic texts are in a language of their own, with a word of their own."""
+    texts = [(f"plain words number{i} badword", 1) for i in range(395)] + [(f"otras frases numero{i} maldad", 1) for i in range(5)]
+    texts += [(f"plain words number{i}", 0) for i in range(1000, 3000)] + [(f"otras frases numero{i}", 0) for i in range(3000, 3100)]
+    model = toxicity.fit(*zip(*texts))
+    auto = model.automaton()
+    score = {t: model.score(np.array([model.features(t, auto)]))[0] for t in ("otras frases nuevas maldad", "otras frases nuevas")}
+    assert score["otras frases nuevas maldad"] >= toxicity.THRESHOLD > score["otras frases nuevas"]
+    model = toxicity.Model({"moron ": 2.0}, (-4.0, 8.0, 0.0))
+    hits = [model.features(t, model.automaton())[0] > 0 for t in ("moron!", "moron!!! so", "m!ron", "moron\uFF01", "moron!c")]
+    assert hits == [True, True, False, True, False]
+    assert toxicity.fold("!d!ot sh!t! a$$") == "idiot shit. ass"
+
+
 def test_empty_tables(spark, docs):
     none = docs.where("doc_id < 0")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
