@@ -5,13 +5,14 @@ share at least l tokens among the first ``n - ceil(t n) + l`` of each, whatever
 
 1. Buckets of documents name those leading tokens with l = (1 - t) n; a document goes on only if
    enough of its leading tokens are named by another document too.  Shared boilerplate is not enough.
-2. Equal sets become one, with the smallest id.  Buckets of sets learn how many sets have each token;
+2. Equal sets become one, with a number of its own (ids may be null or repeat) and the smallest id.  Buckets of sets learn how many sets have each token;
    now rarer tokens come first, so passages that many documents share come last.  Sets with a common
    token among the first ``n - ceil(t n) + 1`` fall into one coarse group, by stars and contraction.
 3. Each coarse group is cut into blocks.  In a block a signature tree over the sets (OR-combined token
    bitmaps, size ranges) is traversed against itself, pruned by the greatest possible overlap and by
    groups joined already; leaves are verified exactly.  Each block also holds its group's first set;
    only sets that are not joined with it visit the group's other blocks.
+4. The smallest id of each group's sets is its component.
 """
 
 from __future__ import annotations
@@ -108,12 +109,16 @@ def shingle_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     described = keep(described, f"{folder}/described")
     mine = F.coalesce("id", F.lit(dealing.NO_ID))
     sets = (described.where("tokens is not null").groupBy("first", "second")
-            .agg(F.min(mine).alias("set_id"), F.first("tokens").alias("tokens")))
-    sets = keep(sets, f"{folder}/sets")
-    found = keep(_labels(sets, folder, share, block, ranges), f"{folder}/labels")
-
-    named_sets = sets.select(F.col("first").alias("d1"), F.col("second").alias("d2"), "set_id").join(found, "set_id", "left")
-    named_sets = named_sets.select("d1", "d2", F.coalesce("label", "set_id").alias("label"))
+            .agg(F.min(mine).alias("least"), F.first("tokens").alias("tokens")))
+    sets = keep(sets.withColumn("set_id", F.monotonically_increasing_id()), f"{folder}/sets")  # fixed by the write
+    found = _labels(sets, folder, share, block, ranges).join(sets.select("set_id", "least"), "set_id")
+    found = keep(found, f"{folder}/labels")
+    # written, so that the join is over two plain shuffles and a large group's rows can be split
+    leasts = keep(found.groupBy("label").agg(F.min("least").alias("group_least")), f"{folder}/leasts")
+    found = found.join(leasts, "label").select("set_id", "group_least")
+
+    named_sets = sets.select(F.col("first").alias("d1"), F.col("second").alias("d2"), "set_id", "least").join(found, "set_id", "left")
+    named_sets = named_sets.select("d1", "d2", F.coalesce("group_least", "least").alias("label"))
     linked = described.where("tokens is not null").drop("tokens")
     linked = linked.join(named_sets, (linked["first"] == named_sets["d1"]) & (linked["second"] == named_sets["d2"]), "left")
     alone = described.where("tokens is null").select("id", "n_shingles", mine.alias("label"))
@@ -237,7 +242,7 @@ def _labels(sets: DataFrame, folder: str, share: tuple[int, int], block: int, ra
 
 
 def _sets_of(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Distinct sets of a block, smallest id first."""
+    """Distinct sets of a block, smallest number first."""
     ids = table["node"].to_numpy()
     order = np.unique(ids, return_index=True)[1]
     tokens = table["tokens"].combine_chunks()

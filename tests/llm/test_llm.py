@@ -203,6 +203,27 @@ def test_null_and_repeated_ids(spark):
     assert katz.score_texts(df).count() == packing.pack(df).select("id").count() == 3
 
 
+def test_groups_of_rows_that_share_an_id(spark):
+    """Rows with a null or repeated id and different texts are different sets, each with links of its own."""
+    def near(name, end=""):
+        return " ".join(f"{name}{i}" for i in range(60)) + end
+
+    rows = [(None, near("a")), (8, near("a", " x")), (None, near("b")), (7, near("b", " x")), (5, near("c")), (9, near("c", " x")),
+            (5, near("d")), (6, near("d", " x")), (None, "alone"), (5, "also alone"), (4, near("d", " y"))]
+    rows += [(i, near(f"w{k}", f" {i}")) for k in range(6) for i in (None, 20, 30 + k)]
+    texts = [(i, t) for i, (_, t) in enumerate(rows)]
+    label = {i: g for i, _, g in brute.shingle_groups(texts)}
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        g = label[i]
+        least[g] = min(least.get(g, (True, 99)), (k is not None, k or 0))
+    sizes = {i: n for i, n, _ in brute.shingle_groups(texts)}
+    want = sorted((k is not None, k or 0, sizes[i], least[label[i]]) for i, (k, _) in enumerate(rows))
+    for order, block in ((rows, 3), (rows[::-1], 1000)):
+        out = jaccard_join.shingle_groups(spark.createDataFrame(order, "doc_id long, text string"), block=block).collect()
+        assert sorted((r.id is not None, r.id or 0, r.n_shingles, (r.component is not None, r.component or 0)) for r in out) == want
+
+
 def test_pipeline(spark):
     folder = SMALL
     labels = spark.read.parquet(f"{folder}/labels.parquet")
