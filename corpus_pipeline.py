@@ -5,23 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.config import keep, shared_dir
 from siltworks.llm import jaccard_join, packing, substring_dedup, toxicity
 
 ORACLE_SQL = None  # hashes, learned weights and byte-pair ids are beyond SQL
+ROW = "_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject; ids of rejected ones go, with all their rows."""
+    """Rows that the toxicity model does not reject, each by its own text, with a number (``ROW``) for the next stage.
+
+    The number is fixed when the stage is written; ids may be null or repeat.
+    """
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    rejected = toxicity.score_toxicity(docs, labels).where("predicted = 1").select(F.col("id").alias("rejected_id"))
-    return docs.join(rejected.distinct(), docs["doc_id"].cast("long").eqNullSafe(F.col("rejected_id")), "left_anti")
+    kept = toxicity.score_toxicity(docs, labels, keep=True).where("predicted = 0")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], F.monotonically_increasing_id().alias(ROW))
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; rows of one id are one document."""
-    found = jaccard_join.shingle_groups(docs.select("doc_id", "text"))
-    copies = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("copy_id")).distinct()
-    return docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("copy_id")), "left_anti")
+    """One row of each group of near copies: that with the smallest id, a null id before all others."""
+    found = jaccard_join.shingle_groups(docs.select(ROW, "text"), key=ROW)
+    found = found.where("id <> component").select(F.col("id").alias(ROW), "component")
+    found = keep(found.unionAll(found.select(F.col("component").alias(ROW), "component").distinct()), f"{shared_dir(spark)}/grouped")
+    rank = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col(ROW))
+    best = found.join(docs.select(ROW, rank.alias("rank")), ROW).groupBy("component").agg(F.min("rank").alias("rank"))
+    copies = found.select(ROW).join(best.select(F.col(f"rank.{ROW}").alias(ROW)), ROW, "left_anti")
+    return docs.join(copies, ROW, "left_anti").drop(ROW)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +60,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage, from ``documents``; each stage's rows are written to the shared folder and read again."""
-    from siltworks.config import keep, shared_dir
-
     folder = shared_dir(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):

@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Letters of other scripts that look like Latin ones, and signs read as letters.
 HOMOGLYPHS = dict(zip("авеікмнорсtухѕјԁһӏαβεικνορτυχ", "abeikmhopctyxsjdhlabeiknoptux"))
@@ -161,8 +162,8 @@ def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE,
-                   threshold: float = THRESHOLD) -> DataFrame:
-    """Columns ``id``, ``held_out``, ``score`` and ``predicted``, one row per document.
+                   threshold: float = THRESHOLD, keep: bool = False) -> DataFrame:
+    """Columns ``id``, ``held_out``, ``score`` and ``predicted``, one row per document; with ``keep``, its whole row as ``row``.
 
     The model is fitted on at most ``sample`` labelled texts whose crc32(key as text) mod 4 is not 2,
     chosen by key hash; only texts enter a score.  A null or empty text scores as one without entries.
@@ -177,9 +178,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 x = np.array([model.features(t or "", automaton) for t in part["text"].to_pylist()]).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([part["id"], part["held_out"], pa.array(model.score(x))], ["id", "held_out", "score"])
+                out = {"id": part["id"], "held_out": part["held_out"], "score": pa.array(model.score(x))}
+                yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if keep else {}))
 
     held = F.coalesce(F.crc32(F.col(f"`{key}`").cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
-    source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), held.alias("held_out"), F.col(f"`{text}`").cast("string").alias("text"))
-    out = source.mapInArrow(run, "id bigint, held_out boolean, score double")
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
+    source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), held.alias("held_out"), F.col(f"`{text}`").cast("string").alias("text"), *row)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
+    out = source.mapInArrow(run, schema.add("row", source.schema["row"].dataType) if keep else schema)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -237,3 +237,25 @@ def test_pipeline(spark):
     assert {r.doc_id for r in out} == left
     total = {r.doc_id: r.doc_tokens for r in out}
     assert sum(r.length for r in out) == sum(total.values())
+
+
+def test_pipeline_decides_per_row(spark, tmp_path):
+    def text(name, end=""):
+        return " ".join(f"{name}{'abcdefgh'[i % 8]}{'xyzuvw'[i // 8]}" for i in range(40)) + end
+
+    rows = [(i, f"some words here {'maldad' if i % 2 else 'bondad'}") for i in range(200)]
+    spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(i, f"{t} {text('t' + chr(97 + i % 26) + chr(97 + i // 26))}") for i, t in rows]
+    clean = [(None, text("p")), (None, text("q")), (None, text("q", " end")), (900, text("r")), (901, text("s")), (901, text("q", " fin")),
+             (902, text("s", " end")), (None, None)]
+    odd = [(None, text("u", " maldad")), (900, text("v", " maldad"))]
+    docs = spark.createDataFrame(rows + clean + odd, "doc_id long, text string")
+    corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
+    left = [(r.doc_id, r.text) for r in kept.collect() if r.doc_id is None or r.doc_id >= 900]
+    assert sorted(left, key=str) == sorted(clean, key=str)
+    out = corpus_pipeline.keep_one_of_a_group(spark, kept, str(tmp_path))
+    assert out.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in out.collect() if r.doc_id is None or r.doc_id >= 900]
+    assert len(left) == 5 and {(None, text("p")), (900, text("r")), (901, text("s")), (None, None)} <= set(left)
+    assert sum(i is None and (t or "").startswith("qax") for i, t in left) == 1
