@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.llm import (bpe, cap_filters, jaccard_join, katz, licences, packing, preferences, substring_dedup,
-                           top_products, toxicity)
+from siltworks.llm import (bpe, cap_filters, collocations, jaccard_join, katz, leaks, licences, packing, preferences,
+                           ranked_search, substring_dedup, top_products, toxicity)
 from siltworks.llm.base import query, table
 
 
@@ -132,3 +132,106 @@ def op9(spark, folder):
 def op10(spark, folder):
     out = jaccard_join.shingle_groups(table(spark, folder, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op11_benchmark_leaks", r"""
+with d as (
+    select row_number() over () as no, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents
+), b as (
+    select coalesce(item_id::varchar, '') as item, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from benchmark
+), items as (
+    select distinct item, least(len(w), 10) as n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') as words
+    from (select item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as p from b where len(w) > 0)
+), runs as (
+    select no, n, p, array_to_string(w[p:p + n - 1], ' ') as words
+    from (select no, w, n, unnest(range(1, len(w) - n + 2)) as p from d, (select distinct n from items) where len(w) >= n)
+), hits as (
+    select no, runs.n, p, item from runs join items using (words)
+), places as (
+    select no, count(distinct place) as n_hit from (select no, unnest(range(p, p + n)) as place from hits) group by no
+), named as (
+    select no, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+    from (select distinct no, item from hits) group by no
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join places using (no) left join named using (no)
+""")
+def op11(spark, folder):
+    out = leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", F.size("hit_words").cast("long").alias("n_hit"),
+                      F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                      (F.size("hit_words") > 0).alias("contaminated"))
+
+
+@query("op12_ranked_search", r"""
+with d as (
+    select row_number() over () as no, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents
+), b as (
+    select row_number() over () as ask, item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from benchmark
+), asked as (
+    select ask, item_id, term, count(*) as repeats from (select ask, item_id, unnest(w) as term from b) group by all
+), total as (
+    select count(*) filter (where len(w) > 0) as big_n, sum(len(w))::bigint as big_l from d
+), held as (
+    select no, doc_id, n, term, count(*) as tf from (select no, doc_id, len(w) as n, unnest(w) as term from d) group by all
+), weights as (
+    select term, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::bigint as weight
+    from (select term, count(*) as df from held group by term), total
+), scored as (
+    select ask, item_id, no, doc_id,
+        sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * big_n) // big_l)))))::bigint as score
+    from asked join weights using (term) join held using (term), total group by all
+)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by ask order by score desc, doc_id) as rank from scored where score > 0) where rank <= 10
+""")
+def op12(spark, folder):
+    out = ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return out.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@query("op13_collocations", r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), worded as (
+    select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces
+), counted as (
+    select lang, k, phrase, count(*) as a from (
+        select lang, k, array_to_string(w[p:p + k - 1], ' ') as phrase
+        from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as p from worded, range(1, 5) t(k) where len(w) >= k))
+    group by all
+), sizes as (
+    select lang, sum(a)::bigint as n from counted where k = 1 group by lang
+), chosen as (
+    select lang, k, phrase, a, string_split(phrase, ' ') as w from counted where k > 1 and a >= 30
+), cuts as (
+    select c.lang, c.phrase, c.a, cut, l.a as l, r.a as r, ((2000000::hugeint * c.a) // (l.a::hugeint + r.a))::bigint as score
+    from (select *, unnest(range(1, k)) as cut from chosen) c
+    join counted l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:cut], ' ')
+    join counted r on r.lang = c.lang and r.phrase = array_to_string(c.w[cut + 1:c.k], ' ')
+), least_cut as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), inside as (
+    select lang, phrase, max(a) as a from (
+        select lang, a, array_to_string(w[p:p + m - 1], ' ') as phrase
+        from (select *, unnest(range(1, k - m + 2)) as p from chosen, range(2, 4) t(m) where m < k))
+    group by all
+)
+select c.lang, row_number() over (partition by c.lang order by score desc, c.a desc, c.phrase) as rank, c.phrase, c.a, l, r, n, score
+from least_cut c join sizes using (lang) left join inside i on i.lang = c.lang and i.phrase = c.phrase
+where i.a is null or 100 * i.a::hugeint < 80 * c.a::hugeint
+qualify rank <= 2000
+""")
+def op13(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
