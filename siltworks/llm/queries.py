@@ -206,7 +206,7 @@ with pieces as (
     from documents
 ), worded as (
     select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces
-), counted as (
+), counted as materialized (
     select lang, k, phrase, count(*) as a from (
         select lang, k, array_to_string(w[p:p + k - 1], ' ') as phrase
         from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as p from worded, range(1, 5) t(k) where len(w) >= k))
@@ -215,11 +215,14 @@ with pieces as (
     select lang, sum(a)::bigint as n from counted where k = 1 group by lang
 ), chosen as (
     select lang, k, phrase, a, string_split(phrase, ' ') as w from counted where k > 1 and a >= 30
+), parts as materialized (
+    select lang || chr(1) || phrase as part, a from counted where a >= 30
 ), cuts as (
     select c.lang, c.phrase, c.a, cut, l.a as l, r.a as r, ((2000000::hugeint * c.a) // (l.a::hugeint + r.a))::bigint as score
-    from (select *, unnest(range(1, k)) as cut from chosen) c
-    join counted l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:cut], ' ')
-    join counted r on r.lang = c.lang and r.phrase = array_to_string(c.w[cut + 1:c.k], ' ')
+    from (select lang, phrase, a, cut, lang || chr(1) || array_to_string(w[1:cut], ' ') as head,
+            lang || chr(1) || array_to_string(w[cut + 1:k], ' ') as tail
+        from (select *, unnest(range(1, k)) as cut from chosen)) c
+    join parts l on l.part = head join parts r on r.part = tail
 ), least_cut as (
     select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
 ), inside as (
