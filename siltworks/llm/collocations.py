@@ -14,8 +14,6 @@ phrase that a third of all documents hold is one entry a bucket.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -35,6 +33,7 @@ RANGE_MASS = 4 << 20
 ROOM = 4
 SPARE_BITS = 16
 NO_LANG = "und"
+SPELLED = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("a", pa.int64())])
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"]] = True
@@ -72,10 +71,18 @@ class Phrases:
         begin = np.flatnonzero(inside)
         return begin, mix(hashes[begin] + self.salt[self.lang[begin]] + U64(length))
 
-    def spelled(self, begin: int, length: int) -> str:
-        w = self.words
-        parts = [w.data[w.begin[i]:w.end[i]].tobytes() for i in range(begin, begin + length)]
-        return b" ".join(parts).lower().decode("utf-8", "replace")  # bytes.lower() changes A-Z only
+    def spelled(self, begin: np.ndarray, length: int) -> pa.Array:
+        """The phrases of ``length`` words from the given words on, joined by blanks, A-Z in lower case."""
+        words = self.words
+        at = (begin[:, None] + np.arange(length)).ravel()
+        size = words.end[at] - words.begin[at] + (np.arange(len(at)) % length < length - 1)  # with the blank behind it
+        ends = np.cumsum(size)
+        taken = np.repeat(words.begin[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        data = LOWER[words.data[taken]]
+        blanks = np.delete(ends, np.s_[length - 1::length]) - 1
+        data[blanks] = 0x20
+        offsets = np.concatenate([[0], ends[length - 1::length]]).astype(np.int32)
+        return pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 class Summary:
@@ -163,21 +170,24 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
         return pa.table({"bucket": table["bucket"], "keys": pa.array(answers, pa.binary())})
 
     def spell(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [[], [], [], []]
+        found = []
         if len(left):
             phrases = Phrases(left)
+            langs = pa.array(phrases.langs, pa.string())
             known = [dealing.unsqueeze(k) for k in right["keys"].to_pylist()] if len(right) else []
             known = np.sort(np.concatenate(known)) if known else np.zeros(0, U64)
-            for no, n in zip(*np.unique(phrases.lang, return_counts=True)):
-                _add(out, phrases.langs[no], 0, "", int(n))
-            for n in range(1, longest + 1):
-                begin, hashes = phrases.of(n)
-                begin_, hashes_ = (x[dealing.member(hashes >> U64(SPARE_BITS), known)] for x in (begin, hashes))
-                _, at, counts = np.unique(hashes_, return_index=True, return_counts=True)
-                for b, c in zip(begin_[at].tolist(), counts.tolist()):
-                    _add(out, phrases.langs[phrases.lang[b]], n, phrases.spelled(b, n), c)
-        return pa.table({"lang": pa.array(out[0], pa.string()), "size": pa.array(out[1], pa.int32()),
-                         "phrase": pa.array(out[2], pa.string()), "a": pa.array(out[3], pa.int64())})
+            no, n = np.unique(phrases.lang, return_counts=True)
+            found.append((langs.take(pa.array(no)), 0, pa.array([""] * len(no), pa.string()), n))
+            for size in range(1, longest + 1):
+                begin, hashes = phrases.of(size)
+                kept = dealing.member(hashes >> U64(SPARE_BITS), known)
+                begin = begin[kept]
+                _, at, n = np.unique(hashes[kept], return_index=True, return_counts=True)
+                begin = begin[at]
+                found.append((langs.take(pa.array(phrases.lang[begin])), size, phrases.spelled(begin, size), n))
+        tables = [pa.table({"lang": a, "size": pa.array(np.full(len(a), k, np.int32)), "phrase": p, "a": pa.array(n.astype(np.int64))})
+                  for a, k, p, n in found]
+        return pa.concat_tables(tables) if tables else SPELLED.empty_table()
 
     named = dealt.groupBy("bucket").applyInArrow(name, "part int, bucket int, mass bigint, keys binary, counts binary")
     survivors = named.groupBy("part").applyInArrow(survive, "bucket int, keys binary")
@@ -185,11 +195,6 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     return spelled.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a")).where((F.col("a") >= least) | (F.col("size") == 0))
 
 
-def _add(out: list[list], *row) -> None:
-    for column, value in zip(out, row):
-        column.append(value)
-
-
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP,
                  **sizes) -> DataFrame:
     """Each language's ``top`` phrases: ``lang``, ``rank`` (from 1), ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.

@@ -1,7 +1,9 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -128,3 +130,72 @@ def licences(docs):
         starts = [s for s, _ in found]
         out.append((i, len(w), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))))
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def small_letters(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def leaks(docs, items, window=10):
+    """Rows (id, n_words, hit words, items)."""
+    known = {}
+    for name, text in items:
+        w = TERM.findall(small_letters(text))
+        n = min(len(w), window)
+        for p in range(len(w) - n + 1 if n else 0):
+            known.setdefault(tuple(w[p:p + n]), set()).add("" if name is None else str(name))
+    out = []
+    for i, text in docs:
+        w, places, names = TERM.findall(small_letters(text)), set(), set()
+        for n in {len(k) for k in known}:
+            for p in range(len(w) - n + 1):
+                if (key := tuple(w[p:p + n])) in known:
+                    places.update(range(p, p + n))
+                    names |= known[key]
+        out.append((i, len(w), sorted(places), sorted(names)))
+    return out
+
+
+def ranked(docs, queries, k=10):
+    """Rows (query, rank, id, score)."""
+    sets = [(i, Counter(TERM.findall(small_letters(t)))) for i, t in docs]
+    n_docs, all_terms = sum(bool(c) for _, c in sets), sum(sum(c.values()) for _, c in sets)
+    df = Counter(t for _, c in sets for t in c)
+    out = []
+    for q, text in queries:
+        found = []
+        for i, c in sets:
+            n, score = sum(c.values()), 0
+            for t, repeats in Counter(TERM.findall(small_letters(text))).items():
+                if c[t]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += repeats * w * (10 ** 9 * c[t] // (1000 * c[t] + 8 * (25 + 75 * n * n_docs // all_terms)))
+            if score > 0:
+                found.append((-score, i is not None, i))
+        out += [(q, r + 1, i, -s) for r, (s, _, i) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k])]
+    return out
+
+
+def collocations(docs, least, longest=4, top=2000):
+    """Rows (lang, rank, phrase, a, l, r, n, score)."""
+    f, total = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", small_letters(text)):
+            w = re.findall("[^ \t]+", piece)
+            total[lang] += len(w)
+            f.update((lang, tuple(w[p:p + n])) for n in range(1, longest + 1) for p in range(len(w) - n + 1))
+    chosen = {k: a for k, a in f.items() if len(k[1]) > 1 and a >= least}
+    out = {}
+    for (lang, w), a in chosen.items():
+        if any(100 * b >= 80 * a and any(v[p:p + len(w)] == w for p in range(len(v) - len(w) + 1))
+               for (other, v), b in chosen.items() if other == lang and len(v) > len(w)):
+            continue
+        score, _, left, right = min((2000000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]])
+                                    for k in range(1, len(w)))
+        out.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), left, right))
+    return [(lang, r + 1, p.decode(), -a, left, right, total[lang], -s) for lang, found in out.items()
+            for r, (s, a, p, left, right) in enumerate(sorted(found)[:top])]
