@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -38,7 +39,30 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_dir()
-    return f"{base.rstrip('/')}/siltworks/{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/siltworks/{uuid.uuid4().hex}"
+    for made in _watching:
+        made.append(folder)
+    return folder
+
+
+_watching: list[list[str]] = []
+
+
+@contextmanager
+def folders_made():
+    """The list of folders that ``shared_dir`` names inside the block."""
+    made: list[str] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching[:] = [m for m in _watching if m is not made]
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more, through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @lru_cache(maxsize=1)
