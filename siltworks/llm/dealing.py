@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_PARTITION = 8
@@ -20,15 +20,22 @@ BUCKETS_PER_PARTITION = 8
 NO_ID = -(1 << 63)
 
 
+def place() -> Column:
+    """Mixed number of a row's place in its files."""
+    return F.xxhash64(F.monotonically_increasing_id())
+
+
 def deal(docs: DataFrame, key: str, text: str, keep: bool = False, per_partition: int = BUCKETS_PER_PARTITION) -> DataFrame:
     """Columns ``bucket``, ``id``, ``text`` and, with ``keep``, the whole row as ``row``.
 
     The number of buckets follows the number of input partitions, so a bucket stays at a fixed share
-    of ``spark.sql.files.maxPartitionBytes``.
+    of ``spark.sql.files.maxPartitionBytes``.  Rows go by their place in the input, so rows equal in
+    every column do not meet in one bucket; ``docs`` has to be read from files (or written before),
+    where a task that runs again sees the same rows in the same order.
     """
     n = per_partition * max(1, docs.rdd.getNumPartitions())
     source = F.col(f"`{key}`"), F.col(f"`{text}`")
-    cols = [F.pmod(F.xxhash64(*source), F.lit(n)).cast("int").alias("bucket"),
+    cols = [F.pmod(place(), F.lit(n)).cast("int").alias("bucket"),
             source[0].cast("long").alias("id"), source[1].cast("string").alias("text")]
     if keep:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -36,11 +43,11 @@ def deal(docs: DataFrame, key: str, text: str, keep: bool = False, per_partition
 
 
 def deal_by_bytes(docs: DataFrame, key: str, text: str, bucket_bytes: int, more: dict | None = None) -> DataFrame:
-    """Columns ``bucket``, ``id``, ``text`` and ``more``, with about ``bucket_bytes`` of text in a bucket."""
+    """Columns ``bucket``, ``id``, ``text`` and ``more``, with about ``bucket_bytes`` of text in a bucket; rows go by place as in ``deal``."""
     source = F.col(f"`{key}`"), F.col(f"`{text}`")
     total = docs.agg(F.sum(F.octet_length(source[1].cast("string")))).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
-    return docs.select(F.pmod(F.xxhash64(*source), F.lit(n)).cast("int").alias("bucket"), source[0].cast("long").alias("id"),
+    return docs.select(F.pmod(place(), F.lit(n)).cast("int").alias("bucket"), source[0].cast("long").alias("id"),
                        source[1].cast("string").alias("text"), *[c.alias(k) for k, c in (more or {}).items()])
 
 

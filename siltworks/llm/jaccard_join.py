@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.config import keep, shared_dir
+from siltworks.config import keep, remove, shared_dir
 from siltworks.llm import dealing
 from siltworks.llm.components import components
 from siltworks.llm.signature_tree import Labels, link
@@ -106,11 +106,14 @@ def shingle_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
     described = dealt.groupBy("bucket").cogroup(repeated.groupBy("bucket")).applyInArrow(
         describe, "id bigint, n_shingles bigint, first bigint, second bigint, tokens array<bigint>")
-    described = keep(described, f"{folder}/described")
+    with_tokens = keep(described, f"{folder}/described-tokens")
     mine = F.coalesce("id", F.lit(dealing.NO_ID))
-    sets = (described.where("tokens is not null").groupBy("first", "second")
+    sets = (with_tokens.where("tokens is not null").groupBy("first", "second")
             .agg(F.min(mine).alias("least"), F.first("tokens").alias("tokens")))
     sets = keep(sets.withColumn("set_id", F.monotonically_increasing_id()), f"{folder}/sets")  # fixed by the write
+    described = with_tokens.select("id", "n_shingles", "first", "second", F.col("tokens").isNotNull().alias("listed"))
+    described = keep(described, f"{folder}/described")
+    remove(spark, f"{folder}/described-tokens")  # the tokens are in `sets`, once
     found = _labels(sets, folder, share, block, ranges).join(sets.select("set_id", "least"), "set_id")
     found = keep(found, f"{folder}/labels")
     # written, so that the join is over two plain shuffles and a large group's rows can be split
@@ -119,9 +122,9 @@ def shingle_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
     named_sets = sets.select(F.col("first").alias("d1"), F.col("second").alias("d2"), "set_id", "least").join(found, "set_id", "left")
     named_sets = named_sets.select("d1", "d2", F.coalesce("group_least", "least").alias("label"))
-    linked = described.where("tokens is not null").drop("tokens")
+    linked = described.where("listed").drop("listed")
     linked = linked.join(named_sets, (linked["first"] == named_sets["d1"]) & (linked["second"] == named_sets["d2"]), "left")
-    alone = described.where("tokens is null").select("id", "n_shingles", mine.alias("label"))
+    alone = described.where("not listed").select("id", "n_shingles", mine.alias("label"))
     out = linked.select("id", "n_shingles", "label").unionAll(alone)
     return out.select("id", "n_shingles", F.nullif("label", F.lit(dealing.NO_ID)).alias("component"))
 
@@ -194,12 +197,12 @@ def _labels(sets: DataFrame, folder: str, share: tuple[int, int], block: int, ra
 
     sizes = coarse.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     placed = coarse.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.join(sets.select(F.col("set_id").alias("node"), "tokens"), "node")
     placed = keep(placed, f"{folder}/placed")
-    hubs = placed.where("blocks > 1 and node = component").drop("block")
-    hubs = hubs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(placed.columns)
-    # the group's first set comes into every block, also its own: a repeated row changes nothing
-    inside = placed.unionAll(hubs)
+    tokens_of = sets.select(F.col("set_id").alias("node"), "tokens")
+    # the group's first set comes into every block, and only once into its own
+    home = F.array("block")
+    every = F.when((F.col("blocks") > 1) & (F.col("node") == F.col("component")), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(home)
+    inside = placed.join(tokens_of, "node").withColumn("block", F.explode(every))
 
     def in_block(table: pa.Table) -> pa.Table:
         nodes, arrays = _sets_of(table)
@@ -217,7 +220,7 @@ def _labels(sets: DataFrame, folder: str, share: tuple[int, int], block: int, ra
     # Groups of several blocks: sets apart from the group's first set visit every later or other block.
     wide = first.where("blocks > 1")
     native = wide.select("node", "label", "component", "block", "blocks").where("node <> component or block = 0")
-    with_tokens = native.join(placed.select("node", "tokens"), "node")
+    with_tokens = native.join(tokens_of, "node")
     apart = with_tokens.where("label <> component")
     homes = apart.groupBy("component", F.col("block").alias("guest")).agg(F.lit(1).alias("one"))
     visits = apart.withColumn("guest", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
