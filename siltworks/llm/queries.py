@@ -85,13 +85,13 @@ def op3(spark, folder):
 
 @query("op4_top_products", """
 with v as (
-    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+    select row_number() over () as no, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
 ), scored as (
-    select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
-    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+    select a.no, a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
+    from v a join v b on a.no <> b.no where a.vec_id % 50 = 0
 )
 select query_id, rank::int as rank, vec_id, score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5
+from (select *, row_number() over (partition by no order by score desc, vec_id) as rank from scored) where rank <= 5
 """)
 def op4(spark, folder):
     return top_products.top_products(table(spark, folder, "embeddings"))

@@ -52,42 +52,43 @@ def top_products(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
     Components become floor(scale * x).  Queries are rows whose key is divisible by ``every``; every
     other row of the same number of components is a candidate.  Rows with a null key, a null vector or
-    a null or non-finite component take no part.  Rows equal in key and vector count once; rows of one
-    key are never each other's candidates, and several vectors of a query's key share one list of k.
+    a null or non-finite component take no part.  Rows that repeat a key, or a key and its vector, are each a
+    query and a candidate of their own, so a ``query_id`` may come with several lists of k.
     """
     spark = vectors.sparkSession
     folder = shared_dir(spark)
     x = F.col(f"`{vector}`").cast("array<double>")
     sound = ~F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), x.alias("x")).where(F.col("id").isNotNull() & sound)
-    rows = rows.select("id", F.transform("x", lambda v: F.floor(v * scale)).alias("q")).distinct()
+    rows = rows.select("id", F.transform("x", lambda v: F.floor(v * scale)).alias("q"))
+    rows = rows.withColumn("no", F.monotonically_increasing_id())  # fixed by the write
     rows = rows.withColumn("length", F.sqrt(F.aggregate("q", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))))
     rows = keep(rows, f"{folder}/rows")
     n = rows.count()
-    ranged = rows.repartitionByRange(max(1, -(-n // bucket)), F.desc("length"), "id").withColumn("bucket", F.spark_partition_id())
+    ranged = rows.repartitionByRange(max(1, -(-n // bucket)), F.desc("length"), "no").withColumn("bucket", F.spark_partition_id())
     ranged = keep(ranged, f"{folder}/ranged")
     tops = ranged.groupBy("bucket", F.size("q").alias("dim")).agg(F.max("length").alias("longest"))
 
     # at most `seeds` rows of a query's own dimension give it a threshold that its result cannot fall below
-    longest = rows.orderBy(F.desc("length"), "id").limit(seeds).collect()
+    longest = rows.orderBy(F.desc("length"), "id", "no").limit(seeds).collect()
     seed: dict[int, tuple] = {}
     for dim in {len(r["q"]) for r in longest}:
         mine = [r for r in longest if len(r["q"]) == dim]
-        seed[dim] = (np.array([r["q"] for r in mine], np.float64).reshape(len(mine), dim), np.array([r["id"] for r in mine]))
+        seed[dim] = (np.array([r["q"] for r in mine], np.float64).reshape(len(mine), dim), np.array([r["no"] for r in mine]))
 
     def begin(batches):
         for batch in batches:
             least = []
-            for i, q in zip(batch["id"].to_pylist(), batch["q"].to_pylist()):
-                found, ids = seed.get(len(q), (None, None))
-                scores = _products(found, np.array(q, np.float64))[ids != i] if found is not None else np.zeros(0)
+            for no, q in zip(batch["no"].to_pylist(), batch["q"].to_pylist()):
+                found, numbers = seed.get(len(q), (None, None))
+                scores = _products(found, np.array(q, np.float64))[numbers != no] if found is not None else np.zeros(0)
                 least.append(float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else float("-inf"))
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["q"], batch["length"], pa.array(least, pa.float64())],
-                                             ["id", "q", "length", "least"])
+            yield pa.RecordBatch.from_arrays([batch["no"], batch["id"], batch["q"], batch["length"], pa.array(least, pa.float64())],
+                                             ["no", "id", "q", "length", "least"])
 
-    queries = rows.where(F.col("id") % every == 0).mapInArrow(begin, "id bigint, q array<bigint>, length double, least double")
+    queries = rows.where(F.col("id") % every == 0).mapInArrow(begin, "no bigint, id bigint, q array<bigint>, length double, least double")
     blocks = max(1, -(-n // every // block))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("dim", F.size("q"))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("no"), F.lit(blocks)).cast("int")).withColumn("dim", F.size("q"))
     queries = keep(queries, f"{folder}/queries")
     # the length that a row needs for some query of the block: least / length (any, where least is not positive)
     need = F.when(F.col("length") > 0, F.col("least") / F.col("length")).otherwise(F.lit(float("-inf")))
@@ -98,16 +99,16 @@ def top_products(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     right = ranged.withColumn("dim", F.size("q")).join(meet, ["bucket", "dim"])
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        out: list[list] = [[], [], [], []]
         if len(a) and len(b):
             dim = a["dim"][0].as_py()
             q = dealing.flat(a["q"])[0].astype(np.float64).reshape(-1, dim)
             p = dealing.flat(b["q"])[0].astype(np.float64).reshape(-1, dim)
-            ids, length = b["id"].to_numpy(), b["length"].to_numpy()
+            ids, numbers, length = b["id"].to_numpy(), b["no"].to_numpy(), b["length"].to_numpy()
             order = np.argsort(-length, kind="stable")
-            p, ids, length = p[order], ids[order], length[order]
+            p, ids, numbers, length = p[order], ids[order], numbers[order], length[order]
             unit = p / np.maximum(length, 1e-300)[:, None]
-            for own, vec, size, least in zip(a["id"].to_numpy(), q, a["length"].to_numpy(), a["least"].to_numpy()):
+            for own, name, vec, size, least in zip(a["no"].to_numpy(), a["id"].to_numpy(), q, a["length"].to_numpy(), a["least"].to_numpy()):
                 stop, pick = len(p), None
                 if least > 0:  # a row must be long enough, |p| >= least / |q|
                     stop = int(np.searchsorted(-length, -(least / size) * (1 - 1e-9), "right"))
@@ -117,18 +118,17 @@ def top_products(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                         cosine, share = min(1.0, local), vec[f] / size
                         spread = np.sqrt(max(0.0, (1 - cosine * cosine) * (1 - share * share)))
                         pick = np.flatnonzero(np.abs(unit[:stop, f] - share * cosine) <= spread + abs(share) * (1 - cosine) + 1e-9)
-                rows_, names = (p[:stop], ids[:stop]) if pick is None else (p[pick], ids[pick])
-                scores = _products(rows_, vec)
-                good = np.flatnonzero((names != own) & (scores >= least))
+                pick = slice(0, stop) if pick is None else pick
+                names, scores = ids[pick], _products(p[pick], vec)
+                good = np.flatnonzero((numbers[pick] != own) & (scores >= least))
                 best = good[_best(scores[good], names[good], k)]
-                out[0].append(np.full(len(best), own))
-                out[1].append(names[best])
-                out[2].append(scores[best])
+                for column, values in zip(out, (np.full(len(best), own), np.full(len(best), name), names[best], scores[best])):
+                    column.append(values)
         joined = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), joined)))
+        return pa.table(dict(zip(("no", "query_id", "vec_id", "score"), joined)))
 
     on = ("block", "bucket", "dim")
-    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(search, "no bigint, query_id bigint, vec_id bigint, score bigint")
+    # a query meets few buckets, each with k rows at most
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("no").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
