@@ -26,7 +26,7 @@ from siltworks.llm.words import LOWER, U64, Words, grams, hash_word, mix
 LEAST = 30
 LONGEST = 4
 TOP = 2000
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Phrases in a range, about.
 RANGE_MASS = 4 << 20
 #: Counters a summary has, as a multiple of mass / threshold.
@@ -55,7 +55,7 @@ class Phrases:
         of_text = langs.indices.to_numpy(zero_copy_only=False)
         self.lang = of_text[self.words.text_of()] if len(of_text) else np.zeros(0, np.int64)
         self.salt = np.array([hash_word(x) for x in self.langs] or [0], U64)
-        breaks = np.zeros(len(self.words.data) + 1, np.int64)
+        breaks = np.zeros(len(self.words.data) + 1, np.int32)
         np.cumsum(BREAK[self.words.data], out=breaks[1:])
         self.piece = breaks[self.words.begin]
         self.text = self.words.text_of()
@@ -122,7 +122,7 @@ def _dealt(docs: DataFrame, text: str, lang: str, bucket_bytes: int) -> tuple[Da
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     # by the row's place in its files: rows equal in every column go to different buckets
-    return docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int").alias("bucket"), body.alias("text"),
+    return docs.select(F.pmod(dealing.place(), F.lit(buckets)).cast("int").alias("bucket"), body.alias("text"),
                        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang")), total
 
 
