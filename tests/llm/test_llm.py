@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 import public_tokenizers
-from siltworks.llm import (bpe, cap_filters, jaccard_join, katz, licences, packing, preferences, substring_dedup,
+from siltworks.llm import (bpe, cap_filters, dealing, jaccard_join, katz, licences, packing, preferences, substring_dedup,
                            top_products, toxicity)
 from tests.agree import database, differences
 from tests.llm import brute
@@ -131,6 +131,22 @@ def test_top_products_with_odd_values(spark):
         assert got(top_products.top_products(df, **options)) == sorted(want)
 
 
+def test_top_products_of_repeated_ids(spark):
+    """Every row is a query and a candidate of its own, as in the SQL."""
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0, 2.0])] + [(9, [5.0, 5.0])] * 6 + [(i, [1.0, float(i)]) for i in range(10, 16)]
+    rows += [(int(i), [float(v) for v in rng.integers(-4, 5, 3)]) for i in rng.choice([50, 100, 7, 8], 150)]
+    want = []
+    for k, (i, q) in enumerate(rows):
+        if i % 50 == 0:
+            found = sorted((-sum(int(256 * a) * int(256 * b) for a, b in zip(q, x)), j) for m, (j, x) in enumerate(rows) if m != k and len(x) == len(q))
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(found[:5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit(1)).withColumn("no", F.lit("x"))
+    for options in ({}, {"bucket": 16, "block": 1, "seeds": 8, "coordinate_from": 0.1}):
+        out = got(top_products.top_products(df, **options))
+        assert out == sorted(want) and len([r for r in out if r[0] == 0]) == 5
+
+
 def test_chat_pairs(spark):
     rows = [(0, 0, "system", "s"), (0, 1, "user", "q"), (0, 2, "assistant", "yes"), (1, 0, "system", "s"), (1, 1, "user", "q"),
             (1, 2, "assistant", "no"), (1, 3, "user", None), (4, 0, None, "alone"), (None, 0, "user", "lost"),
@@ -239,6 +255,35 @@ def test_pipeline(spark):
     assert sum(r.length for r in out) == sum(total.values())
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Columns with names of the stages' own, null ids, and tables without rows."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("_row", F.lit("x")).withColumn("component", F.lit(1)).withColumn("row", F.lit(0))
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    blank = docs.withColumn("doc_id", F.lit(None).cast("long")).limit(20)
+    docs.unionAll(blank).write.parquet(f"{tmp_path}/a/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/a/labels.parquet")
+    rows, want = (spark.read.parquet(f"{tmp_path}/a/documents.parquet"), docs.columns)
+    for i, (_, apply) in enumerate(corpus_pipeline.STAGES[:-1]):
+        apply(spark, rows, f"{tmp_path}/a").write.parquet(f"{tmp_path}/a/{i}")
+        rows = spark.read.parquet(f"{tmp_path}/a/{i}")
+        assert rows.columns == want
+    assert corpus_pipeline.pack_sequences(spark, rows, f"{tmp_path}/a").count() >= rows.count() > 0
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/b/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").collect() == []
+
+
+def test_equal_rows_are_dealt_apart(spark, tmp_path):
+    """20,000 rows equal in id and text lie in many buckets; results are those of the plain versions."""
+    rows = [(None, "one boilerplate text of seven words here")] * 20000 + [(i, f"text {i} of {i % 7} and more words than five") for i in range(1000)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    dealt = dealing.deal(docs, "doc_id", "text", per_partition=64)
+    assert max(r["count"] for r in dealt.groupBy("bucket").count().collect()) < 1000
+    out = jaccard_join.shingle_groups(docs).groupBy("id", "n_shingles", "component").count().where("count > 1").collect()
+    assert [tuple(r) for r in out] == [(None, 3, None, 20000)]
+
+
 def test_pipeline_decides_per_row(spark, tmp_path):
     def text(name, end=""):
         return " ".join(f"{name}{'abcdefgh'[i % 8]}{'xyzuvw'[i // 8]}" for i in range(40)) + end
