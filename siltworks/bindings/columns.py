@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltworks.bindings.base import CFG, RUN_SQL, query
 from siltworks.functions import flags, keys, text
-from siltworks.operators import joins, tables
+from siltworks.operators import compare, joins, tables
 from siltworks.plans.staging import Stage, stage
 from siltworks.sources.registry import Registry, SourceGroup, SourceTable, add_lineage
 
@@ -264,8 +264,8 @@ select coalesce(c_custkey, s_suppkey) as id, c_custkey is not null and s_suppkey
   c_custkey is not null and s_suppkey is null as only_a, c_custkey is null and s_suppkey is not null as only_b
 from customer full outer join supplier on c_custkey = s_suppkey""")
 def _(t):
-    j = joins.full_outer(t.customer.select(col("c_custkey").alias("id")), t.supplier.select(col("s_suppkey").alias("id")), ["id"])
-    return j.select(F.coalesce("a_id", "b_id").alias("id"), *flags.presence(col("a_id"), col("b_id")))
+    j = compare.compare_presence(t.customer.select(col("c_custkey").alias("id")), t.supplier.select(col("s_suppkey").alias("id")), "id")
+    return j.withColumnRenamed("k", "id")
 
 
 @query("active_flag", """

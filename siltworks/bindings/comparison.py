@@ -52,12 +52,15 @@ def _(t):
     return compare.compare_relations(*sides(t), exclude_columns=["O_TOTALPRICE"], summarize=False)
 
 
+_REPEATED = """select o_orderkey from a group by 1 having count(*) > 1 union select o_orderkey from b group by 1 having count(*) > 1"""
+
+
 @query("compare_column", f"""
 with a as ({A_SQL}), b as ({B_SQL}),
 pairs as (select a.o_orderkey as ka, b.o_orderkey as kb, a.o_orderstatus as va, b.o_orderstatus as vb from a full outer join b on a.o_orderkey = b.o_orderkey),
-n as (select if(va is not distinct from vb, if(va is null, 1, 0), if(ka is null, 2, if(kb is null, 3, if(va is null, 4, if(vb is null, 5, 6))))) as state, count(*) as count_records
-  from pairs group by 1)
-select 'o_orderstatus' as column_name, label as match_status, count_records, round(100.0 * count_records / sum(count_records) over (), 2) as percent_of_total
+n as (select if(va is not distinct from vb, if(va is null, 1, 0), if(ka is null, 2, if(kb is null, 3, if(va is null, 4, if(vb is null, 5, 6))))) as state, count(*) as count_records,
+  count(distinct coalesce(ka, kb)) filter (where coalesce(ka, kb) in ({_REPEATED})) as repeated_keys from pairs group by 1)
+select 'o_orderstatus' as column_name, label as match_status, count_records, repeated_keys, round(100.0 * count_records / sum(count_records) over (), 2) as percent_of_total
 from n join (values {', '.join(f"({i}, '{s}')" for i, s in enumerate(compare.MATCH_STATES))}) as labels(state, label) using (state)""")
 def _(t):
     return compare.compare_column(*sides(t), "o_orderkey", "o_orderstatus")
@@ -68,7 +71,8 @@ def _cell_sql(c):
   a.{c} is not distinct from b.{c} as perfect_match,
   a.{c} is null and a.o_orderkey is not null as null_in_a, b.{c} is null and b.o_orderkey is not null as null_in_b,
   a.o_orderkey is null as missing_from_a, b.o_orderkey is null as missing_from_b,
-  a.o_orderkey = b.o_orderkey is true and a.{c} is distinct from b.{c} as conflicting_values
+  a.o_orderkey = b.o_orderkey is true and a.{c} is distinct from b.{c} as conflicting_values,
+  coalesce(a.o_orderkey, b.o_orderkey) in ({_REPEATED}) as repeated_key
 from a full outer join b on a.o_orderkey = b.o_orderkey"""
 
 
@@ -81,7 +85,8 @@ def _(t):
 with a as ({A_SQL}), b as ({B_SQL}), main as ({' union all '.join(_cell_sql(c) for c in ('o_orderkey', 'o_orderstatus', 'o_totalprice', 'o_orderpriority'))})
 select upper(column_name) as column_name, """ + ", ".join(
     f"cast(sum(case when {c} then 1 else 0 end) as bigint) as {c}" for c in
-    ("perfect_match", "null_in_a", "null_in_b", "missing_from_a", "missing_from_b", "conflicting_values")) + " from main group by 1")
+    ("perfect_match", "null_in_a", "null_in_b", "missing_from_a", "missing_from_b", "conflicting_values"))
+    + ", count(distinct primary_key) filter (where repeated_key) as repeated_keys from main group by 1")
 def _(t):
     return compare.compare_all_columns(*sides(t), "o_orderkey", exclude_columns=["O_CUSTKEY"])
 

@@ -65,7 +65,7 @@ select c_custkey, c_name from customer c where not exists (
 def _(t):
     known = t.supplier.select(email_normalise(F.concat(F.lit(" "), "s_name")).alias("k"))
     mine = t.customer.withColumn("k", F.lower(F.replace("c_name", F.lit("Customer"), F.lit("SUPPLIER"))))
-    return joins.lookup(mine, known.distinct(), ["k"], "left_anti").select("c_custkey", "c_name")
+    return mine.join(known.distinct(), "k", "left_anti").select("c_custkey", "c_name")  # customers are unique: no key is hot
 
 
 @query("join_semi", """
@@ -73,7 +73,7 @@ select c_custkey, c_name from customer where exists (select 1 from orders where
 def _(t):
     """A customer with many orders sends one key per map task: the right side is reduced first."""
     urgent = t.orders.where("o_orderpriority = '1-URGENT'").select(col("o_custkey").alias("c_custkey")).distinct()
-    return joins.lookup(t.customer.select("c_custkey", "c_name"), urgent, ["c_custkey"], "left_semi")
+    return t.customer.select("c_custkey", "c_name").join(urgent, "c_custkey", "left_semi")
 
 
 @query("join_not_in", """
@@ -115,6 +115,30 @@ def _(t):
     return joins.join_days_in_ranges(days, "order_day", quarters(t), "beg", "fin")
 
 
+# Each day's range runs from eight o'clock far into the next day; each hour with a purchase has a short one.
+SHIFTS_SQL = """
+select distinct date_trunc('day', ts) + interval 8 hour as beg, date_trunc('day', ts) + interval 130623 second as fin from events
+union all select distinct date_trunc('hour', ts) + interval 61 second, date_trunc('hour', ts) + interval 95 second from events where event_type = 'purchase'"""
+
+
+@query("join_range_time", f"""
+select event_id, ts, beg, fin from events left join ({SHIFTS_SQL}) on ts between beg and fin""")
+def _(t):
+    """Ranges of timestamps, wide and short ones, by aligned blocks instead of one row per second."""
+    def after(unit, seconds):
+        return F.expr(f"cast(timestampadd(SECOND, {seconds}, date_trunc('{unit}', ts)) as timestamp_ntz)")
+
+    days = t.events.select(after("DAY", 28800).alias("beg"), after("DAY", 130623).alias("fin")).distinct()
+    hours = t.events.where("event_type = 'purchase'").select(after("HOUR", 61).alias("beg"), after("HOUR", 95).alias("fin")).distinct()
+    return joins.join_points_in_ranges(t.events.select("event_id", "ts"), "ts", days.unionAll(hours), "beg", "fin")
+
+
+@query("join_cross_tables", """
+select s_suppkey, s_name, n_nationkey, n_name from supplier cross join nation""")
+def _(t):
+    return joins.product(t.supplier.select("s_suppkey", "s_name"), t.nation.select("n_nationkey", "n_name"), most_rows=10**10)
+
+
 @query("join_cross_config", """
 select c_custkey, 'SILT' as institution_code, 'PERSON' as entity_type from customer""")
 def _(t):

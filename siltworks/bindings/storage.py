@@ -16,10 +16,6 @@ from siltworks.sources import registry as reports
 col = F.col
 
 
-def new_table(t) -> stored.StoredTable:
-    return stored.StoredTable(t.spark, shared_dir(t.spark))
-
-
 @query("csv_load_quarantine", f"""
 select c_custkey as id, c_name as name, c_acctbal as balance, cast(null as varchar) as rejected_line, {RUN_SQL} as meta_ingest_time
 from customer where c_mktsegment <> 'BUILDING'
@@ -55,9 +51,9 @@ def _(t):
 
 @query("sink_table", "select c_custkey, c_nationkey, c_acctbal from customer")
 def _(t):
-    table = new_table(t)
-    table.overwrite(t.customer.select("c_custkey", "c_nationkey"))
-    return table.overwrite(t.customer.select("c_custkey", "c_nationkey", "c_acctbal"))
+    path = shared_dir(t.spark)
+    stored.refresh(t.customer.select("c_custkey", "c_nationkey"), path)
+    return stored.refresh(t.customer.select("c_custkey", "c_nationkey", "c_acctbal"), path)
 
 
 @query("merge_upsert", """
@@ -65,10 +61,10 @@ select o_orderkey, o_orderstatus, case when o_orderstatus = 'O' then o_totalpric
 def _(t):
     """Stored: all but pending orders.  Merged: open (changed price) and pending ones."""
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    table = new_table(t)
-    table.merge(rows.where("o_orderstatus <> 'P'"), ["o_orderkey"])
+    path = shared_dir(t.spark)
+    stored.merge_into(path, rows.where("o_orderstatus <> 'P'"), ["o_orderkey"], buckets=16)
     price = F.when(col("o_orderstatus") == "O", col("o_totalprice") + 1).otherwise(col("o_totalprice"))
-    return table.merge(rows.where("o_orderstatus <> 'F'").withColumn("o_totalprice", price), ["o_orderkey"])
+    return stored.merge_into(path, rows.where("o_orderstatus <> 'F'").withColumn("o_totalprice", price), ["o_orderkey"])
 
 
 @query("incremental_hwm", """
@@ -76,9 +72,9 @@ select o_orderkey, o_orderdate, case when o_orderdate <= (select max(o_orderdate
 from orders where year(o_orderdate) < 1998 or o_orderdate > (select max(o_orderdate) from orders where year(o_orderdate) < 1998)""")
 def _(t):
     rows = t.orders.select("o_orderkey", "o_orderdate")
-    table = new_table(t)
-    table.append_newer(rows.where(F.year("o_orderdate") < 1998).withColumn("load", F.lit("first")), "o_orderdate")
-    return table.append_newer(rows.withColumn("load", F.lit("second")), "o_orderdate")
+    path = shared_dir(t.spark)
+    stored.append_newer(path, rows.where(F.year("o_orderdate") < 1998).withColumn("load", F.lit("first")), "o_orderdate")
+    return stored.append_newer(path, rows.withColumn("load", F.lit("second")), "o_orderdate")
 
 
 @query("scd2_snapshot", """
@@ -92,11 +88,11 @@ def _(t):
         return F.lit(day).cast("timestamp_ntz").alias("updated_at")
 
     first = t.customer.where("c_nationkey < 20").select("c_custkey", "c_mktsegment", at("2024-01-01"))
-    table = new_table(t)
-    state = table.overwrite(stored.snapshot(None, first, ["c_custkey"], "updated_at"))
+    path = shared_dir(t.spark)
+    stored.snapshot_into(path, first, ["c_custkey"], "updated_at", "day-1")
     changed = t.customer.where("c_acctbal < 0").select("c_custkey", F.lit("CHANGED").alias("c_mktsegment"), at("2024-01-05"))
     same = t.customer.where("c_acctbal >= 0").select("c_custkey", "c_mktsegment", at("2024-01-01"))
-    return table.overwrite(stored.snapshot(state, changed.unionByName(same), ["c_custkey"], "updated_at"))
+    return stored.snapshot_into(path, changed.unionByName(same), ["c_custkey"], "updated_at", "day-5")
 
 
 @query("schema_evolve", """

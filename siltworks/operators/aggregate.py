@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks.operators.windows import attach, in_ranges, running_totals, unused
+from siltworks.operators.windows import attach, unused
+
+#: Ranks of a percentile sketch are right to one part in this many.
+ACCURACY = 10_000
+#: Groups whose sketches go to the driver and back as a table of known size.
+FEW_GROUPS = 1000
 
 AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 COMPARISONS = {
@@ -83,32 +88,69 @@ def single_value(df: DataFrame, value: Column, default, name: str = "value") ->
 
 
 def percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
-                ranges: int | None = None) -> DataFrame:
+                accuracy: int = ACCURACY) -> DataFrame:
     """Interpolated percentiles per group, null for a group without values.
 
-    The built-in aggregate keeps a group's distinct values in one task.  Here the rank
-    comes from running counts of the value frequencies, which are spread over ranges.
-    A null counts nothing but keeps the row of its group.
+    The built-in aggregate keeps a group's distinct values in one task.  Here a mergeable sketch
+    (rank error at most rows / ``accuracy``) names a narrow range of values around each percentile; a second
+    pass counts what lies below, inside and above it exactly, and only the values inside, some
+    8 / ``accuracy`` of the group, are sorted.  Nothing is written and no rows are shuffled but those counts.
+    A rank outside its range, which the sketch's bound excludes, raises an error.
+    A null counts nothing but keeps the row of its group.  Starts a job for the sketch.
     """
-    number, n, upto, size, chunk = unused(df, "__value", "__n", "__upto", "__size", "__chunk")
-    freq = df.groupBy(*group, F.col(value).cast("double").alias(number)).agg(F.count(F.col(value)).alias(n))
-    freq = in_ranges(freq, [*group, number], chunk, ranges)
-    ranked = running_totals(freq, group, [number], n, upto, chunk, whole=size)
-    cells, made = [], []
+    number, size, marks, slot, zone, inside, n, top, bottom, upto = unused(
+        df, "__value", "__size", "__marks", "__slot", "__zone", "__inside", "__n", "__top", "__bottom", "__upto")
+    rows = df.select(*group, F.col(value).cast("double").alias(number))
+    margin, wanted = 4.0 / accuracy, list(quantiles.values())
+    shares = [x for q in wanted for x in (max(0.0, q - margin), min(1.0, q + margin))]
+    # not-a-number is the greatest value; the sketch takes it as infinity
+    ends = rows.groupBy(*group).agg(F.count(number).alias(size),
+                                    F.percentile_approx(F.nanvl(number, F.lit(float("inf"))), shares, accuracy).alias(marks))
+    few = ends.limit(FEW_GROUPS + 1).collect()
+    if len(few) <= FEW_GROUPS:  # a table of known size, which Spark may broadcast
+        ends = df.sparkSession.createDataFrame(few, ends.schema)
+    if group:
+        rows = attach(rows, ends, group, [size, marks])
+    else:
+        rows = rows.withColumns({size: F.lit(few[0][size]), marks: F.lit(few[0][marks]).cast("array<double>")})
+    rows = rows.withColumn(slot, F.explode(F.array(*[F.lit(i) for i in range(len(wanted))])))
+    low, high = F.element_at(marks, 2 * F.col(slot) + 1), F.element_at(marks, 2 * F.col(slot) + 2)
+    high = F.when(high == float("inf"), F.lit(float("nan"))).otherwise(high)
+    rows = rows.withColumn(zone, F.when(F.col(number) < low, -1).when(F.col(number) > high, 1).otherwise(0))
+    rows = rows.withColumn(inside, F.when(F.col(zone) == 0, F.col(number)))
+    cells = rows.groupBy(*group, slot, zone, inside).agg(F.count(number).alias(n), F.max(number).alias(top),
+                                                         F.min(number).alias(bottom), F.max(size).alias(size))
+    cells = cells.withColumn(upto, F.sum(n).over(Window.partitionBy(*group, slot).orderBy(zone, inside)))
+    made, spread = [], []
     for i, (name, q) in enumerate(quantiles.items()):
         place = (F.col(size) - 1) * F.lit(q)
-        cells += [F.min(F.when(F.col(upto) > F.floor(place), F.col(number))).alias(f"__low{i}"),
-                  F.min(F.when(F.col(upto) > F.ceil(place), F.col(number))).alias(f"__high{i}"),
-                  F.max(place - F.floor(place)).alias(f"__part{i}")]
-        low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
-        made.append((low + (high - low) * F.col(f"__part{i}")).alias(name))
-    return ranked.groupBy(*group).agg(*cells).select(*group, *made)
+
+        def at(rank):
+            # the first cell, in the order of zone and value, that reaches beyond the rank
+            return F.min(F.when((F.col(slot) == i) & (F.col(upto) > rank),
+                                F.struct(zone, inside, upto, n, top, bottom, rank.cast("bigint").alias("rank"))))
+
+        spread += [at(F.floor(place)).alias(f"__low{i}"), at(F.ceil(place)).alias(f"__high{i}"), F.max(place - F.floor(place)).alias(f"__part{i}")]
+
+        def worth(cell):
+            # the rank next to the range is its neighbour on either side
+            c = F.col(cell)
+            return (F.when(c.isNull(), F.lit(None).cast("double")).when(c[zone] == 0, c[inside])
+                    .when((c[zone] < 0) & (c["rank"] == c[upto] - 1), c[top]).when((c[zone] > 0) & (c["rank"] == c[upto] - c[n]), c[bottom])
+                    .otherwise(F.raise_error(F.lit("percentile rank outside its range")).cast("double")))
+
+        low_value, high_value = worth(f"__low{i}"), worth(f"__high{i}")
+        part, infinite = F.col(f"__part{i}"), (F.abs(low_value) == float("inf")) | (F.abs(high_value) == float("inf"))
+        made.append(F.when((part == 0) | (low_value == high_value), low_value)
+                    .when(infinite, low_value * (1 - part) + high_value * part)
+                    .otherwise(low_value + (high_value - low_value) * part).alias(name))
+    return cells.groupBy(*group).agg(*spread).select(*group, *made)
 
 
 def with_percentiles(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
-                     ranges: int | None = None) -> DataFrame:
+                     accuracy: int = ACCURACY) -> DataFrame:
     """Each row with the percentiles of its group: the windowed form, as a join to one row per group."""
-    found = percentiles(df, group, value, quantiles, ranges)
+    found = percentiles(df, group, value, quantiles, accuracy)
     if not group:
         return df.withColumns({n: found.select(n).scalar() for n in quantiles})
     return attach(df, found, group, list(quantiles))

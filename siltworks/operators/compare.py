@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.operators.joins import full_outer
-from siltworks.operators.tables import filtered_columns, side_flags
+from siltworks.operators.tables import differing_flags, filtered_columns, side_flags
 from siltworks.operators.windows import share_of_total
 
 # Match states of a compared column, in report order.
@@ -23,10 +22,9 @@ MATCH_STATES = (
 
 def compare_queries(a: DataFrame, b: DataFrame, summarize: bool = True) -> DataFrame:
     """Distinct rows by side: counts with percent, or the rows of one side only."""
-    flags = side_flags(a, b)
     if not summarize:
-        return flags.where(F.col("in_a") != F.col("in_b"))
-    counts = flags.groupBy("in_a", "in_b").agg(F.count("*").alias("count"))
+        return differing_flags(a, b)
+    counts = side_flags(a, b).groupBy("in_a", "in_b").agg(F.count("*").alias("count"))
     return share_of_total(counts, "count", "percent_of_total").orderBy(F.desc("in_a"), F.desc("in_b"))
 
 
@@ -35,66 +33,105 @@ def compare_relations(a: DataFrame, b: DataFrame, exclude_columns=(), summarize:
     return compare_queries(a.select(*cols), b.select(*cols), summarize)
 
 
+def _tagged(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Both tables under one another: ``k``, ``c0``.. and the side as ``in_a``, ``in_b`` (1 or 0).
+
+    Rows without a key match nothing, so ``lone`` (the side, for them only) keeps those of a and b apart.
+    """
+    def side(df, name):
+        mine = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+        return df.select(F.col(key).alias("k"), *mine, F.when(F.col(key).isNull(), F.lit(name)).alias("lone"),
+                         F.lit(int(name == "a")).alias("in_a"), F.lit(int(name == "b")).alias("in_b"))
+
+    return side(a, "a").unionByName(side(b, "b"))
+
+
+def keyed_sides(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per key of either table: ``k``, ``n_a``, ``n_b`` and each column's value on each side (``a0``, ``b0``, ..).
+
+    One aggregation of both tables, without a join; rows are combined before the shuffle, so a key may
+    hold any number of them.  Where a key repeats (``repeated``) a value is the least one of its side.
+    Rows without a key are one row per side.
+    """
+    rows, kinds = _tagged(a, b, key, columns), dict(_tagged(a, b, key, columns).dtypes)
+    cells = []
+    for i in range(len(columns)):
+        value = F.to_json(f"c{i}") if "map<" in kinds[f"c{i}"] else F.col(f"c{i}")  # maps have no order
+        cells += [F.min(F.when(F.col(f"in_{s}") == 1, value)).alias(f"{s}{i}") for s in "ab"]
+    out = rows.groupBy("k", "lone").agg(F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"), *cells)
+    return out.withColumn("repeated", F.greatest("n_a", "n_b") > 1).drop("lone")
+
+
 def compare_column(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:
     """Counts of the match states of one column over rows paired by key.
 
-    Equal (key, value) rows are counted before the join, so repeated keys meet as
-    weights and not as pairs.
+    Repeated keys count every pair of their rows, from the counts of their values on either side; the
+    pairs are never made.  ``repeated_keys`` tells how many of a state's keys repeat.
     """
-    def side(df):
-        return df.groupBy(F.col(key).alias("k"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
-
-    j = full_outer(side(a), side(b), ["k"])
-    av, bv = F.col("a_v"), F.col("b_v")
-    one_side = F.when(F.col("a_k").isNull(), 2).when(F.col("b_k").isNull(), 3)
-    state = F.when(av.eqNullSafe(bv), av.isNull().cast("int")).otherwise(
-        F.coalesce(one_side, F.when(av.isNull(), 4).when(bv.isNull(), 5).otherwise(6)))
-    weight = F.coalesce("a_n", F.lit(1)) * F.coalesce("b_n", F.lit(1))
-    counts = j.groupBy(state.alias("__state")).agg(F.sum(weight).alias("count_records"))
+    cells = _tagged(a, b, key, [column]).groupBy("k", "lone", "c0").agg(F.sum("in_a").alias("a"), F.sum("in_b").alias("b"))
+    null = F.col("c0").isNull()
+    keys = cells.groupBy("k", "lone").agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum(F.when(null, F.col("a")).otherwise(0)).alias("a0"),
+        F.sum(F.when(null, F.col("b")).otherwise(0)).alias("b0"), F.sum(F.when(null, 0).otherwise(F.col("a") * F.col("b"))).alias("same"))
+    a_, b_, a0, b0, same = (F.col(c) for c in ("a", "b", "a0", "b0", "same"))
+    only_a, only_b = b_ == 0, a_ == 0
+    # in the order of MATCH_STATES; a null that no row faces counts as null on both sides
+    weights = [same, a0 * b0 + F.when(only_a, a0).when(only_b, b0).otherwise(0), F.when(only_b, b_ - b0).otherwise(0),
+               F.when(only_a, a_ - a0).otherwise(0), a0 * (b_ - b0), (a_ - a0) * b0, (a_ - a0) * (b_ - b0) - same]
+    repeated = F.greatest(a_, b_) > 1
+    sums = keys.agg(*[F.struct(F.lit(i).alias("__state"), F.sum(w).alias("count_records"),
+                               F.count(F.when(repeated & (w > 0), 1)).alias("repeated_keys")).alias(f"s{i}") for i, w in enumerate(weights)])
+    counts = sums.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(weights))]))).where("count_records > 0")
     label = F.element_at(F.array(*[F.lit(s) for s in MATCH_STATES]), F.col("__state") + 1)
-    counts = counts.select("__state", F.lit(column).alias("column_name"), label.alias("match_status"), "count_records")
+    counts = counts.select("__state", F.lit(column).alias("column_name"), label.alias("match_status"), "count_records", "repeated_keys")
     return share_of_total(counts, "count_records", "percent_of_total").orderBy("__state").drop("__state")
 
 
-def _cell_flags(av, bv, ak, bk):
-    """Equal non-null values can only come from a matched pair, so one null-safe test decides."""
-    equal = av.eqNullSafe(bv)
+def _cell_flags(i: int) -> dict:
+    """Equal non-null values can only come from both sides, so one null-safe test decides."""
+    a, b, in_a, in_b = F.col(f"a{i}"), F.col(f"b{i}"), F.col("n_a") > 0, F.col("n_b") > 0
+    equal = a.eqNullSafe(b)
     return {
         "perfect_match": equal,
-        "null_in_a": ak.isNotNull() & av.isNull(),
-        "null_in_b": bk.isNotNull() & bv.isNull(),
-        "missing_from_a": ak.isNull(),
-        "missing_from_b": bk.isNull(),
-        "conflicting_values": ak.isNotNull() & bk.isNotNull() & ~equal,
+        "null_in_a": in_a & a.isNull(),
+        "null_in_b": in_b & b.isNull(),
+        "missing_from_a": ~in_a,
+        "missing_from_b": ~in_b,
+        "conflicting_values": in_a & in_b & ~equal,
     }
 
 
 def compare_column_verbose(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:
-    """Flags of one column for every pair of rows."""
-    j = full_outer(a.select(F.col(key).alias("k"), F.col(column).alias("v")),
-                   b.select(F.col(key).alias("k"), F.col(column).alias("v")), ["k"])
-    flags = _cell_flags(F.col("a_v"), F.col("b_v"), F.col("a_k"), F.col("b_k"))
-    return j.select(F.coalesce("a_k", "b_k").alias("primary_key"), F.lit(column).alias("column_name"),
-                    *[v.alias(n) for n, v in flags.items()])
+    """Flags of one column per key; ``repeated_key`` where it has several rows on a side, which cannot be paired."""
+    j = keyed_sides(a, b, key, [column])
+    return j.select(F.col("k").alias("primary_key"), F.lit(column).alias("column_name"),
+                    *[v.alias(n) for n, v in _cell_flags(0).items()], F.col("repeated").alias("repeated_key"))
 
 
 def compare_all_columns(a: DataFrame, b: DataFrame, key: str, exclude_columns=(), summarize: bool = True) -> DataFrame:
-    """Flags of all columns from a single join; summed per column or one row per key and column."""
+    """Flags of all columns from one aggregation; summed per column (with the number of repeated keys) or one row per key and column."""
     cols = filtered_columns(a, exclude_columns)
-    need = list(dict.fromkeys([key, *cols]))
-    j = full_outer(a.select(*need), b.select(*need), [key])
-    ak, bk = F.col(f"a_{key}"), F.col(f"b_{key}")
-    flags = {c: _cell_flags(F.col(f"a_{c}"), F.col(f"b_{c}"), ak, bk) for c in cols}
+    j = keyed_sides(a, b, key, cols)
+    flags = {c: _cell_flags(i) for i, c in enumerate(cols)}
     names = list(next(iter(flags.values())))
     if summarize:
+        rows = F.when(F.col("k").isNull(), F.col("n_a") + F.col("n_b")).otherwise(F.lit(1).cast("bigint"))
         sums = [F.struct(F.lit(c.upper()).alias("column_name"),
-                         *[F.sum(f[n].cast("bigint")).alias(n) for n in names]).alias(f"__{c}")
+                         *[F.sum(F.when(f[n], rows).otherwise(0)).alias(n) for n in names],
+                         F.count(F.when(F.col("repeated") & F.col("k").isNotNull(), 1)).alias("repeated_keys")).alias(f"__{c}")
                 for c, f in flags.items()]
         one = j.agg(*sums)
         return one.select(F.inline(F.array(*[F.col(f"__{c}") for c in cols]))).orderBy("column_name")
-    cells = F.array(*[F.struct(F.lit(c.upper()).alias("column_name"), *[f[n].alias(n) for n in names])
-                      for c, f in flags.items()])
-    return j.select(F.coalesce(ak, bk).alias("primary_key"), F.inline(cells))
+    cells = F.array(*[F.struct(F.lit(c.upper()).alias("column_name"), *[f[n].alias(n) for n in names],
+                               F.col("repeated").alias("repeated_key")) for c, f in flags.items()])
+    return j.select(F.col("k").alias("primary_key"), F.inline(cells))
+
+
+def compare_presence(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row per key of either table: ``k``, ``in_both``, ``only_a``, ``only_b``; one aggregation, no join."""
+    j = keyed_sides(a, b, key, [])
+    in_a, in_b = F.col("n_a") > 0, F.col("n_b") > 0
+    return j.select("k", (in_a & in_b).alias("in_both"), (in_a & ~in_b).alias("only_a"), (~in_a & in_b).alias("only_b"))
 
 
 def compare_schema(a: DataFrame, b: DataFrame) -> DataFrame:

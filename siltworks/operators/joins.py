@@ -3,7 +3,7 @@
 No side is broadcast by hint: Spark broadcasts a side whose size it has checked
 against ``spark.sql.autoBroadcastJoinThreshold``.  The adaptive skew join splits hot
 keys of inner joins of two shuffled sides; where it does not (full outer, semi and
-anti joins, joins to an aggregate), ``lookup`` spreads them by a salt.
+anti joins, joins to an aggregate), ``lookup`` finds hot keys with a sketch and spreads them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from siltworks.operators.windows import row_hash_of, unused
 
-SALTS = 16
+#: Most hot keys that a join spreads; a key beyond them holds less than a share of 1 / HOT_KEYS.
+HOT_KEYS = 64
 
 
 def join_on_either(left: DataFrame, right: DataFrame, first: Column, second: Column) -> DataFrame:
@@ -29,15 +30,41 @@ def join_on_either(left: DataFrame, right: DataFrame, first: Column, second: Col
     return by_first.unionAll(by_second)
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], tasks: int, most: int = HOT_KEYS) -> dict[int, int]:
+    """Hashes of keys that hold more rows than a task's fair share, with the number of such shares.
+
+    One pass with a frequent-items sketch, which is merged map-side; at most ``most`` keys come back.
+    Starts a job.
+    """
+    key = F.when(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys]), F.xxhash64(*keys))
+    sketch = F.call_function("approx_top_k", F.col("key"), F.lit(most), F.lit(16 * most))
+    total, tops = df.select(key.alias("key")).where("key is not null").agg(F.count("*"), sketch).first()
+    fair = max(1, -(-total // tasks))
+    return {t["item"]: -(-t["count"] // fair) for t in tops or [] if t["count"] > fair}
+
+
+def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", tasks: int | None = None) -> DataFrame:
     """Join (inner, left, left_semi or left_anti) to a right side that has one row per key.
 
-    A key may hold most of the left rows: they are spread over ``salts`` tasks by a row
-    hash, and each right row goes to all of them.  Null keys match nothing.
+    Keys that hold more left rows than one of ``tasks`` (by default the shuffle partitions) should get are
+    named by a sketch; their left rows are spread by a row hash over as many tasks as they fill, and
+    only their right rows are copied, to at most two a task in all.  All other keys join plainly.  Null
+    keys match nothing.  The rows are the same whatever the sketch says.
     """
+    tasks = tasks or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(left, keys, tasks)
+    if not hot:
+        return left.join(right, keys, how)
     salt, = unused(left, "__salt")
-    mine = left.withColumn(salt, F.pmod(row_hash_of(left), F.lit(salts)).cast("int"))
-    theirs = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    shares = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+
+    def copies(df: DataFrame) -> Column:
+        # the same hash on both sides: keys come in under one type
+        typed = [F.col(k).cast(left.schema[k].dataType) for k in keys]
+        return F.coalesce(F.element_at(shares, F.xxhash64(*typed)), F.lit(1))
+
+    mine = left.withColumn(salt, F.pmod(row_hash_of(left), copies(left)).cast("int"))
+    theirs = right.withColumn(salt, F.explode(F.sequence(F.lit(0), copies(right).cast("int") - 1)))
     return mine.join(theirs, [*keys, salt], how).drop(salt)
 
 
@@ -63,6 +90,80 @@ def join_days_in_ranges(days: DataFrame, day: str, ranges: DataFrame, begin: str
     return days.join(spread, days[day] == spread[name], how).drop(name)
 
 
+def whole_number(df: DataFrame, column: str) -> Column:
+    """A date, timestamp or whole number as a bigint in the same order (days, microseconds, the number)."""
+    kind = dict(df.dtypes)[column]
+    c = F.col(column)
+    if kind == "date":
+        return F.unix_date(c).cast("bigint")
+    if kind == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return c.cast("bigint")
+    raise ValueError(f"{column} is {kind}; ranges are of dates, timestamps or whole numbers (scale others first)")
+
+
+def range_blocks(lo: Column, hi: Column, levels: int, bits: int) -> Column:
+    """The aligned blocks that make up lo..hi (both included): structs of level and index, each number in one of them.
+
+    A block of level k holds 2 ** (bits * k) numbers.  A level adds less than two times 2 ** bits blocks.
+    """
+    radix = 1 << bits
+
+    def at(level: int) -> Column:
+        begin = _up(lo, bits * level)
+        end = F.shiftright(hi + 1, bits * level)
+        inner_begin, inner_end = _up(begin, bits) * radix, F.shiftright(end, bits) * radix
+        whole = (inner_begin >= inner_end) if level + 1 < levels else F.lit(True)
+        none = F.expr("array()").cast("array<bigint>")
+
+        def run(x, y):
+            return F.when(x < y, F.sequence(x, y - 1)).otherwise(none)
+
+        indexes = F.when(whole, run(begin, end)).otherwise(F.concat(run(begin, inner_begin), run(inner_end, end)))
+        return F.transform(indexes, lambda i: F.struct(F.lit(level).alias("level"), i.alias("index")))
+
+    return F.concat(*[at(k) for k in range(levels)])
+
+
+def _up(x: Column, bits: int) -> Column:
+    """Ceiling of x / 2 ** bits."""
+    return -F.shiftright(-x, bits)
+
+
+def join_points_in_ranges(points: DataFrame, point: str, ranges: DataFrame, begin: str, end: str, how: str = "left",
+                          bits: int = 4) -> DataFrame:
+    """Join each point to the ranges begin..end (both included) it lies in; ``how`` is inner or left.
+
+    For timestamps and whole numbers of any width: a range becomes aligned blocks (``range_blocks``), a point
+    one block per level that ranges use, and both meet in an equi join, so nothing is spread by unit and no pair
+    is tried in vain.  Ranges that are open at an end (null) or run backwards hold nothing, null points match
+    nothing.  Starts two small jobs (the widest range, the levels in use).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how is inner or left")
+    level, index = unused(points.select(*points.columns, *[F.lit(0).alias(c) for c in ranges.columns if c not in points.columns]), "__level", "__index")
+    lo, hi = whole_number(ranges, begin), whole_number(ranges, end)
+    known = ranges.where(F.col(begin).isNotNull() & F.col(end).isNotNull() & (lo <= hi))
+    widest = known.agg(F.max(hi - lo)).first()[0]
+    levels = 1 if widest is None else -(-max(1, int(widest).bit_length()) // bits) + 1
+    cut = known.withColumn(level, F.explode(range_blocks(lo, hi, levels, bits)))
+    cut = cut.withColumns({index: F.col(f"{level}.index"), level: F.col(f"{level}.level")})
+    used = sorted(r[0] for r in cut.select(level).distinct().collect())  # at most `levels` rows
+    own = whole_number(points, point)
+    placed = points.where(F.col(point).isNotNull()).withColumn(level, F.explode(F.array(*[F.lit(k) for k in used]).cast("array<int>")))
+    shift = F.lit(None).cast("bigint")
+    for k in used:
+        shift = F.when(F.col(level) == k, F.shiftright(own, bits * k)).otherwise(shift)
+    pairs = placed.withColumn(index, shift).join(cut, [level, index]).drop(level, index)
+    if how == "inner":
+        return pairs
+    met = pairs.select(point).distinct()
+    return pairs.unionByName(points.join(met, point, "left_anti"), allowMissingColumns=True)
+
+
 def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str) -> DataFrame:
     """SQL ``NOT IN``: a null on the right removes every row, a null on the left its own row.
 
@@ -103,6 +204,27 @@ def full_outer(a: DataFrame, b: DataFrame, keys: list[str], unique: bool = False
         *left.columns, *right.columns, "in_a", "in_b")
 
 
+def product(a: DataFrame, b: DataFrame, most_rows: int, blocks: tuple[int, int] = (8, 8)) -> DataFrame:
+    """Every row of ``a`` with every row of ``b``, on a grid of row blocks.
+
+    Each block of ``a`` meets each block of ``b`` in one task, by an equi join, so a task holds a block of
+    either and no side is broadcast.  A product of more than ``most_rows`` rows is refused.  Starts two counts.
+    """
+    n, m = a.count(), b.count()
+    if n * m > most_rows:
+        raise ValueError(f"the product has {n * m} rows, more than {most_rows}")
+    if twice := {c.lower() for c in a.columns} & {c.lower() for c in b.columns}:
+        raise ValueError(f"both sides have {sorted(twice)}")
+    x, y = unused(a.limit(0).join(b.limit(0), F.lit(False)), "__x", "__y")
+    rows, columns = blocks
+
+    def dealt(df, own, own_blocks, other, other_blocks):
+        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(own_blocks)).cast("int")
+        return df.withColumn(own, place).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))))
+
+    return dealt(a, x, rows, y, columns).join(dealt(b, y, columns, x, rows), [x, y]).drop(x, y)
+
+
 def repeat_over_series(df: DataFrame, count: int, name: str) -> DataFrame:
     """Each row once per number 1..count: the product of a table and a series, without a join."""
     return df.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(count))))

@@ -100,17 +100,13 @@ def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, n
                 ranges: int | None = None) -> DataFrame:
     """Add the sum of ``value`` up to and including all rows equal in the order.
 
-    Rows equal in group and order may lie in several ranges; each range sums its own,
-    and one row per (group, order) with the sum of all of them takes the running total.
+    The sum depends on group and order only: rows are summed to one per (group, order) first, those
+    narrow rows are dealt into ranges, and the totals are joined back once.
     """
-    rank, chunk, first, total = unused(df, "__rank", "__chunk", "__first", "__total")
-    rows = in_ranges(df.withColumn(rank, row_hash_of(df)), [*group, *order, rank], chunk, ranges)
+    chunk, part = unused(df, "__chunk", "__part")
     keys = [*group, *order]
-    cells = rows.groupBy(*keys, chunk).agg(F.sum(value).alias(total))
-    peers = cells.groupBy(*keys).agg(F.sum(total).alias(total), F.min(chunk).alias(first))
-    sums = running_totals(peers, group, order, total, name, first)
-    sums = attach(cells.select(*keys, chunk), sums, keys, [name])
-    return attach(rows, sums, [*keys, chunk], [name]).select(*df.columns, name)
+    peers = in_ranges(df.groupBy(*keys).agg(F.sum(value).alias(part)), keys, chunk, ranges)
+    return attach(df, running_totals(peers, group, order, part, name, chunk), keys, [name])
 
 
 def running_totals(df: DataFrame, group: list[str], order: list[str], value: str, name: str, chunk: str,

@@ -238,7 +238,7 @@ def equal_expression(df, expression, other=None, other_expression=None, group_by
     a, b = side(df, expression, group_by, where), side(other, other_expression, other_group_by, other_where)
     if group_by:
         names = [f"col_{i}" for i in range(1, len(group_by) + 1)]
-        j = full_outer(a, b, names)
+        j = full_outer(a, b, names, unique=True)
         j = j.select(*[F.coalesce(f"a_{n}", f"b_{n}").alias(n) for n in names],
                      F.col("a_v").alias("expression"), F.col("b_v").alias("compare_expression"))
     else:

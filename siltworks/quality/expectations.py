@@ -290,16 +290,15 @@ def expect_column_mean_to_be_between(df, column, min_value=None, max_value=None,
 
 
 def expect_column_quantile_values_to_be_between(df, column, quantile, min_value=None, max_value=None, group_by=(),
-                                                where=None, strictly=False, ranges=None):
+                                                where=None, strictly=False):
     rows = filtered(df, where)
-    found = percentiles(rows, list(group_by), column, {"expression": quantile}, ranges)
+    found = percentiles(rows, list(group_by), column, {"expression": quantile})
     return found.where(fails(within(min_value, max_value, strictly)(F.col("expression"))))
 
 
 def expect_column_median_to_be_between(df, column, min_value=None, max_value=None, group_by=(), where=None,
-                                       strictly=False, ranges=None):
-    return expect_column_quantile_values_to_be_between(df, column, 0.5, min_value, max_value, group_by, where,
-                                                       strictly, ranges)
+                                       strictly=False):
+    return expect_column_quantile_values_to_be_between(df, column, 0.5, min_value, max_value, group_by, where, strictly)
 
 
 def expect_column_stdev_to_be_between(df, column, min_value=None, max_value=None, group_by=(), where=None,
@@ -318,12 +317,21 @@ def expect_column_proportion_of_unique_values_to_be_between(df, column, min_valu
     return expression_between(df, share, min_value, max_value, group_by, where, strictly)
 
 
-def expect_column_most_common_value_to_be_in_set(df, column, value_set, top_n=1):
-    """The ``top_n`` most frequent values (all of equal frequency count) that are not in the set."""
+def expect_column_most_common_value_to_be_in_set(df, column, value_set, top_n=1, data_type="decimal(38,18)", strictly=False):
+    """The ``top_n`` most frequent values (all of equal frequency count) that are not in the set.
+
+    Values and set meet as text with ``data_type=None`` or "string", else both cast to that type (a value that does not
+    fit it is in no set).  ``strictly``: every most frequent value has to be in the set; otherwise it is enough that one is.
+    """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("value_count"))
     levels = counts.select("value_count").distinct().orderBy(F.desc("value_count")).limit(top_n)
     top = counts.join(levels, "value_count", "left_semi")
-    return top.where(~F.col(column).isin(list(value_set)))
+    kind = data_type or "string"
+    known = F.coalesce(F.col(column).try_cast(kind).isin([F.lit(v).try_cast(kind) for v in value_set]), F.lit(False))
+    out = top.where(~known)
+    if strictly:
+        return out
+    return out.where(top.where(known).agg(F.count("*") == 0).scalar())
 
 
 def expect_column_max_to_be_between(df, column, min_value=None, max_value=None, group_by=(), where=None,

@@ -1,106 +1,159 @@
 """Stored tables: full refresh, merge, incremental append, history and layout.
 
-A table is a folder of parts.  A part counts only once a marker lists it, which is
-written last, so a job that dies leaves the table as it was and
-readers never see half a write.  Appends add a part; merges write a new full one
-(plain parquet has no row-level merge).
+Tables are plain Parquet folders, written with ``DataFrameWriter`` alone.  What a run may replace is a
+partition column, so Spark's dynamic partition overwrite rewrites just the partitions a run touches:
+
+- merged tables are partitioned by a hash of the key (``key_of_<n>``, n buckets);
+- history tables keep current rows apart from closed ones (``closed_in``: ``current`` or the run that closed them);
+- appended tables carry their high-water mark as a whole number, whose greatest value Parquet's statistics tell.
+
+A job writes to a staging folder and moves partitions when all its tasks are done, so a lost executor or a
+failed job leaves the table as it was.  A table has one writer at a time; where several write, use
+a catalog whose tables have transactions.
 """
 
 from __future__ import annotations
 
-import uuid
+import re
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.operators.joins import lookup
-from siltworks.operators.windows import first_per_key, next_values, row_hash_of
+from siltworks.operators.joins import whole_number
+from siltworks.operators.windows import first_per_key, next_values, row_hash_of, unused
 
 POLICIES = ("sync_all_columns", "append_new_columns", "fail")
+BUCKETS = 64
+BUCKET_NAME = re.compile(r"key_of_(\d+)")
+MARK = "_mark"
+CLOSED_IN, CURRENT = "closed_in", "current"
+#: Rows of each key that the cuts of a clustered layout are taken from.
+LAYOUT_SAMPLE = 10_000
+
+
+def _technical(name: str) -> bool:
+    return name in (MARK, CLOSED_IN) or BUCKET_NAME.fullmatch(name) is not None
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table with its technical columns; None where there is no folder, or one without rows."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a stored table, under all columns that any of its files has."""
+    found = _stored(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no rows in {path}")
+    return found.drop(*[c for c in found.columns if _technical(c)])
+
 
+def _conform(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The source under the types of the columns that are stored already."""
+    kinds = {f.name: f.dataType for f in target.schema}
+    return source.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in source.columns])
 
-class StoredTable:
-    """A table of parts under one folder.
 
-    A write makes a new part under a name of its own, then a numbered marker that lists the
-    live parts; the highest marker is the table.  Markers are never replaced, so of two writers
-    that began from the same state the second one fails and its part never counts.  A marker
-    left empty by a driver that died while writing its one row has to be removed by hand.
+def _replace(df: DataFrame, path: str, part: str) -> None:
+    """Write rows over the partitions they lie in; the others stay as they are."""
+    balanced = df.hint("rebalance", part)  # files of one partition from as many tasks as it fills
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def refresh(df: DataFrame, path: str) -> DataFrame:
+    """Write the whole table anew."""
+    df.write.mode("overwrite").parquet(path)
+    return read_table(df.sparkSession, path)
+
+
+def merge_into(path: str, source: DataFrame, keys: list[str], on_schema_change: str = "append_new_columns",
+               buckets: int = BUCKETS) -> DataFrame:
+    """Replace stored rows whose keys are in the source, add the others; the table afterwards.
+
+    Only partitions that a source key falls into are read and written.  ``buckets`` counts for the first
+    write; later ones follow the table.  A policy that drops columns rewrites all partitions.  Null keys match
+    nothing, rows of a repeated source key all come in.  Source columns take the types they are stored under.
     """
+    spark = source.sparkSession
+    target = _stored(spark, path)
+    if target is not None:
+        named = [m for c in target.columns if (m := BUCKET_NAME.fullmatch(c))]
+        if not named:
+            raise ValueError(f"{path} is not partitioned by a key")
+        buckets = int(named[0][1])
+    part = f"key_of_{buckets}"
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.withColumn(part, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+    if target is None:
+        _replace(dealt(source), path, part)
+        return read_table(spark, path)
+    rows = target.drop(part)
+    source = _conform(source, rows)
+    evolve(rows.limit(0), source.limit(0), on_schema_change)  # a change the policy refuses stops here
+    if on_schema_change != "sync_all_columns" or not set(rows.columns) - set(source.columns):
+        touched = [r[0] for r in dealt(source).select(part).distinct().collect()]  # at most `buckets`
+        rows = target.where(F.col(part).isin(touched) if touched else F.lit(False)).drop(part)
+    _replace(dealt(merge_rows(rows, source, keys, on_schema_change)), path, part)
+    return read_table(spark, path)
+
+
+def high_water_mark(spark: SparkSession, path: str) -> int | None:
+    """Greatest mark of an appended table, from the statistics in the files' footers: no row is read."""
+    return marks_plan(spark, path).first()[0]
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _live(self) -> tuple[int, list[str]]:
-        """Number of the newest marker and its parts; only a missing folder means no table."""
-        try:
-            marks = self.spark.read.schema("version bigint, parts array<string>").parquet(f"{self.path}/_marks/*")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0, []
-        newest = marks.agg(F.max("version"), F.max_by("parts", "version")).first()
-        return newest[0] or 0, newest[1] or []
-
-    def _commit(self, df: DataFrame, base: int, parts: list[str]) -> DataFrame:
-        """Add a part to ``parts`` as the version after ``base``."""
-        name = f"v{base + 1}-{uuid.uuid4().hex}"
-        df.write.mode("error").parquet(f"{self.path}/{name}")
-        listed = F.array(*[F.lit(p) for p in [*parts, name]])
-        mark = self.spark.range(1).select(F.lit(base + 1).cast("bigint").alias("version"), listed.alias("parts"))
-        try:
-            mark.coalesce(1).write.mode("error").parquet(f"{self.path}/_marks/m{base + 1:012d}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise RuntimeError(f"another writer changed {self.path} after version {base}") from e
-        return self._rows([*parts, name])
-
-    def _rows(self, parts: list[str]) -> DataFrame:
-        """All rows of the parts under the columns of the newest one, which has every column."""
-        newest = self.spark.read.parquet(f"{self.path}/{parts[-1]}")
-        if len(parts) == 1:
-            return newest
-        return self.spark.read.schema(newest.schema).parquet(*[f"{self.path}/{p}" for p in parts])
-
-    def exists(self) -> bool:
-        return self._live()[0] > 0
-
-    def read(self) -> DataFrame:
-        parts = self._live()[1]
-        if not parts:
-            raise FileNotFoundError(f"no version of {self.path}")
-        return self._rows(parts)
-
-    def overwrite(self, df: DataFrame) -> DataFrame:
-        """Write a new complete version and make it the current one."""
-        return self._commit(df, self._live()[0], [])
-
-    def merge(self, source: DataFrame, keys: list[str], on_schema_change: str = "append_new_columns") -> DataFrame:
-        """Replace rows whose keys are in the source, add the others."""
-        base, parts = self._live()
-        merged = merge_rows(self._rows(parts), source, keys, on_schema_change) if parts else source
-        return self._commit(merged, base, [])
-
-    def append_newer(self, source: DataFrame, ts: str, on_schema_change: str = "append_new_columns") -> DataFrame:
-        """Add source rows newer than the newest stored one; stored parts are not rewritten
-        unless the policy drops columns."""
-        base, parts = self._live()
-        if not parts:
-            return self._commit(source, base, [])
-        target = self._rows(parts)
-        added = newer_rows(source, target, ts)
-        aligned = evolve(target.limit(0), added, on_schema_change)
-        if set(target.columns) - set(aligned.columns):
-            return self._commit(evolve(target, added, on_schema_change), base, [])
-        return self._commit(aligned, base, parts)
+
+def marks_plan(spark: SparkSession, path: str) -> DataFrame:
+    """The aggregate that ``high_water_mark`` runs; in a session of its own, so that of the caller keeps its settings."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.max(MARK))
+
+
+def append_newer(path: str, source: DataFrame, ts: str, on_schema_change: str = "append_new_columns") -> DataFrame:
+    """Add source rows above the table's high-water mark (all, where it has none); the table afterwards.
+
+    Stored files are neither read nor rewritten, unless the policy drops columns.  Source rows without a time
+    come in with the first load only.
+    """
+    spark = source.sparkSession
+    target = _stored(spark, path)
+    if target is not None:
+        source = _conform(source, target)
+    # the first column of every file: Spark looks it up in the footers by its place
+    marked = source.select(whole_number(source, ts).alias(MARK), "*")
+    if target is None:
+        marked.write.parquet(path)
+        return read_table(spark, path)
+    rows = target.drop(MARK)
+    aligned = evolve(rows.limit(0), source.limit(0), on_schema_change)
+    mark = high_water_mark(spark, path)
+    added = marked if mark is None else marked.where(F.col(MARK) > mark)
+    if set(rows.columns) - set(aligned.columns):
+        # the stored rows under fewer columns; Spark refuses to overwrite what it reads, so by way of a copy beside the table
+        side = f"{path.rstrip('/')}_narrowed"
+        target.select(MARK, *[c for c in rows.columns if c in aligned.columns]).write.mode("overwrite").parquet(side)
+        spark.read.parquet(side).write.mode("overwrite").parquet(path)
+    added.write.mode("append").parquet(path)
+    return read_table(spark, path)
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
                on_schema_change: str = "append_new_columns") -> DataFrame:
-    """Rows after a merge: target rows without a source match, and all source rows."""
-    kept = lookup(target, source.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
+    """Rows after a merge: target rows without a source match, and all source rows.
+
+    Keys are unique in the target, so none is hot there; the source is reduced to its keys first.
+    """
+    kept = target.join(source.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
     return evolve(kept, source, on_schema_change)
 
 
@@ -125,12 +178,40 @@ def evolve(target: DataFrame, incoming: DataFrame, on_schema_change: str) -> Dat
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
-def write_clustered(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> None:
-    """Range-partitioned, sorted files, so file and row-group statistics prune on the keys.
+def _cuts(df: DataFrame, column: str, parts: int, sample: int) -> list:
+    """Up to ``parts`` - 1 rising values that cut a sample of the column (rows of the least row hashes) evenly."""
+    found = df.select(column).where(F.col(column).isNotNull()).orderBy(F.xxhash64(F.lit(7), F.monotonically_increasing_id())).limit(sample)
+    values = sorted(r[0] for r in found.collect())
+    return sorted({values[len(values) * i // parts] for i in range(1, parts)}) if values else []
+
 
-    A row hash ends the range key, so rows of one hot key fill several files.
+def z_order(df: DataFrame, keys: list[str], bits: int = 4, sample: int = LAYOUT_SAMPLE) -> Column:
+    """Interleaved bits of each key's rank among 2 ** ``bits`` shares of its values; rows near in all keys are near in it.
+
+    The shares are cut by a sample of at most ``sample`` values a key, which reach the driver; they steer the
+    layout only.
+    """
+    ranks = []
+    for k in keys:
+        above = [F.when(F.col(k) >= F.lit(c), 1).otherwise(0) for c in _cuts(df, k, 1 << bits, sample)]
+        ranks.append(reduce(lambda x, y: x + y, above, F.lit(0)))
+    return reduce(lambda x, y: x.bitwiseOR(y), [
+        F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(keys) + i)
+        for i, rank in enumerate(ranks) for bit in range(bits)], F.lit(0))
+
+
+def write_clustered(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None, files: int | None = None,
+                    bits: int = 4) -> None:
+    """Range-partitioned, sorted files, so file and row-group statistics prune on each of the keys.
+
+    One key is the order itself; several are interleaved (``z_order``), so a filter on any of them skips most files.
+    A row hash ends the range key, so rows of one hot key fill several files.  ``files``: by default the shuffle partitions.
     """
-    out = df.repartitionByRange(*keys, row_hash_of(df)).sortWithinPartitions(*keys).write.mode("overwrite")
+    z, = unused(df, "__z")
+    order = [F.col(keys[0])] if len(keys) == 1 else [F.col(z)]
+    laid = df if len(keys) == 1 else df.withColumn(z, z_order(df, keys, bits))
+    count = [files] if files else []
+    out = laid.repartitionByRange(*count, *order, row_hash_of(df)).sortWithinPartitions(*order, *keys).drop(z).write.mode("overwrite")
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
@@ -162,3 +243,19 @@ def snapshot(stored: DataFrame | None, incoming: DataFrame, key: list[str], upda
     fresh = opened.join(current, key, "left")
     fresh = fresh.where(F.col("__old").isNull() | (F.col(updated_at) > F.col("__old")))
     return closed.drop("__new").select(*opened.columns).unionByName(fresh.drop("__old").select(*opened.columns))
+
+
+def snapshot_into(path: str, incoming: DataFrame, key: list[str], updated_at: str, run: str) -> DataFrame:
+    """Bring a stored history table to its next state (``snapshot``); the table afterwards.
+
+    Only current rows are read and written again: rows that this run closes go to a partition named by ``run``,
+    which no earlier run may have used; what earlier runs closed is not touched.
+    """
+    spark = incoming.sparkSession
+    target = _stored(spark, path)
+    if run == CURRENT or (target is not None and not target.where(F.col(CLOSED_IN) == run).isEmpty()):
+        raise ValueError(f"run {run!r} is in use")
+    current = None if target is None else target.where(F.col(CLOSED_IN) == CURRENT).drop(CLOSED_IN)
+    state = snapshot(current, incoming, key, updated_at)
+    _replace(state.withColumn(CLOSED_IN, F.when(F.col("valid_to").isNull(), CURRENT).otherwise(run)), path, CLOSED_IN)
+    return read_table(spark, path)

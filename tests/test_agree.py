@@ -16,7 +16,10 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
     found = differences(spark, con, name, QUERIES[name], ORACLE[name], FOLDER)
-    assert [f for f in found if f != "no rows"] == []
+    if found == ["no rows"]:  # too small here: the next size has to have some
+        larger = FOLDER.replace("0.001", "0.01")
+        found = differences(spark, database(larger), name, QUERIES[name], ORACLE[name], larger)
+    assert found == []
 
 
 def test_every_query_has_sql():

@@ -187,6 +187,50 @@ def test_compare_column_states(spark):
     assert sum(got.values()) == 8 and len(got) == 7
 
 
+def test_keyed_comparison_of_repeated_keys(spark, rows, capsys):
+    """Pairs of repeated keys are counted, not made; keys that repeat are flagged; nulls in keys meet nothing."""
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (2, "y"), (3, None), (None, "q"), (None, "q"), (5, "b")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (1, None), (1, "z"), (2, "y"), (4, "n"), (None, "q"), (5, "c"), (5, "b")], "k int, v string")
+    pairs = a.toDF("ka", "va").withColumn("a", F.lit(1)).join(b.toDF("kb", "vb").withColumn("b", F.lit(1)), F.expr("ka = kb"), "full_outer").selectExpr("""
+        case when va <=> vb then int(va is null) when a is null then 2 when b is null then 3 when va is null then 4 when vb is null then 5 else 6 end as s""")
+    want = {r["s"]: r["count"] for r in pairs.groupBy("s").count().collect()}
+    out = compare.compare_column(a, b, "k", "v").collect()
+    state = {s: i for i, s in enumerate(compare.MATCH_STATES)}
+    assert {state[r["match_status"]]: r["count_records"] for r in out} == want
+    assert {state[r["match_status"]]: r["repeated_keys"] for r in out}[0] == 2
+    both = rows(compare.compare_all_columns(a, b, "k").select("column_name", "missing_from_a", "missing_from_b", "repeated_keys"))
+    assert both == [("K", 2, 3, 2), ("V", 2, 3, 2)]
+    flags = {r["primary_key"]: r for r in compare.compare_column_verbose(a, b, "k", "v").where("primary_key is not null").collect()}
+    assert {k for k, r in flags.items() if r["repeated_key"]} == {1, 5} and flags[2]["perfect_match"] and flags[4]["missing_from_a"]
+    assert rows(compare.compare_presence(a, b, "k").where("k is not null")) == [
+        (1, True, False, False), (2, True, False, False), (3, False, True, False), (4, False, False, True), (5, True, False, False)]
+    compare.compare_all_columns(a, b, "k").explain()
+    text = capsys.readouterr().out
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_unequal_ranges_are_the_only_rows_compared(spark, rows):
+    a = spark.range(5000).selectExpr("id", "if(id % 7 = 0, null, id) as v", "map('a', id) as m").drop("m")
+    assert tables.unequal_ranges(a, a.repartition(5), a.columns) == []
+    b = a.where("id <> 17").unionAll(spark.sql("select 9999L, 1L")).unionAll(a.where("id = 3"))
+    found = tables.unequal_ranges(a, b, a.columns)
+    assert 1 <= len(found) <= 3  # a row less, a row more, a row twice
+    for ranges in (1, 1024):
+        assert rows(tables.differing_flags(a, b, ranges=ranges)) == [(17, 17, True, False), (9999, 1, False, True)]
+    assert tables.differing_flags(a.limit(0), a.limit(0)).count() == 0
+    assert tables.differing_flags(a, a.limit(0)).count() == 5000
+
+
+def test_most_common_value_options(spark):
+    from siltworks.quality import expectations as e
+
+    df = spark.createDataFrame([("1",), ("1",), ("2.0",), ("2.0",), ("x",), (None,)], "v string")
+    bad = lambda *args, **kw: sorted(r["v"] for r in e.expect_column_most_common_value_to_be_in_set(df, "v", *args, **kw).collect())
+    assert bad(["2"], strictly=True) == ["1"] and bad(["2"]) == []
+    assert bad(["2"], data_type="string") == ["1", "2.0"] and bad(["2", "1"], strictly=True) == []
+    assert bad(["x"], top_n=2, data_type=None) == [] and bad(["x"], top_n=2, data_type=None, strictly=True) == ["1", "2.0"]
+
+
 def test_spines(spark):
     days = calendar.date_spine_between(spark, "2018-01-01", "2018-01-10")
     assert days.count() == 9

@@ -50,11 +50,12 @@ def test_global_row_number(hot, rows):
     assert rows(w.global_row_number(hot, ["s", "id"], "n", RANGES).select("id", "n")) == rows(plain)
 
 
+@pytest.mark.parametrize("accuracy", [50, 10_000])
 @pytest.mark.parametrize("group", [["g"], []])
-def test_percentiles(hot, group):
+def test_percentiles(hot, group, accuracy):
     quantiles = {"q0": 0.0, "q37": 0.37, "median": 0.5, "q100": 1.0}
     plain = hot.groupBy(*group).agg(*[F.percentile("v", F.lit(q)).alias(n) for n, q in quantiles.items()])
-    split = percentiles(hot, group, "v", quantiles, RANGES)
+    split = percentiles(hot, group, "v", quantiles, accuracy)
     a = {r["g"] if group else 0: [r[n] for n in quantiles] for r in plain.collect()}
     b = {r["g"] if group else 0: [r[n] for n in quantiles] for r in split.collect()}
     assert a.keys() == b.keys()
@@ -67,10 +68,25 @@ def test_percentiles_on_rows(hot, rows):
     plain = hot.select("id", F.percentile("v", F.lit(0.5)).over(win).alias("m"))
     from siltworks.operators.aggregate import with_percentiles
 
-    assert rows(with_percentiles(hot, ["g"], "v", {"m": 0.5}, RANGES).select("id", "m")) == rows(plain)
+    assert rows(with_percentiles(hot, ["g"], "v", {"m": 0.5}).select("id", "m")) == rows(plain)
     assert with_percentiles(hot, [], "v", {"m": 0.5}).select("m").distinct().count() == 1
 
 
+def test_percentiles_of_a_value_in_half_of_the_rows(spark):
+    """Ties, infinities, not-a-number; and ranges narrower than the table."""
+    rows = [("t", 7.0)] * 500 + [("t", float(i)) for i in range(500)] + [("u", float("nan"))] * 3 + [("u", float("-inf")), ("u", 2.0), ("w", None)]
+    rows += [("z", random.Random(i).random()) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    quantiles = {"q1": 0.1, "m": 0.5, "q9": 0.9, "q99": 0.999}
+    plain = {r[0]: r[1:] for r in df.groupBy("g").agg(*[F.percentile("v", F.lit(q)) for q in quantiles.values()]).collect()}
+    for accuracy in (100, 10_000):
+        out = {r[0]: r[1:] for r in percentiles(df, ["g"], "v", quantiles, accuracy).collect()}
+        assert out.keys() == plain.keys()
+        for g in out:
+            assert [repr(x) if x is None or x != x else round(x, 9) for x in out[g]] == [
+                repr(x) if x is None or x != x else round(x, 9) for x in plain[g]], g
+
+
 def test_ranges_are_small_and_ordered(hot):
     out = w.in_ranges(hot, ["s", "id"], "c", RANGES)
     sizes = out.groupBy("c").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("c").collect()
@@ -104,7 +120,7 @@ def test_empty_input(hot, group):
     assert w.previous_values(none, group, ["ts"], {"p": F.col("v")}, RANGES).count() == 0
     assert w.running_sum(none, group, ["ts"], "v", "t", RANGES).count() == 0
     assert w.global_row_number(none, ["ts"], "n", RANGES).count() == 0
-    assert [tuple(r) for r in percentiles(none, group, "v", {"m": 0.5}, RANGES).collect()] == ([] if group else [(None,)])
+    assert [tuple(r) for r in percentiles(none, group, "v", {"m": 0.5}).collect()] == ([] if group else [(None,)])
 
 
 def test_checks_on_hot_groups(hot, rows):
@@ -119,20 +135,67 @@ def test_checks_on_hot_groups(hot, rows):
     assert rows(a) == rows(history_intervals(versions, ["g"], "ts", ["id"], ranges=1))
 
 
-def test_lookup_spreads_a_hot_key(spark, rows):
-    left = spark.range(4000).select((F.col("id") % 2 * F.col("id")).alias("k"), F.col("id").alias("v"))
-    right = spark.createDataFrame([(0, "zero"), (5, "five"), (None, "none")], "k long, w string")
+@pytest.mark.parametrize("share", [2, 1000])
+def test_lookup_spreads_a_hot_key(spark, rows, share):
+    """One key in half of the left rows (or in few): equal rows, and right rows copied for hot keys only."""
+    left = spark.range(4000).select(F.when(F.col("id") % share == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(4000).select(F.col("id").cast("int").alias("k"), F.lit("w").alias("w")).where("k % 3 = 0")
     with_null = left.unionByName(spark.createDataFrame([(None, -1)], "k long, v long"))
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        assert rows(joins.lookup(with_null, right, ["k"], how)) == rows(with_null.join(right, "k", how)), how
+    hot = joins.hot_keys(with_null, ["k"], tasks=8)
+    assert len(hot) == (1 if share == 2 else 0) and sum(hot.values()) <= 8
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            assert rows(joins.lookup(with_null, right, ["k"], how)) == rows(with_null.join(right, "k", how)), how
         out = joins.lookup(left, right, ["k"], "inner").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(out) > 3 and max(r["count"] for r in out) < 1500  # of 2001 rows, 2000 of one key
+    assert len(out) > 3 and max(r["count"] for r in out) < 1700  # of 2667 rows, 2000 of one key
+    assert joins.hot_keys(left.limit(0), ["k"], 8) == {}
+
+
+def test_points_in_ranges(spark, rows):
+    """Random ranges, wide and narrow, open, backwards and equal ones, against a plain condition."""
+    rnd = random.Random(2)
+    spans = [(rnd.randrange(-500, 500), rnd.choice([0, 1, 3, 60, 700])) for _ in range(60)]
+    spans = [(a, a + n) for a, n in spans] + [(5, 4), (None, 3), (3, None), (7, 7), (7, 7), (-2 ** 40, 2 ** 41)]
+    points = spark.createDataFrame([(x,) for x in [*range(-600, 600, 7), None, 3, 3, 2 ** 45]], "p long")
+    ranges = spark.createDataFrame(spans, "lo long, hi long").withColumn("__level", F.lit("x"))
+    plain = points.join(ranges, F.expr("p between lo and hi"), "left")
+    for bits in (1, 2, 4):
+        assert rows(joins.join_points_in_ranges(points, "p", ranges, "lo", "hi", bits=bits)) == rows(plain)
+    assert rows(joins.join_points_in_ranges(points, "p", ranges, "lo", "hi", "inner")) == rows(plain.where("lo is not null"))
+    for kind in ("timestamp_ntz", "timestamp", "date"):
+        at = lambda c: F.expr(f"cast(timestampadd(HOUR, cast({c} as int) * 5, timestamp_ntz'2024-01-01') as {kind})")
+        p, r = points.where("p < 1000").select(at("p").alias("p")), ranges.where("hi < 2000").select(at("lo").alias("lo"), at("hi").alias("hi"))
+        assert rows(joins.join_points_in_ranges(p, "p", r, "lo", "hi")) == rows(p.join(r, F.expr("p between lo and hi"), "left")), kind
+    assert joins.join_points_in_ranges(points, "p", ranges.limit(0), "lo", "hi").where("lo is null").count() == points.count()
+    with pytest.raises(ValueError):
+        joins.join_points_in_ranges(points.selectExpr("cast(p as double) p"), "p", ranges, "lo", "hi")
+
+
+def test_a_range_is_few_blocks(spark):
+    for bits in (1, 4):
+        out = spark.sql("select 12345L as lo, 987654321L as hi").select(F.explode(joins.range_blocks(F.col("lo"), F.col("hi"), 32 // bits, bits)).alias("b"))
+        size = F.expr(f"shiftleft(1L, {bits} * b.level)")
+        n, total = out.agg(F.count("*"), F.sum(size)).first()
+        assert total == 987654321 - 12345 + 1 and n <= 2 * (2 ** bits) * 32 // bits
+
+
+def test_product_on_a_grid(spark, rows, capsys):
+    a, b = spark.range(30).toDF("x"), spark.sql("select * from values (1, 'a'), (2, null), (2, null) as t(y, z)")
+    out = joins.product(a, b, 90, (3, 2))
+    assert out.columns == ["x", "y", "z"] and rows(out) == rows(a.crossJoin(b))
+    out.explain()
+    text = capsys.readouterr().out
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    assert joins.product(a, b.limit(0), 0).count() == 0
+    with pytest.raises(ValueError, match="90 rows"):
+        joins.product(a, b, 89)
+    with pytest.raises(ValueError, match="both sides"):
+        joins.product(a, a, 10 ** 6)
 
 
 @pytest.mark.parametrize("unique", [False, True])

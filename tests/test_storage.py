@@ -1,7 +1,9 @@
 """Loads, stored tables, history and reports."""
 
 import datetime as dt
+import pathlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,39 +43,89 @@ def test_shared_folder_comes_from_the_session():
     assert "siltworks-" in shared_dir(FakeSession(None, "local[2]"))
 
 
-def test_merge_keeps_old_version_until_the_new_one_is_complete(spark, tmp_path, rows):
-    table = stored.StoredTable(spark, str(tmp_path / "t"))
-    assert not table.exists()
+def files(path):
+    """Data files with their times, by partition folder."""
+    out = {}
+    for f in sorted(pathlib.Path(path).rglob("*.parquet")):
+        out.setdefault(f.parent.name, []).append((f.name, f.stat().st_mtime_ns))
+    return out
+
+
+def test_merge_rewrites_only_the_partitions_of_its_keys(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
     with pytest.raises(FileNotFoundError):
-        table.read()
-    old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    table.merge(old, ["id"])
-    half = spark.createDataFrame([(9, "half")], "id int, v string")
-    half.write.parquet(f"{table.path}/v2")  # a run that died before it marked its version
-    assert rows(table.read()) == [(1, "a"), (2, "b")]
-    new = spark.createDataFrame([(2, "B", 1), (3, "c", 1)], "id int, v string, n int")
-    assert rows(table.merge(new, ["id"])) == [(1, "a", None), (2, "B", 1), (3, "c", 1)]
+        stored.read_table(spark, path)
+    stored.merge_into(path, spark.range(200).selectExpr("id", "'old' as v"), ["id"], buckets=16)
+    before = files(path)
+    assert len(before) == 16 and all(name.startswith("key_of_16=") for name in before)
+    out = stored.merge_into(path, spark.sql("select * from values (3, 'new'), (500, 'added') as t(id, v)"), ["id"])
+    assert out.columns == ["id", "v"] and out.count() == 201
+    assert rows(out.where("v <> 'old'")) == [(3, "new"), (500, "added")]
+    changed = [name for name, found in files(path).items() if found != before[name]]
+    assert 1 <= len(changed) <= 2
+    unchanged = files(path)
+    assert stored.merge_into(path, spark.range(0).selectExpr("id", "'x' as v"), ["id"]).count() == 201 and files(path) == unchanged
+
+
+def test_merge_with_changed_columns(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, v string")
+    stored.merge_into(path, old, ["id"], buckets=4)
+    new = spark.createDataFrame([(2, "B", 1), (3, "c", 1), (None, "m", 1)], "id long, v string, n int")
+    assert rows(stored.merge_into(path, new, ["id"])) == [(None, "m", 1), (None, "n", None), (1, "a", None), (2, "B", 1), (3, "c", 1)]
+    before = files(path)
     with pytest.raises(ValueError, match="schema changed"):
-        table.merge(old, ["id"], on_schema_change="fail")
-    assert table.read().count() == 3
+        stored.merge_into(path, old, ["id"], on_schema_change="fail")
+    assert files(path) == before and stored.read_table(spark, path).count() == 5
+    slim = stored.merge_into(path, spark.createDataFrame([(9,)], "id int"), ["id"], on_schema_change="sync_all_columns")
+    assert slim.columns == ["id"] and slim.count() == 6
+    stored.refresh(old, str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="not partitioned by a key"):
+        stored.merge_into(str(tmp_path / "plain"), old, ["id"])
+
+
+def test_a_failed_merge_leaves_the_table(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    stored.merge_into(path, spark.range(40).selectExpr("id", "1 as v"), ["id"], buckets=4)
+    before = files(path)
+    with pytest.raises(Exception, match="no good"):
+        stored.merge_into(path, spark.range(40).selectExpr("id", "if(id = 7, raise_error('no good'), 2) as v"), ["id"])
+    assert files(path) == before and stored.read_table(spark, path).where("v = 1").count() == 40
 
 
 def test_high_water_mark(spark, tmp_path):
-    table = stored.StoredTable(spark, str(tmp_path / "h"))
+    path = str(tmp_path / "h")
     first = spark.createDataFrame([(1, 10), (2, 20)], "id int, ts int")
-    table.append_newer(first, "ts")
+    stored.append_newer(path, first, "ts")
+    before = files(path)
     more = spark.createDataFrame([(2, 20), (3, 15), (4, 30)], "id int, ts int")
-    assert sorted(r["id"] for r in table.append_newer(more, "ts").collect()) == [1, 2, 4]
+    assert sorted(r["id"] for r in stored.append_newer(path, more, "ts").collect()) == [1, 2, 4]
+    assert set(before["h"]) <= set(files(path)["h"])
     wider = spark.createDataFrame([(5, 40, "n")], "id int, ts int, note string")
-    assert sorted((r["id"], r["note"]) for r in table.append_newer(wider, "ts").collect() if r["id"] > 3) == [(4, None), (5, "n")]
+    assert sorted((r["id"], r["note"]) for r in stored.append_newer(path, wider, "ts").collect() if r["id"] > 3) == [(4, None), (5, "n")]
     narrow = spark.createDataFrame([(6, 50)], "id int, ts int")
-    assert table.append_newer(narrow, "ts").columns == ["id", "ts", "note"]
-    assert table.append_newer(spark.createDataFrame([(7, 60)], "id int, ts int"), "ts", "sync_all_columns").columns == ["id", "ts"]
-    assert table.read().count() == 6
+    assert stored.append_newer(path, narrow, "ts").columns == ["id", "ts", "note"]
+    out = stored.append_newer(path, spark.createDataFrame([(7, 60)], "id int, ts int"), "ts", "sync_all_columns")
+    assert out.columns == ["id", "ts"] and out.count() == 6 and stored.high_water_mark(spark, path) == 60
+    with pytest.raises(ValueError, match="schema changed"):
+        stored.append_newer(path, wider, "ts", "fail")
     empty = spark.createDataFrame([], "id int, ts int")
+    assert stored.append_newer(path, empty, "ts").count() == 6
     assert stored.newer_rows(more, empty, "ts").count() == 3
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "bigint"])
+def test_the_mark_comes_from_file_statistics(spark, tmp_path, kind):
+    path = str(tmp_path / "m")
+    times = "cast(id as bigint)" if kind == "bigint" else f"cast(timestampadd(DAY, id, timestamp_ntz'2024-01-01 10:00:00') as {kind})"
+    stored.append_newer(path, spark.range(10).selectExpr("id", f"{times} as ts"), "ts")
+    plan = stored.marks_plan(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(_mark)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    out = stored.append_newer(path, spark.range(5, 15).selectExpr("id", f"{times} as ts"), "ts")
+    assert sorted(r[0] for r in out.select("id").collect()) == list(range(15))
+
+
 def test_evolve_policies(spark):
     old = spark.createDataFrame([(1, "x")], "id int, gone string")
     new = spark.createDataFrame([(2, 5)], "id int, added int")
@@ -96,11 +148,46 @@ def test_snapshot_over_three_runs(spark, rows):
     assert got == [(1, "A", 3, None), (1, "a", 1, 3), (2, "b", 1, None), (3, "C", 5, None), (3, "c", 3, 5)]
 
 
+def test_stored_history_touches_current_rows_only(spark, tmp_path, rows):
+    def batch(*r):
+        return spark.createDataFrame([(k, v, dt.datetime(2024, 1, d)) for k, v, d in r], "k int, v string, u timestamp_ntz")
+
+    path = str(tmp_path / "h")
+    for run, b in (("r1", batch((1, "a", 1), (2, "b", 1))), ("r2", batch((1, "A", 3), (1, "aa", 2), (2, "b", 1), (3, "c", 3)))):
+        stored.snapshot_into(path, b, ["k"], "u", run)
+    closed = files(path)["closed_in=r2"]
+    out = stored.snapshot_into(path, batch((2, "late", 1), (3, "C", 5)), ["k"], "u", "r3")
+    assert rows(out.select("k", "v", F.dayofmonth("valid_from"), F.dayofmonth("valid_to"))) == [
+        (1, "A", 3, None), (1, "a", 1, 3), (2, "b", 1, None), (3, "C", 5, None), (3, "c", 3, 5)]
+    assert files(path)["closed_in=r2"] == closed
+    for run in ("r2", "current"):
+        with pytest.raises(ValueError, match="in use"):
+            stored.snapshot_into(path, batch((9, "x", 9)), ["k"], "u", run)
+
+
 def test_clustered_files_prune(spark, tmp_path):
     stored.write_clustered(spark.range(10_000).withColumn("g", F.col("id") / 100), str(tmp_path / "c"), ["g"], None)
     assert spark.read.parquet(str(tmp_path / "c")).where("g between 5 and 6").count() == 101
 
 
+def test_each_key_of_a_clustered_table_prunes(spark, tmp_path):
+    """A filter on a tenth of either key meets under 40 % of the files, by their statistics."""
+    path = str(tmp_path / "z")
+    rows = spark.range(20_000).selectExpr("cast(pmod(hash(id), 1000) as int) as a", "cast(pmod(hash(id, 1), 1000) as string) as s", "id")
+    rows = rows.unionAll(spark.sql("select null, null, -1"))
+    stored.write_clustered(rows, path, ["a", "s"], files=64)
+    assert spark.read.parquet(path).count() == 20_001
+    for column, low, high in (("a", 300, 399), ("s", "300", "399")):
+        met = every = 0
+        for f in pathlib.Path(path).glob("*.parquet"):
+            group = pq.ParquetFile(f).metadata.row_group(0)
+            at = [group.column(i).path_in_schema for i in range(group.num_columns)].index(column)
+            known = group.column(at).statistics
+            every += 1
+            met += not known.has_min_max or (known.min <= high and known.max >= low)
+        assert every > 40 and met < 0.4 * every, (column, met, every)
+
+
 def test_registry(spark, tmp_path):
     path = str(tmp_path / "x")
     spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "id int, at timestamp_ntz").write.parquet(path)
@@ -117,21 +204,7 @@ def test_registry(spark, tmp_path):
         assert source_freshness(spark, r, dt.datetime(2024, 1, day, 1)).first()["status"] == status
 
 
-def test_the_second_of_two_writers_fails(spark, tmp_path):
-    from siltworks.sources.stored import StoredTable
-
-    mine, other = StoredTable(spark, str(tmp_path / "t")), StoredTable(spark, str(tmp_path / "t"))
-    mine.overwrite(spark.range(3))
-    base, parts = mine._live()
-    other.merge(spark.range(5), ["id"])
-    with pytest.raises(RuntimeError, match="another writer"):
-        mine._commit(spark.range(100, 101), base, parts)
-    assert sorted(r[0] for r in mine.read().collect()) == [0, 1, 2, 3, 4]
-
-
 def test_only_a_missing_path_means_no_table(spark, tmp_path):
-    from siltworks.sources.stored import StoredTable
-
-    assert not StoredTable(spark, str(tmp_path / "none")).exists()
+    assert stored._stored(spark, str(tmp_path / "none")) is None
     with pytest.raises(Exception):
-        StoredTable(spark, "nosuchscheme://x/t").exists()
+        stored._stored(spark, "nosuchscheme://x/t")
