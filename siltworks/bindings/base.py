@@ -19,10 +19,14 @@ AS_OF_SQL = "DATE '2001-09-01'"
 
 
 class Tables:
-    """Tables of one folder by name."""
+    """Tables of one folder by name.
+
+    A table that a query names several times is read by a DataFrame each, so joins tell them apart; its
+    footers are looked up for the first one only.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder, self._schemas = spark, folder.rstrip("/"), {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -30,7 +34,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._schemas:
+            first = self.spark.read.parquet(self.path(name))
+            self._schemas[name] = first.schema
+            return first
+        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
 
 def query(name: str, sql: str | None = None):

@@ -5,6 +5,8 @@ Each query writes to a new folder in the shared one and reads the result back.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from siltworks.bindings.base import CFG, EVENT_NOW, RUN_SQL, query
@@ -116,6 +118,30 @@ def _(t):
     return t.spark.read.parquet(folder).where(col("o_custkey").between(100, 200))
 
 
+@query("bucketed_join", """
+select l_orderkey, l_linenumber, l_partkey, o_custkey, cast(strftime(o_orderdate, '%Y%m%d') as integer) as order_date_key, c_mktsegment
+from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey""")
+def _(t):
+    """Fact and dimension stored in buckets of the key they share, joined where they lie."""
+    folder, run = shared_dir(t.spark), uuid.uuid4().hex
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    orders = t.orders.select(col("o_orderkey").alias("l_orderkey"), "o_custkey", F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("order_date_key"))
+    fact = stored.write_bucketed(lines, f"silt_lines_{run}", f"{folder}/lines", ["l_orderkey"], 16)
+    keyed = stored.write_bucketed(orders, f"silt_orders_{run}", f"{folder}/orders", ["l_orderkey"], 16)
+    people = t.customer.select(col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return fact.join(keyed, "l_orderkey").join(people, "o_custkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "order_date_key", "c_mktsegment")
+
+
+@query("clustered_write_two_keys", """
+select o_orderkey, o_custkey, o_orderdate from orders where o_custkey between 100 and 200 or o_orderdate < timestamp '1995-06-01'""")
+def _(t):
+    folder = shared_dir(t.spark)
+    stored.write_clustered(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), folder, ["o_custkey", "o_orderdate"], files=32)
+    rows = t.spark.read.parquet(folder)
+    return rows.where(col("o_custkey").between(100, 200) | (col("o_orderdate") < F.lit("1995-06-01").cast("timestamp_ntz")))
+
+
 @query("source_freshness", """
 with f as (select 'sales' as source_name, 'orders' as table_name, max(o_orderdate) as max_loaded_at, 24 as w, 9600 as e from orders
   union all select 'web', 'events', max(ts), 24, 48 from events),

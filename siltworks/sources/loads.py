@@ -14,21 +14,27 @@ CORRUPT = "_corrupt"
 
 
 def load_csv(spark: SparkSession, path, schema: T.StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Good rows and rejected lines of CSV files; a bad line never stops the load.
+    """Good rows and rejected lines of CSV files; a bad line never stops the load and comes out as it landed.
 
-    Columns are read as text and cast here: whether a line is good then depends on
-    all its columns, also when a query selects only some (the typed reader checks
-    only the columns a query asks for).
+    Lines are read as text, so a rejected one keeps its quotes and blanks, and parsed to text columns that are cast
+    here: whether a line is good depends on all its columns, whatever a query selects.  With ``header`` the first
+    line of each file, which must be equal in all of them, is no row.  Blank lines are no rows; a
+    quoted value ends on its line.
     """
     typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    wide = T.StructType([*[T.StructField(f.name, T.StringType()) for f in typed], T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.schema(wide).option("header", header).option("mode", "PERMISSIVE")
-            .option("enforceSchema", True).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    values = {f.name: F.col(f.name).try_cast(f.dataType) for f in typed}
-    bad = any_of([F.col(CORRUPT).isNotNull(), *[F.col(n).isNotNull() & v.isNull() for n, v in values.items()]])
+    wide = ", ".join([*[f"`{f.name}` string" for f in typed], f"`{CORRUPT}` string"])
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    if header:
+        first = lines.limit(1).first()
+        lines = lines.where(F.col("value") != F.lit(first["value"])) if first else lines
+    parsed = F.from_csv("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.select("value", parsed.alias("row"))
+    cells = {f.name: F.col(f"row.`{f.name}`") for f in typed}
+    values = {f.name: cells[f.name].try_cast(f.dataType) for f in typed}
+    broken = F.col("row").isNull() | F.col(f"row.`{CORRUPT}`").isNotNull()
+    bad = any_of([broken, *[cells[n].isNotNull() & v.isNull() for n, v in values.items()]])
     good = rows.where(~bad).select(*[v.alias(n) for n, v in values.items()])
-    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*values)))
-    return good, rows.where(bad).select(line.alias("rejected_line"))
+    return good, rows.where(bad).select(F.col("value").alias("rejected_line"))
 
 
 def load_seed(spark: SparkSession, path, schema: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.operators.joins import whole_number
+from siltworks.operators.joins import hot_keys, whole_number
 from siltworks.operators.windows import first_per_key, next_values, row_hash_of, unused
 
 POLICIES = ("sync_all_columns", "append_new_columns", "fail")
@@ -29,6 +29,8 @@ BUCKETS = 64
 BUCKET_NAME = re.compile(r"key_of_(\d+)")
 MARK = "_mark"
 CLOSED_IN, CURRENT = "closed_in", "current"
+#: Buckets' fair shares that one key of a bucketed table may hold.
+MOST_SHARES = 4
 #: Rows of each key that the cuts of a clustered layout are taken from.
 LAYOUT_SAMPLE = 10_000
 
@@ -178,6 +180,29 @@ def evolve(target: DataFrame, incoming: DataFrame, on_schema_change: str) -> Dat
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table in ``buckets`` files by the hash of its keys, sorted by them, and list it in the session's catalog as ``name``.
+
+    Two tables in as many buckets of equal keys join without a shuffle or a sort.  A key that holds more than
+    a bucket's fair share several times over would make one file of them all, and is refused: such
+    rows are better joined with ``joins.lookup``.  Starts a job for that check.
+    """
+    hot = {k: n for k, n in hot_keys(df, keys, buckets).items() if n > MOST_SHARES}
+    if hot:
+        raise ValueError(f"{len(hot)} keys of {keys} hold more than {MOST_SHARES} buckets each")
+    dealt = df.repartition(buckets, *keys)  # one file a bucket
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """List a table that another session wrote with ``write_bucketed``."""
+    columns = spark.read.parquet(path).schema.toDDL()
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"create table `{name}` ({columns}) using parquet clustered by ({by}) sorted by ({by}) into {buckets} buckets location '{path}'")
+    return spark.table(name)
+
+
 def _cuts(df: DataFrame, column: str, parts: int, sample: int) -> list:
     """Up to ``parts`` - 1 rising values that cut a sample of the column (rows of the least row hashes) evenly."""
     found = df.select(column).where(F.col(column).isNotNull()).orderBy(F.xxhash64(F.lit(7), F.monotonically_increasing_id())).limit(sample)

@@ -21,6 +21,19 @@ def test_csv_lines_are_good_or_rejected_whatever_is_selected(spark, tmp_path):
     assert sorted(r[0] for r in bad.collect()) == ["2,z,bad", "3,w", "5,v,4,9"]
 
 
+def test_rejected_lines_come_out_as_they_landed(spark, tmp_path):
+    for name, lines in (("a", ['1,"x, y",2.5', '2," z ""q""", bad', "", '  3 ,"open', 'ü;é']), ("b", ['4, b ,4.5', '"7","w","1e2"', '8,x,y,z'])):
+        (tmp_path / f"{name}.csv").write_text("\n".join(["id,name,amount", *lines]) + "\n")
+    good, bad = loads.load_csv(spark, str(tmp_path), "id int, name string, amount double")
+    assert sorted(r[0] for r in bad.collect()) == sorted(['2," z ""q""", bad', '  3 ,"open', 'ü;é', '8,x,y,z'])
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "x, y", 2.5), (4, " b ", 4.5), (7, "w", 100.0)]
+    assert sorted(r[0] for r in good.select("amount").collect()) == [2.5, 4.5, 100.0]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.csv").write_text("")
+    good, bad = loads.load_csv(spark, str(tmp_path / "c"), "id int")
+    assert good.count() == bad.count() == 0
+
+
 def test_seed_with_blanks_in_header(spark, tmp_path):
     (tmp_path / "s.csv").write_text("state_code, state_name\nAL, Alabama\nWY, Wyoming\n")
     got = loads.load_seed(spark, str(tmp_path / "s.csv"), "state_code string, state_name string")
@@ -208,3 +221,27 @@ def test_only_a_missing_path_means_no_table(spark, tmp_path):
     assert stored._stored(spark, str(tmp_path / "none")) is None
     with pytest.raises(Exception):
         stored._stored(spark, "nosuchscheme://x/t")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, rows, capsys):
+    a = spark.range(2000).selectExpr("id % 500 as k", "id as v")
+    b = spark.range(500).selectExpr("id as k", "id * 2 as w")
+    plain = rows(a.join(b, "k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = stored.write_bucketed(a, "silt_test_a", str(tmp_path / "a"), ["k"], 8)
+        stored.write_bucketed(b, "silt_test_b", str(tmp_path / "b"), ["k"], 8)
+        spark.sql("drop table silt_test_b")  # a table outside the warehouse: its files stay
+        right = stored.open_bucketed(spark, "silt_test_b", str(tmp_path / "b"), ["k"], 8)
+        out = left.join(right, "k")
+        out.explain()
+        text = capsys.readouterr().out
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert rows(out) == plain
+        with pytest.raises(ValueError, match="1 keys"):
+            stored.write_bucketed(a.withColumn("k", F.expr("if(v % 2 = 0, 0L, v)")), "silt_test_c", str(tmp_path / "c"), ["k"], 64)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("silt_test_a", "silt_test_b"):
+            spark.sql(f"drop table if exists {name}")
