@@ -11,9 +11,11 @@ per word go through a logistic curve fitted on the same sample.
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -96,8 +98,11 @@ class Model:
                 else:
                     hits.append((begin, end, weight))
         per_word: dict[int, float] = {}
+        spared.sort()
+        begins, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
         for begin, end, weight in hits:
-            if not any(a <= begin and end <= b for a, b in spared):
+            before = bisect_right(begins, begin)  # an exception that begins no later and ends no earlier spares the hit
+            if not before or reach[before - 1] < end:
                 per_word[begin] = max(per_word.get(begin, 0.0), weight)
         total = sum(per_word.values())
         n = max(1, len(text.split()))
@@ -151,13 +156,17 @@ def fit(texts: list[str], toxic: list[int], exceptions: tuple[str, ...] = EXCEPT
 
 
 def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int) -> tuple[list[str], list[int]]:
-    """At most ``sample`` labelled texts outside the held-out fold, those with the least key hash."""
+    """At most ``sample`` labelled texts, one per id, outside the held-out fold, those with the least key hash."""
     y = labels.select(F.col(f"`{key}`").cast("long").alias("id"), F.col("toxic").alias("y")).where("id is not null and y is not null")
     y = y.where(F.crc32(F.col("id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
     y = y.orderBy(F.xxhash64("id"), "id", "y").limit(sample)  # so many rows of two numbers: small enough to broadcast
     d = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = d.join(F.broadcast(y), "id").select(F.coalesce("text", F.lit("")), "y", "id").collect()
-    rows.sort(key=lambda r: (r[2], r[0], r[1]))
+    # one text and one label per id, however often they repeat: the greatest label, the text with the least hash
+    y = y.groupBy("id").agg(F.max("y").alias("y"))
+    d = d.join(F.broadcast(y.select("id")), "id").withColumn("text", F.coalesce("text", F.lit("")))
+    d = d.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    rows = d.join(F.broadcast(y), "id").select("least.text", "y", "id").collect()
+    rows.sort(key=lambda r: r[2])
     return [r[0] for r in rows], [r[1] for r in rows]
 
 
