@@ -9,6 +9,7 @@ statistics are at most one word long.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,7 +156,11 @@ class Scanner:
         return out
 
     def chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Best chain of matches per template: rising in text and template, gaps of at most MOST_GAP words."""
+        """Chains of matches per template: rising in text and template, gaps of at most MOST_GAP words.
+
+        The best chain of a template, and further ones that share no text with better ones and cover
+        LEAST_COVER of it, so a notice that stands twice gives two spans.
+        """
         out = []
         places: dict[int, list] = {}
         for end, length, state in matches:
@@ -177,8 +182,15 @@ class Scanner:
                     if new > 0 and best[j][0] + new > pick[0]:
                         pick = (best[j][0] + new, best[j][1])
                 best.append(pick)
-            top = max(range(len(best)), key=lambda i: (best[i][0], -best[i][1]))
-            out.append((self.labels[name], best[top][1], found[top][0], best[top][0] / len(self.sequences[name])))
+            taken: list[tuple[int, int]] = []  # disjoint spans by their begin
+            for i in sorted(range(len(best)), key=lambda i: (-best[i][0], best[i][1])):
+                cover, span = best[i][0] / len(self.sequences[name]), (best[i][1], found[i][0])
+                if taken and cover < LEAST_COVER:
+                    break
+                at = bisect_left(taken, span)
+                if (at == 0 or taken[at - 1][1] < span[0]) and (at == len(taken) or span[1] < taken[at][0]):
+                    taken.insert(at, span)
+                    out.append((self.labels[name], *span, cover))
         return sorted(out)
 
 
