@@ -232,7 +232,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     named = classes.select(F.col("no").alias("a"), "class_id")
     reached = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "a")
-    least_id = reached.join(named, "a").groupBy("component").agg(F.min("class_id").alias("least_id"))
+    reached = keep(reached, f"{folder}/reached")
+    # written, so that the join is over two plain shuffles and a large component's rows can be split
+    least_id = keep(reached.join(named, "a").groupBy("component").agg(F.min("class_id").alias("least_id")), f"{folder}/least")
     reached = reached.join(least_id, "component").select("a", "least_id")
     out = classes.join(links, classes["no"] == links["a"], "left").drop("a")
     out = out.join(reached, out["no"] == reached["a"], "left")
