@@ -138,3 +138,48 @@ def test_empty_tables(docs, items):
         assert df.collect() == []
     assert leaks.find_leaks(docs, no_items).where("size(hit_words) > 0").isEmpty()
     assert leaks.remove_leaks(docs, no_items).count() == len(DOCS)
+
+
+def test_licence_spans(spark):
+    """A notice that stands twice gives two spans; odd rows; scores are the best cover."""
+    from siltworks.llm import licences
+
+    notice = [f"n{i}" for i in range(20)]
+    templates = {"one": " ".join(notice), "two": " ".join(f"m{i}" for i in range(10))}
+    half = " ".join(notice[:12])
+    rows = [(1, f"start {templates['one']} between {templates['one']} end"), (2, templates["two"]), (2, None), (None, half),
+            (None, "mit license"), (3, f"{templates['one']} x {templates['two']} y {templates['one']}"), (4, "")]
+    out = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1)), templates=templates)
+    got = sort((r.id, r.labels, round(r.score, 3), tuple((s.label, s.first, s.last) for s in r.spans)) for r in out.collect())
+    assert got == sort([
+        (1, "one", 1.0, (("one", 1, 20), ("one", 22, 41))), (2, "two", 1.0, (("two", 0, 9),)), (2, "", 0.0, ()),
+        (None, "one" if 0.6 >= licences.LEAST_COVER else "", 0.6, (("one", 0, 11),)), (None, "mit", licences.PHRASE_SCORE, ()),
+        (3, "one,two", 1.0, (("one", 0, 19), ("one", 32, 51), ("two", 21, 30))), (4, "", 0.0, ())])
+
+
+def test_spared_hits():
+    """Many exceptions in one text take linear time; nested and repeated ones spare what they cover."""
+    import time
+
+    from siltworks.llm import toxicity
+
+    model = toxicity.Model({"idio": 3.0, "clown ": 2.0, "trash ": 1.0}, (-4.0, 8.0, 0.0), ("trash can", "class clown", "big trash can idiot"))
+    auto = model.automaton()
+    weigh = lambda t: round(model.features(t, auto)[1] * len(t.split()), 6)
+    assert [weigh(t) for t in ("trash", "trash can", "big trash can idiot", "trash can idiot", "class clown clown", "clown class")] == [1, 0, 0, 3, 2, 2]
+    took = []
+    for n in (4000, 32000):
+        start = time.time()
+        assert weigh("trash can idiot " * n) == 3 * n
+        took.append(time.time() - start)
+    assert took[1] < 24 * took[0] + 0.5  # eight times as many
+
+
+def test_labelled_texts_come_once_per_id(spark):
+    from siltworks.llm import toxicity
+
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(3000)] + [(2, None), (None, "x"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (2, 0), (None, 1), (3, None), (4, 1)], "doc_id long, toxic int")
+    texts, y = toxicity.sampled(docs, labels, "doc_id", "text", 100)
+    assert len(texts) <= 2 and set(texts) <= {"text 0", "text 1", "text 2", ""}
+    assert toxicity.score_toxicity(docs, labels).count() == 3003
