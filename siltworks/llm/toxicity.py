@@ -186,13 +186,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                x = np.array([model.features(t or "", automaton) for t in part["text"].to_pylist()]).reshape(-1, 2)
-                out = {"id": part["id"], "held_out": part["held_out"], "score": pa.array(model.score(x))}
-                yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if keep else {}))
-
-    held = F.coalesce(F.crc32(F.col(f"`{key}`").cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
-    source = docs.select(F.col(f"`{key}`").cast("long").alias("id"), held.alias("held_out"), F.col(f"`{text}`").cast("string").alias("text"), *row)
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
-    out = source.mapInArrow(run, schema.add("row", source.schema["row"].dataType) if keep else schema)
+                texts = part["row"].field(at) if keep else part["text"]
+                x = np.array([model.features("" if t is None else str(t), automaton) for t in texts.to_pylist()]).reshape(-1, 2)
+                score = pa.array(model.score(x))
+                yield pa.RecordBatch.from_pydict({"row": part["row"], "score": score} if keep else
+                                                 {"id": part["id"], "held_out": part["held_out"], "score": score})
+
+    def held(id_):
+        return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False)).alias("held_out")
+
+    at, id_ = docs.columns.index(text), F.col(f"`{key}`")
+    if keep:  # a text travels once, inside its row
+        source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        schema = T.StructType([source.schema["row"], T.StructField("score", T.DoubleType())])
+        id_ = F.col(f"row.`{key}`")
+        out = source.mapInArrow(run, schema).select(id_.cast("long").alias("id"), held(id_), "score", "row")
+    else:
+        source = docs.select(id_.cast("long").alias("id"), held(id_), F.col(f"`{text}`").cast("string").alias("text"))
+        out = source.mapInArrow(run, "id bigint, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
