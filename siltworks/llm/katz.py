@@ -1,15 +1,18 @@
-"""Katz backoff over word bigrams, unigrams and one unknown word.
+"""Katz backoff over word n-grams of a given order, down to unigrams and one unknown word.
 
 Counts are Good-Turing discounted up to a count of five.  A context gives what its discounts leave to
 the words it was never followed by, in proportion to their lower-order probability, by a weight that
 makes its probabilities sum to one exactly.  A context with a count over five, whose followers may all
-be undiscounted, also reserves one count, so every word has a probability above zero.
+be undiscounted, also reserves one count, so every word has a probability above zero.  A token that its
+longest context was never followed by is asked for again in the context one word shorter, and so on; the
+weights of all contexts left behind multiply.  A context that training never saw has weight one.
 
 Texts are dealt into buckets.  Each bucket names every distinct n-gram once with its training count;
 one group per key range adds the counts up and answers the buckets that share a key (an n-gram that one
 bucket alone has needs no answer), which makes the partitioned count tables.  The first bucket that has
-a bigram adds it to its context's sums; one group per key range turns the sums into backoff weights and
-applies them to the tokens that wait for them.  No table is collected: only the counts of counts are.
+an n-gram adds it to its context's sums (what follows a context was also seen after the shorter one, so
+its lower-order probability needs no weight); one group per key range turns the sums into backoff weights
+and applies them to the tokens that wait for them, all orders in one pass.  No table is collected: only the counts of counts are.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from siltworks.llm.words import GRAM_BASE, LOWER, U64, Words, mix
 
 BUCKET_BYTES = 6_000_000
 CUT = 5
+ORDER = 3
 FOLDS = 10
 START, END = U64(0x1F83D9ABFB41BD6B), U64(0x5BE0CD19137E2179)
 BASE_ADD = 0.1
@@ -61,9 +65,13 @@ def good_turing(of_counts: list[int]) -> tuple[float, ...]:
 
 
 class Tokens:
-    """Tokens of a bucket (words, then one end per text) with the token before each."""
+    """Tokens of a bucket (words, then one end per text), the n-grams that end at each and their contexts.
 
-    def __init__(self, texts: pa.ChunkedArray):
+    One start stands before each text; an n-gram of more words than stand there, start included, is
+    none.  ``at[n]``: tokens with an n-gram, ``grams[n]`` and ``contexts[n]``: fingerprints per token.
+    """
+
+    def __init__(self, texts: pa.ChunkedArray, order: int):
         words = Words(texts, fold=LOWER)
         n_texts = len(words.first) - 1
         twice = 2 * np.arange(n_texts)
@@ -74,20 +82,37 @@ class Tokens:
         real = np.ones(len(line), bool)
         real[begins] = False
         at = np.flatnonzero(real)
-        self.token, self.before = line[at], line[at - 1]
+        token, before = line[at], line[at - 1]
         self.counts = words.counts + 1
         self.text = np.repeat(np.arange(n_texts), self.counts)
-        self.pair = mix(self.before * U64(GRAM_BASE) + self.token)
+        ends = np.cumsum(self.counts)
+        self.last = ends - 1
+        place = np.arange(len(token)) - np.repeat(ends - self.counts, self.counts)
+        self.opening = place == 0
+        self.grams, self.contexts, self.at = {1: token}, {}, {1: np.arange(len(token))}
+        for n in range(2, order + 1):
+            self.contexts[n] = before if n == 2 else shifted(self.grams[n - 1])
+            self.grams[n] = mix(self.contexts[n] * U64(GRAM_BASE) + token)
+            self.at[n] = np.flatnonzero(place >= n - 2)
+
+
+def shifted(values: np.ndarray) -> np.ndarray:
+    """Each token's value of the token before it; the first has 0."""
+    return np.concatenate([values[:0], np.zeros(min(1, len(values)), values.dtype), values[:-1]])
 
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES,
+                order: int = ORDER) -> DataFrame:
     """Columns ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Learns from texts whose crc32(key as text) mod 10 is not 0 (a null key counts as an empty text, so
     it is held out).  Words are runs without ASCII white space with A-Z in lower case; a null or empty
     text is its end token alone.  Rows that repeat a key are scored, and counted, each on its own.
-    Without any training text every score is that of one unknown word: 0.
+    Without any training text every score is that of one unknown word: 0.  ``order`` is the longest
+    n-gram, 1 or more; a token near the start of a text has fewer words, and one start, before it.
     """
+    if order < 1:
+        raise ValueError("order must be 1 or more")
     spark = docs.sparkSession
     folder = shared_dir(spark)
     # shuffles of a finished step are not needed again: every step's result is a table
@@ -95,23 +120,23 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
     try:
-        return _score(docs, key, text, bucket_bytes, folder)
+        return _score(docs, key, text, bucket_bytes, folder, order)
     finally:
         spark.conf.set(setting, before)
 
 
-def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str) -> DataFrame:
+def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str, order: int) -> DataFrame:
     ranges = dealing.key_ranges(docs)
     held = F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
     dealt = dealing.deal_by_bytes(docs, key, text, bucket_bytes, {"held_out": held})
 
     def name_counts(table: pa.Table) -> pa.Table:
-        t = Tokens(table["text"])
+        t = Tokens(table["text"], order)
         weight = (~table["held_out"].to_numpy())[t.text].astype(np.float64)
         rows = {"n": [], "part": [], "keys": [], "counts": []}
-        for n, values in ((1, t.token), (2, t.pair)):
-            keys, back = np.unique(values, return_inverse=True)
-            counts = np.bincount(back, weight, len(keys)).astype(np.int64)
+        for n, at in t.at.items():
+            keys, back = np.unique(t.grams[n][at], return_inverse=True)
+            counts = np.bincount(back, weight[at], len(keys)).astype(np.int64)
             for part, s in dealing.cut(keys, ranges):
                 for name, value in zip(rows, (n, part, keys[s], counts[s])):
                     rows[name].append(value)
@@ -151,7 +176,9 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
         *[F.sum(F.get("totals", F.lit(i))).alias(f"s{i}") for i in range(CUT + 3)]).collect()
     by_order = {r["n"]: [int(x) for x in r[1:]] for r in sums}
     empty = [0] * (CUT + 3)
-    one, two = (Discounts(s[CUT + 1], s[CUT + 2], good_turing(s[:CUT + 1])) for s in (by_order.get(1, empty), by_order.get(2, empty)))
+    cuts = {n: Discounts(s[CUT + 1], s[CUT + 2], good_turing(s[:CUT + 1]))
+            for n, s in ((n, by_order.get(n, empty)) for n in range(1, order + 1))}
+    one = cuts[1]
     seen_mass = sum(one.ratio[r] * r * n for r, n in zip(range(1, CUT + 1), by_order.get(1, empty)))
     many = one.total - sum(r * n for r, n in zip(range(1, CUT + 1), by_order.get(1, empty)))
     space = one.total + 1.0  # one count is reserved here too, so an unknown word always has a share
@@ -160,13 +187,15 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
     def evaluate(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return _nothing()
-        t = Tokens(left["text"])
+        t = Tokens(left["text"], order)
         orders = right["n"].to_numpy() if len(right) else np.zeros(0, int)
+        weight = (~left["held_out"].to_numpy())[t.text].astype(np.float64)
 
-        def totals(n: int, values: np.ndarray):
-            keys, first, back = np.unique(values, return_index=True, return_inverse=True)
-            weight = (~left["held_out"].to_numpy())[t.text].astype(np.float64)
-            total = np.bincount(back, weight, len(keys)).astype(np.int64)
+        def totals(n: int):
+            """Training count of every token's n-gram, and the tokens at which this bucket speaks for one."""
+            at = t.at[n]
+            keys, first, back = np.unique(t.grams[n][at], return_index=True, return_inverse=True)
+            total = np.bincount(back, weight[at], len(keys)).astype(np.int64)
             speaks = np.ones(len(keys), bool)
             where = dict(dealing.cut(keys, ranges))
             mine = right.filter(pa.array(orders == n))
@@ -175,28 +204,39 @@ def _score(docs: DataFrame, key: str, text: str, bucket_bytes: int, folder: str)
                 s = where[part]
                 total[s] = np.where(code > 0, (code >> 1) - 1, total[s])
                 speaks[s] = (code == 0) | (code & 1 > 0)
-            return keys, first, back, total, speaks
-
-        _, _, back1, total1, _ = totals(1, t.token)
-        keys2, first2, back2, total2, speaks = totals(2, t.pair)
-        c1, c2 = total1[back1], total2[back2]
-        lower = np.where(c1 > 0, one.discounted(c1) / space, unknown)
-        opening = t.before == START
-        context = np.where(opening, 0, np.concatenate([[0], c1[:-1]]))
-        context[opening] = c1[np.cumsum(t.counts) - 1]  # as many starts as ends
-        seen = c2 > 0
-        p = np.where(seen, two.discounted(c2) / np.maximum(context + (context > CUT), 1), lower)
+            count = np.zeros(len(t.text), np.int64)
+            count[at] = total[back]
+            return count, at[first[speaks & (total > 0)]]
+
+        c1, _ = totals(1)
+        p = lower = np.where(c1 > 0, one.discounted(c1) / space, unknown)
+        seen, count = np.ones(len(p), np.int64), c1
+        names, mass, share, context = [], [], [], {}
+        for n in range(2, order + 1):
+            # every token but an end has one follower, so the count of a context is that of its own n-gram
+            follows = shifted(count)
+            follows[t.opening] = c1[t.last] if n == 2 else 0  # as many starts as ends
+            count, mine = totals(n)
+            direct = cuts[n].discounted(count) / np.maximum(follows + (follows > CUT), 1)
+            names.append(t.contexts[n][mine])
+            mass.append(cuts[n].discounted(count[mine]))
+            share.append(lower[mine])
+            seen[count > 0] = n
+            p = np.where(count > 0, direct, p)
+            lower, context[n] = direct, follows
         n_texts = len(left)
         add = lambda x: np.bincount(t.text, x, n_texts).astype(float)
         base = np.log10((c1 + BASE_ADD) / (one.total + BASE_ADD * (one.types + 1)))
 
-        mine = first2[speaks & (total2 > 0)]
-        names, back = np.unique(t.before[mine], return_inverse=True)
-        mass = np.bincount(back, two.discounted(c2[mine]), len(names)).astype(float)
-        share = np.bincount(back, lower[mine], len(names)).astype(float)
-        waits = np.flatnonzero(~seen & (context > 0))
-        waits = waits[np.lexsort((t.text[waits], t.before[waits]))]
-        asked, doc, count = t.before[waits], t.text[waits], context[waits]
+        names, back = np.unique(np.concatenate([np.zeros(0, U64), *names]), return_inverse=True)
+        mass = np.bincount(back, np.concatenate([np.zeros(0), *mass]), len(names)).astype(float)
+        share = np.bincount(back, np.concatenate([np.zeros(0), *share]), len(names)).astype(float)
+        waits = {n: np.flatnonzero((seen < n) & (follows > 0)) for n, follows in context.items()}
+        asked = np.concatenate([np.zeros(0, U64), *[t.contexts[n][w] for n, w in waits.items()]])
+        doc = np.concatenate([np.zeros(0, np.int64), *[t.text[w] for w in waits.values()]])
+        count = np.concatenate([np.zeros(0, np.int64), *[context[n][w] for n, w in waits.items()]])
+        waits = np.lexsort((doc, asked))
+        asked, doc, count = asked[waits], doc[waits], count[waits]
         new = np.ones(len(waits), bool)
         new[1:] = (asked[1:] != asked[:-1]) | (doc[1:] != doc[:-1])
         lead = np.flatnonzero(new)

@@ -69,51 +69,70 @@ def shingle_groups(docs):
     return [(d[0], len(s), docs[r][0]) for d, s, r in zip(docs, sets, label)]
 
 
-def katz(docs):
-    """docs: (id, text).  Rows of the language-model query by plain dictionaries, by id."""
+def discounts(counts, cut=5):
+    """Discounted count of each n-gram by Good and Turing, written out from the counts of counts."""
+    from collections import Counter
+    from fractions import Fraction
+
+    n = Counter(counts.values())
+    star = {r: Fraction((r + 1) * n[r + 1], n[r]) for r in range(1, cut + 1) if n[r]}
+    if len(star) == cut and n[cut + 1]:
+        rest = Fraction((cut + 1) * n[cut + 1], n[1])
+        if rest < 1:
+            kept = {r: (star[r] / r - rest) / (1 - rest) for r in star}
+            if all(0 < k < 1 for k in kept.values()):
+                return {g: float(kept.get(c, 1) * c) for g, c in counts.items()}
+    off = Fraction(n[1], n[1] + 2 * n[2]) if n[1] and n[2] else Fraction(1, 2)
+    return {g: float(c - off if c <= cut else c) for g, c in counts.items()}
+
+
+def katz(docs, order):
+    """docs: (id, text).  Rows of the language-model query by plain dictionaries and recursion, by id."""
     import math
     import zlib
     from collections import Counter, defaultdict
 
-    from siltworks.llm.katz import CUT, good_turing
-
-    uni, bi = Counter(), Counter()
     lines = {i: ["<s>", *SPACES.findall(lower(t)), "</s>"] for i, t in docs}
     out_of = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in docs}
+    counts = {n: Counter() for n in range(1, order + 1)}
     for i, line in lines.items():
         if not out_of[i]:
-            uni.update(line[1:])
-            bi.update(zip(line, line[1:]))
+            counts[1].update((w,) for w in line[1:])
+            for n in range(2, order + 1):
+                counts[n].update(zip(*[line[k:] for k in range(n)]))
+    uni = {g[0]: c for g, c in counts[1].items()}
     total = sum(uni.values())
-
-    def ratios(counts):
-        of = Counter(counts.values())
-        r = good_turing([of[k] for k in range(1, CUT + 2)])
-        return lambda c: r[min(c, CUT + 1)] * c
-
-    d1, d2 = ratios(uni), ratios(bi)
-    p1 = {w: d1(c) / (total + 1) for w, c in uni.items()}
+    cut = {n: discounts(c) for n, c in counts.items()}
+    p1 = {g[0]: d / (total + 1) for g, d in cut[1].items()}
     unknown = 1 - sum(p1.values())
-    after = defaultdict(dict)
-    for (v, w), c in bi.items():
-        after[v][w] = c
-
-    def p(w, v):
-        if v not in after:
+    after = defaultdict(list)
+    for n in range(2, order + 1):
+        for g in counts[n]:
+            after[g[:-1]].append(g[-1])
+    sizes = {h: sum(counts[len(h) + 1][(*h, w)] for w in ws) for h, ws in after.items()}
+    sizes = {h: n + (n > 5) for h, n in sizes.items()}
+    weights = {}
+
+    def weight(h):
+        if h not in weights:
+            left = 1 - sum(cut[len(h) + 1][(*h, w)] for w in after[h]) / sizes[h]
+            weights[h] = left / (1 - sum(p(w, h[1:]) for w in after[h]))
+        return weights[h]
+
+    def p(w, h):
+        if not h:
             return p1.get(w, unknown)
-        n = sum(after[v].values())
-        n += n > CUT
-        if w in after[v]:
-            return d2(after[v][w]) / n
-        left = 1 - sum(d2(c) for c in after[v].values()) / n
-        return left / (1 - sum(p1[x] for x in after[v])) * p1.get(w, unknown)
+        if h not in after:
+            return p(w, h[1:])
+        seen = cut[len(h) + 1].get((*h, w))
+        return weight(h) * p(w, h[1:]) if seen is None else seen / sizes[h]
 
     rows = []
     for i in sorted(lines):
         line = lines[i]
         rows.append((i, out_of[i], len(line) - 1, sum(w in uni for w in line[1:]), total,
-                     sum(math.log10((uni[w] + 0.1) / (total + 0.1 * (len(uni) + 1))) for w in line[1:]),
-                     sum(math.log10(p(w, v)) for v, w in zip(line, line[1:]))))
+                     sum(math.log10((uni.get(w, 0) + 0.1) / (total + 0.1 * (len(uni) + 1))) for w in line[1:]),
+                     sum(math.log10(p(w, tuple(line[max(0, at + 2 - order):at + 1]))) for at, w in enumerate(line[1:]))))
     return rows, p, after, p1, unknown
 
 

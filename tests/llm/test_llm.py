@@ -50,11 +50,18 @@ def test_against_plain_versions(request, table):
     for block in (3, 1000):
         assert got(jaccard_join.shingle_groups(df, block=block)) == brute.shingle_groups(rows)
     assert [r[:6] for r in got(licences.scan_licences(df))] == brute.licences(rows)
-    want, p, after, words, _ = brute.katz(rows)
-    for a, b in zip(got(katz.score_texts(df, bucket_bytes=5000)), want, strict=True):
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("table", ["docs", "small"])
+def test_katz_orders(request, table, order):
+    df = request.getfixturevalue(table)
+    want, p, after, words, _ = brute.katz(pairs(df), order)
+    for a, b in zip(got(katz.score_texts(df, bucket_bytes=5000 if table == "docs" else 200_000, order=order)), want, strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
-    for before in list(after)[:5]:  # probabilities after a context sum to one
-        assert sum(p(w, before) for w in words) + p("never seen", before) == pytest.approx(1)
+    for size in range(1, order):  # probabilities after a context sum to one
+        for before in [h for h in after if len(h) == size][:5]:
+            assert sum(p(w, before) for w in words) + p("never seen", before) == pytest.approx(1)
 
 
 @pytest.mark.parametrize("table", ["docs", "small"])
