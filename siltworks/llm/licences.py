@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -24,26 +25,23 @@ from siltworks.llm.words import LETTERS, LOWER, Words, grams
 # Phrases that count wherever their words stand consecutively, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Opening words of well-known licence notices.
-TEMPLATES = {
-    "apache-notice": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
-                     "compliance with the License. You may obtain a copy of the License at",
-    "bsd-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                  "that the following conditions are met",
-    "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                  "Public License as published by the Free Software Foundation",
-    "isc-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-                  "hereby granted",
-    "mit-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                  "associated documentation files, to deal in the Software without restriction",
-    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-}
 LEAST_MATCH = 4
 LEAST_COVER = 0.6
 MOST_GAP = 20
 PHRASE_SCORE = 0.5
 
 
+def read_templates() -> dict[str, str]:
+    """Notices of this package: a file's first paragraph is the template ``<file>-notice``, what follows it ``<file>-body``."""
+    out = {}
+    for file in sorted(files("siltworks.llm").joinpath("notices").iterdir(), key=lambda f: f.name):
+        if file.name.endswith(".txt"):
+            notice, body = file.read_text("utf-8").split("\n\n", 1)
+            name = file.name.removesuffix(".txt")
+            out[f"{name}-notice"], out[f"{name}-body"] = notice, body
+    return out
+
+
 class SuffixAutomaton:
     """Generalised over several sequences; every state knows where its runs end in each of them."""
 
@@ -200,11 +198,12 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", temp
     ``score`` and ``spans`` (label, first word, last word, share of the template covered).
 
     Words are runs of digits, letters and anything beyond ASCII, with A-Z in lower case.  A template is
-    a label where a chain covers LEAST_COVER of it.  The score is the best cover, at least PHRASE_SCORE
+    a label where a chain covers LEAST_COVER of it; those of this package are notices and their bodies, so
+    a body whose opening sentence is gone has its own label.  The score is the best cover, at least PHRASE_SCORE
     where a phrase stands.  A null or empty text has no words, no labels and score 0; null and repeated
     keys are kept as they are, one row out per row in.
     """
-    templates, phrases = templates or TEMPLATES, phrases or PHRASES
+    templates, phrases = templates or read_templates(), phrases or PHRASES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, phrases)

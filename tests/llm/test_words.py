@@ -1,6 +1,9 @@
 """Benchmark leaks, ranked search and collocations against plain versions, on odd rows and on the given tables."""
 
+import random
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +160,42 @@ def test_licence_spans(spark):
         (3, "one,two", 1.0, (("one", 0, 19), ("one", 32, 51), ("two", 21, 30))), (4, "", 0.0, ())])
 
 
+def test_licence_bodies(spark):
+    """A body without its opening sentence gets its label; texts that share sentences with it do not; scores by hand."""
+    from siltworks.llm import licences
+
+    templates = licences.read_templates()
+    words = {name: licences.Words(pa.array([t]), licences.LETTERS, licences.LOWER).hashes.tolist() for name, t in templates.items()}
+    rows = [(i, f"first words here {templates[name]} and last words") for i, name in enumerate(templates)]
+    out = {r.id: r for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, name in enumerate(templates):
+        base = {"gpl"} if name.startswith("gpl-") else {"apache"} if name == "apache-notice" else set()
+        assert set(out[i].labels.split(",")) == base | {name}
+        assert out[i].score == 1.0
+        assert [(s.first, s.last) for s in out[i].spans if s.label == name] == [(3, 2 + len(words[name]))]
+    third = templates["mit-body"].split("\n")[1]  # one sentence of three
+    r, = licences.scan_licences(spark.createDataFrame([(1, third)], "doc_id long, text string")).collect()
+    assert r.labels == "" and r.score == pytest.approx(len(third.split()) / len(words["mit-body"]))
+
+
+def test_licences_against_plain_cover(spark):
+    """Labels and scores of texts that hold one cut of a template, against the words counted one by one."""
+    from siltworks.llm import licences
+
+    rng = random.Random(5)
+    templates = {f"t{k}": [f"w{k}x{i}" for i in range(12 + 7 * k)] for k in range(5)}
+    rows, want = [], []
+    for i in range(200):
+        name = rng.choice(sorted(templates))
+        size = rng.randrange(len(templates[name]) + 1)
+        at = rng.randrange(len(templates[name]) - size + 1)
+        rows.append((i, " ".join(["some", "words", *templates[name][at:at + size], "more"])))
+        cover = size / len(templates[name]) if size >= licences.LEAST_MATCH else 0.0
+        want.append((i, name if cover >= licences.LEAST_COVER else "", pytest.approx(cover)))
+    out = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), templates={n: " ".join(t) for n, t in templates.items()})
+    assert sorted((r.id, r.labels, r.score) for r in out.collect()) == want
+
+
 def test_spared_hits():
     """Many exceptions in one text take linear time; nested and repeated ones spare what they cover."""
     import time
