@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.quality import checks as q
 from siltworks.quality import expectations as e
-from siltworks.quality.runner import Check, require_columns, run_checks, store_failures
+from siltworks.quality.runner import Check, failing_rows, require_columns, run_checks, store_failures
 
 
 @pytest.fixture(scope="module")
@@ -208,6 +208,52 @@ def test_runner(spark, data, tmp_path):
         run_checks(data, [Check("x", failing=F.col("idx") > 1, warn_if="many")])
 
 
+def test_thresholds(spark, data):
+    """Whatever SQL has after the count: ranges, lists, fractions, further conditions on the count."""
+    def status(**given):
+        return run_checks(data, [Check("x", failing=F.col("nul").isNull(), **given)]).first().status
+
+    assert status(error_if="between 2 and 4") == "error" and status(error_if="between 5 and 9") == "warn"
+    assert status(error_if="> 3.5") == "error" and status(error_if=">= 4.5", warn_if="in (1, 2)") == "pass"
+    assert status(error_if="!=0 and failures < 4", warn_if="not in (3, 5)") == "warn"
+    assert status(error_if="<> 4 or failures = 4", severity="warn", warn_if="is not null") == "warn"
+    for wrong in ("many", ">", "> 1 2", "between 3", "", "+ 1"):
+        with pytest.raises(ValueError):
+            status(warn_if=wrong)
+
+
+def test_stored_failures(spark, data, tmp_path):
+    """Failing rows are written and counted in one evaluation; names may hold anything, columns may clash, checks may find nothing."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count_up(x):
+        seen.add(1)
+        return x > 2
+
+    wide = data.withColumn("check_no", F.lit("mine"))
+    suite = [Check("null / 1", failing=F.col("nul").isNull(), error_if=">4"), Check("both", failing=F.col("idx") > 2),
+             Check("slow", failing=F.udf(count_up, "boolean")("idx")), Check("fine", failing=F.col("idx") < 0),
+             Check("dup", rows=lambda d: q.unique(d, "str_a")), Check("none", rows=lambda d: d.where("idx < 0")),
+             Check("sum", rows=lambda d: d.where("idx > 2"), fail_calc=F.sum("idx"))]
+    folder = str(tmp_path / "kept")
+    out = run_checks(wide, suite, store=folder)
+    once = seen.value
+    got = {r.check_name: (r.failures, r.status) for r in out.collect()}
+    assert seen.value == once == wide.count()
+    assert got == {r.check_name: (r.failures, r.status) for r in run_checks(wide, suite).collect()}
+    for c in suite:
+        rows = failing_rows(wide, suite, folder, c.name)
+        assert c.name == "sum" or rows.count() == got[c.name][0]
+        if c.failing is not None:
+            assert rows.dtypes == wide.dtypes and rows.exceptAll(wide.where(c.failing)).isEmpty()
+    clean = [Check("fine", failing=F.col("idx") < 0)]
+    assert run_checks(wide, clean, store=folder + "2").first().failures == 0
+    assert failing_rows(wide, clean, folder + "2", "fine").count() == 0
+    for wrong in ([], [clean[0], clean[0]]):
+        with pytest.raises(ValueError):
+            run_checks(wide, wrong)
+
+
 def test_ignore_rules(data):
     assert data.where(q.keep_row(["nul", "nul_2"])).count() == 0
     assert data.where(q.keep_row(["nul", "idx"])).count() == 4
