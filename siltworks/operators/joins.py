@@ -1,7 +1,7 @@
 """Joins that need more than ``DataFrame.join``.
 
-No side is broadcast by hint: Spark broadcasts a side whose size it has checked
-against ``spark.sql.autoBroadcastJoinThreshold``.  The adaptive skew join splits hot
+No side is broadcast by hint, but for blocks of ranges whose bytes were counted before: Spark broadcasts a
+side whose size it has checked against ``spark.sql.autoBroadcastJoinThreshold``.  The adaptive skew join splits hot
 keys of inner joins of two shuffled sides; where it does not (full outer, semi and
 anti joins, joins to an aggregate), ``lookup`` finds hot keys with a sketch and spreads them.
 """
@@ -17,6 +17,9 @@ from siltworks.operators.windows import row_hash_of, unused
 
 #: Most hot keys that a join spreads; a key beyond them holds less than a share of 1 / HOT_KEYS.
 HOT_KEYS = 64
+#: Bytes of range blocks that every task may hold, and those of a block beside its range's values.
+COPIED_BYTES = 32 << 20
+BLOCK_BYTES = 64
 
 
 def join_on_either(left: DataFrame, right: DataFrame, first: Column, second: Column) -> DataFrame:
@@ -134,13 +137,15 @@ def _up(x: Column, bits: int) -> Column:
 
 
 def join_points_in_ranges(points: DataFrame, point: str, ranges: DataFrame, begin: str, end: str, how: str = "left",
-                          bits: int = 4) -> DataFrame:
+                          bits: int = 4, copied: int = COPIED_BYTES) -> DataFrame:
     """Join each point to the ranges begin..end (both included) it lies in; ``how`` is inner or left.
 
     For timestamps and whole numbers of any width: a range becomes aligned blocks (``range_blocks``), a point
     one block per level that ranges use, and both meet in an equi join, so nothing is spread by unit and no pair
     is tried in vain.  Ranges that are open at an end (null) or run backwards hold nothing, null points match
-    nothing.  Starts two small jobs (the widest range, the levels in use).
+    nothing.  Blocks measured at ``copied`` bytes or less are copied to all tasks, others meet the points over a
+    shuffle; points, which Spark takes for as small as they are before the levels multiply them, are never copied.
+    Starts two small jobs (the widest range, the levels in use with their blocks and bytes).
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
@@ -151,13 +156,16 @@ def join_points_in_ranges(points: DataFrame, point: str, ranges: DataFrame, begi
     levels = 1 if widest is None else -(-max(1, int(widest).bit_length()) // bits) + 1
     cut = known.withColumn(level, F.explode(range_blocks(lo, hi, levels, bits)))
     cut = cut.withColumns({index: F.col(f"{level}.index"), level: F.col(f"{level}.level")})
-    used = sorted(r[0] for r in cut.select(level).distinct().collect())  # at most `levels` rows
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in ranges.columns]))) + BLOCK_BYTES)
+    sizes = {r[0]: r[1] for r in cut.groupBy(level).agg(size.alias("size")).collect()}  # at most `levels` rows
+    used = sorted(sizes)
     own = whole_number(points, point)
     placed = points.where(F.col(point).isNotNull()).withColumn(level, F.explode(F.array(*[F.lit(k) for k in used]).cast("array<int>")))
     shift = F.lit(None).cast("bigint")
     for k in used:
         shift = F.when(F.col(level) == k, F.shiftright(own, bits * k)).otherwise(shift)
-    pairs = placed.withColumn(index, shift).join(cut, [level, index]).drop(level, index)
+    how_met = "broadcast" if sum(sizes.values()) <= copied else "merge"
+    pairs = placed.withColumn(index, shift).join(cut.hint(how_met), [level, index]).drop(level, index)
     if how == "inner":
         return pairs
     met = pairs.select(point).distinct()

@@ -176,6 +176,21 @@ def test_points_in_ranges(spark, rows):
         joins.join_points_in_ranges(points.selectExpr("cast(p as double) p"), "p", ranges, "lo", "hi")
 
 
+def test_points_are_never_copied_whole(spark, rows, capsys, tmp_path):
+    """Spark sees a small packed file and not the levels its rows are multiplied by, and ranges of a size it does not know."""
+    spark.range(30000).selectExpr("id * 7 as p", "id % 3 as v").write.parquet(f"{tmp_path}/points")
+    points = spark.read.parquet(f"{tmp_path}/points")
+    ranges = spark.createDataFrame([(i * 1000, i * 1000 + (3000 if i % 2 else 2), str(i)) for i in range(40)], "lo long, hi long, name string")
+    want = rows(points.join(ranges, F.expr("p between lo and hi"), "left"))
+    for most, kind in (({}, "BuildRight"), ({"copied": 0}, "SortMergeJoin [__level")):
+        out = joins.join_points_in_ranges(points, "p", ranges, "lo", "hi", **most)
+        capsys.readouterr()
+        out.explain()
+        text = capsys.readouterr().out
+        assert "BuildLeft" not in text and kind in text
+        assert rows(out) == want
+
+
 def test_a_range_is_few_blocks(spark):
     for bits in (1, 4):
         out = spark.sql("select 12345L as lo, 987654321L as hi").select(F.explode(joins.range_blocks(F.col("lo"), F.col("hi"), 32 // bits, bits)).alias("b"))
