@@ -209,6 +209,38 @@ def test_keyed_comparison_of_repeated_keys(spark, rows, capsys):
     assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
 
 
+def test_comparison_holds_every_pair_of_rows(spark, rows):
+    """Against a full outer join: keys that repeat on one side or both, nulls that face no row; rows without a key meet nothing."""
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (2, "y"), (3, None), (5, "b"), (6, None), (6, None), (8, None)], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (1, None), (1, "z"), (2, "y"), (4, None), (5, "c"), (5, "b"), (7, "q"), (7, None), (8, None)], "k int, v string")
+    twice = "(1, 5, 6, 7)"
+
+    def flags(c, name):
+        return f"""select coalesce(a.k, b.k) as primary_key, '{name}' as column_name,
+            coalesce(a.{c} = b.{c} and a.k is not null and b.k is not null, a.{c} is null and b.{c} is null, false) as perfect_match,
+            a.{c} is null and a.k is not null as null_in_a, b.{c} is null and b.k is not null as null_in_b, a.k is null as missing_from_a, b.k is null as missing_from_b,
+            coalesce(a.k is not null and b.k is not null and not a.{c} <=> b.{c}, false) as conflicting_values, coalesce(a.k, b.k) in {twice} as repeated_key
+            from {{a}} a full outer join {{b}} b on a.k = b.k"""
+
+    want = spark.sql(flags("v", "v"), a=a, b=b)
+    got = compare.compare_column_verbose(a, b, "k", "v")
+    assert rows(got) == rows(want) and got.columns == want.columns and want.count() == 19
+    assert got.where("perfect_match and (missing_from_a or missing_from_b)").count() == 0
+    both = spark.sql(f"{flags('k', 'K')} union all {flags('v', 'V')}", a=a, b=b)
+    assert rows(compare.compare_all_columns(a, b, "k", summarize=False)) == rows(both)
+    names = ("perfect_match", "null_in_a", "null_in_b", "missing_from_a", "missing_from_b", "conflicting_values")
+    sums = both.groupBy("column_name").agg(*[F.sum(F.col(n).cast("bigint")) for n in names], F.count_distinct(F.when(F.col("repeated_key"), F.col("primary_key"))))
+    assert rows(compare.compare_all_columns(a, b, "k")) == rows(sums)
+    lone = spark.createDataFrame([(None, "q"), (None, None)], "k int, v string")
+    out = compare.compare_column_verbose(a.unionAll(lone), b.unionAll(lone.limit(1)), "k", "v")
+    assert rows(out.where("primary_key is not null")) == rows(want)
+    assert rows(out.where("primary_key is null").select("perfect_match", "null_in_a", "missing_from_a", "missing_from_b", "repeated_key")) == [
+        (False, False, False, True, True), (False, False, True, False, False), (False, True, False, True, True)]
+    counts = compare.compare_all_columns(a.unionAll(lone), b.unionAll(lone.limit(1)), "k").where("column_name = 'V'")
+    per_row = out.agg(*[F.sum(F.col(n).cast("bigint")) for n in names])
+    assert rows(counts.select(*names)) == rows(per_row)
+
+
 def test_unequal_ranges_are_the_only_rows_compared(spark, rows):
     a = spark.range(5000).selectExpr("id", "if(id % 7 = 0, null, id) as v", "map('a', id) as m").drop("m")
     assert tables.unequal_ranges(a, a.repartition(5), a.columns) == []
