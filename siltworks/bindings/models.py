@@ -13,8 +13,9 @@ import re
 from pyspark.sql import functions as F
 
 from siltworks.bindings.base import AS_OF_SQL, CFG, RUN_SQL, query
-from siltworks.config import shared_dir
+from siltworks.config import keep, shared_dir
 from siltworks.functions.text import regex_capture
+from siltworks.operators.joins import hot_keys
 from siltworks.plans import events, golden, identity, star_schema
 from siltworks.plans.calendar import recursive_dates
 from siltworks.plans.staging import COLLEGE, stage
@@ -104,11 +105,19 @@ RAW = {
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def raw(t, name: str):
-    used = {n: getattr(t, n) for n in TABLE_NAMES if f"{{{n}}}" in RAW[name]}
+def raw(t, name: str, **given):
+    used = {n: given[n] if n in given else getattr(t, n) for n in TABLE_NAMES if f"{{{n}}}" in RAW[name]}
     return t.spark.sql(RAW[name], **used)
 
 
+def course_work(t):
+    """Order lines are dealt by order once, to be grouped and to meet their order, unless an order has very many."""
+    lines = t.lineitem
+    if not hot_keys(lines, ["l_orderkey"], int(t.spark.conf.get("spark.sql.shuffle.partitions"))):
+        lines = lines.repartition("l_orderkey")
+    return raw(t, "cw_rec", lineitem=lines)
+
+
 def raw_sql(name: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", RAW[name])
 
@@ -143,7 +152,7 @@ enriched as (select c.*, lo.s as first_event_type, lo.t as first_event_timestamp
 
 
 def enriched(t):
-    return events.enrich_course_work(raw(t, "cw_rec"), raw(t, "reg_rec"), ["stat"])
+    return events.enrich_course_work(course_work(t), raw(t, "reg_rec"), ["stat"])
 
 
 @query("model_event_enrich", ctes("cw_rec", "reg_rec") + ",\n" + ENRICHED + " select * from enriched")
@@ -333,7 +342,9 @@ DIM_SECTION = f"""dim_section as (select {key_sql('s.crs_no', 'sec_no', 'yr', 's
 
 
 def sections(t):
-    return star_schema.section_dimension(staged(t, "crs_rec"), staged(t, "sec_rec"), faculty(t), departments(t), CFG.as_of, CFG.run_time)
+    """Faculty is stored first, so that its size is known before sections would be dealt by it."""
+    people = keep(faculty(t).select("faculty_code", "faculty_key"), f"{shared_dir(t.spark)}/faculty")
+    return star_schema.section_dimension(staged(t, "crs_rec"), staged(t, "sec_rec"), people, departments(t), CFG.as_of, CFG.run_time)
 
 
 @query("model_dim_section", ctes("crs_rec", "sec_rec", "fac_rec", "id_rec", "dept_table") + ",\n" + DIM_SECTION + " select * from dim_section")
@@ -416,5 +427,6 @@ left join grd_table g on a.grd = g.grd and grdg = g.ctgry
 left join dim_date h on first_event_timestamp::date = h.date_actual left join dim_date i on latest_event_timestamp::date = i.date_actual""")
 def _(t):
     grades = star_schema.lookup_dimension(raw(t, "grd_table"), "grade", CFG.run_time)
-    work = enriched(t).withColumn("id", col("id").cast("string"))
-    return star_schema.enrollment_fact(work, students(t), sections(t), terms(t), grades, dim_date(t), CFG.run_time)
+    work = course_work(t).withColumn("id", col("id").cast("string"))
+    return star_schema.enrollment_fact(work, students(t), sections(t), terms(t), grades, dim_date(t), CFG.run_time,
+                                       registrations=raw(t, "reg_rec"), tie=["stat"])

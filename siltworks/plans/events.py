@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.functions import dates, flags, text
+from siltworks.operators.joins import hot_keys
 from siltworks.operators.windows import first_per_key
 
 
@@ -27,9 +28,15 @@ def first_last_events(events: DataFrame, key: str, kind: str, day: str, moment:
     """First and last event per key, ordered by day, moment, tie columns and kind (nulls last).
 
     Two partial aggregations instead of three windows, so a key with very many events
-    never meets in one task.  Events of a key that share day and moment make its
-    times ambiguous.
+    never meets in one task.  Where a sketch finds no such key (one job), events are dealt by
+    key once, as few columns, for both and for a join by key.  Events of a key that share day
+    and moment make its times ambiguous.
     """
+    tie = [c for c in tie if c != kind]
+    events = events.select(*dict.fromkeys([key, kind, day, moment, *tie]))
+    if not hot_keys(events, [key], int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))):
+        events = events.repartition(key)
+
     def place(column):
         """Missing values sort after present ones."""
         return [F.col(column).isNull().alias(f"no_{column}"), F.col(column).alias(column)]
@@ -54,7 +61,7 @@ def enrich_course_work(course_work: DataFrame, registrations: DataFrame, tie: li
     Registrations are raw (cw_no, stat, beg_date, sys_date, tm).  Where times are
     ambiguous the record's own status is the last event.
     """
-    events = registrations.withColumn("event_timestamp", dates.event_timestamp(F.col("sys_date"), F.col("tm")))
+    events = registrations.where("cw_no is not null").withColumn("event_timestamp", dates.event_timestamp(F.col("sys_date"), F.col("tm")))
     found = first_last_events(events, "cw_no", "stat", "beg_date", "event_timestamp", tie)
     final = F.when(F.col("is_event_timestamp_ambiguous"), F.col("stat")).otherwise(F.col("latest_event_type_from_reg"))
     return course_work.join(found, "cw_no", "left").withColumn("latest_event_type_final", final)

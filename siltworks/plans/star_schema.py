@@ -17,6 +17,7 @@ from siltworks.functions.flags import is_open
 from siltworks.functions.keys import surrogate_key
 from siltworks.operators.joins import join_days_in_ranges
 from siltworks.operators.windows import first_per_key
+from siltworks.plans.events import enrich_course_work
 
 # Order in which program levels claim a date range.
 LEVEL_ORDER = ("UNDG", "GRAD")
@@ -179,20 +180,31 @@ def gender_dimension(seed: DataFrame, run_time: dt.datetime) -> DataFrame:
         F.lit("COMMON").alias("_data_owner"))
 
 
+def _packed(key: str) -> Column:
+    """A surrogate key, 32 hex digits, as its 16 bytes: what a fact carries from one shuffle to the next."""
+    return F.unhex(key).alias(key)
+
+
+def _unpacked(key: str) -> Column:
+    return F.lower(F.hex(key))
+
+
 def enrollment_fact(course_work: DataFrame, students: DataFrame, sections: DataFrame, terms: DataFrame,
                     grades: DataFrame, dates: DataFrame, run_time: dt.datetime, section_by_term: bool = True,
-                    grade_category: str = "grdg") -> DataFrame:
+                    grade_category: str = "grdg", registrations: DataFrame | None = None, tie: list[str] = ()) -> DataFrame:
     """Enrollments keyed to student, section, term, grade and two dates.
 
     Student and section must be there, the others may be missing.  Sections are
-    matched on year and session too unless ``section_by_term`` is off.
+    matched on year and session too unless ``section_by_term`` is off.  Course work comes with its
+    first and last event, or ``registrations`` have them (``enrich_course_work``): then only rows that
+    have a student and a section look for their events.
     """
-    s = students.select(F.col("student_code").alias("id"), F.col("student_program_level").alias("prog"), "student_key")
+    s = students.select(F.col("student_code").alias("id"), F.col("student_program_level").alias("prog"), _packed("student_key"))
     on = {"course_section_course_number": "crs_no", "course_section_section_number": "sec",
           "course_section_catalog": "cat", "course_section_program_level": "prog", "course_section_subsess": "subsess"}
     if section_by_term:
         on |= {"course_section_sess": "sess", "course_section_year": "yr"}
-    c = sections.select(*[F.col(a).alias(b) for a, b in on.items()], "course_section_key", "course_section_faculty_key")
+    c = sections.select(*[F.col(a).alias(b) for a, b in on.items()], _packed("course_section_key"), _packed("course_section_faculty_key"))
     t = terms.select(F.col("term_sess").alias("sess"), F.col("term_year").alias("yr"),
                      F.col("term_program_level").alias("prog"), F.col("term_subsess").alias("subsess"), "term_key")
     g = grades.select(F.col("grade_code").alias("grd"), F.col("grade_category").alias(grade_category), "grade_key")
@@ -200,16 +212,18 @@ def enrollment_fact(course_work: DataFrame, students: DataFrame, sections: DataF
     def day(name):
         return dates.select(F.col("date_actual").alias(f"__{name}"), F.col("date_key").alias(name))
 
-    w = course_work.withColumn("__first_day", F.col("first_event_timestamp").cast("date"))
+    w = course_work.join(c, list(on.values())).join(s, ["id", "prog"])
+    if registrations is not None:
+        w = enrich_course_work(w, registrations, tie)
+    w = w.withColumn("__first_day", F.col("first_event_timestamp").cast("date"))
     w = w.withColumn("__latest_day", F.col("latest_event_timestamp").cast("date"))
-    j = w.join(s, ["id", "prog"]).join(c, list(on.values()))
-    j = j.join(t, ["sess", "yr", "prog", "subsess"], "left").join(g, ["grd", grade_category], "left")
+    j = w.join(t, ["sess", "yr", "prog", "subsess"], "left").join(g, ["grd", grade_category], "left")
     j = j.join(day("first_day"), "__first_day", "left").join(day("latest_day"), "__latest_day", "left")
     return j.select(
-        F.col("cw_no").alias("enrollment_source_serial"), F.col("student_key").alias("enrollment_stu_key"),
-        F.col("course_section_key").alias("enrollment_course_section_key"),
+        F.col("cw_no").alias("enrollment_source_serial"), _unpacked("student_key").alias("enrollment_stu_key"),
+        _unpacked("course_section_key").alias("enrollment_course_section_key"),
         F.col("term_key").alias("enrollment_term_key"),
-        F.col("course_section_faculty_key").alias("enrollment_faculty_key"),
+        _unpacked("course_section_faculty_key").alias("enrollment_faculty_key"),
         F.col("grade_key").alias("enrollment_grade_key"), F.col("hrs").alias("enrollment_hours"),
         F.col("stat").alias("enrollment_status"), F.col("prog").alias("enrollment_program_level"),
         F.col("first_event_type").alias("enrollment_first_stat"), F.col("first_day").alias("enrollment_first_date_key"),

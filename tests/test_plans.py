@@ -1,11 +1,13 @@
 """Composed plans on small college tables."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from siltworks.config import RunConfig
+from siltworks.functions.keys import surrogate_key
 from siltworks.plans import events, identity, star_schema
 from siltworks.plans.golden import golden_records, is_active, seeks_degree
 
@@ -153,6 +155,49 @@ def test_events_with_ties_and_bad_times(spark):
     assert events.bad_event_times(df).count() == 1
 
 
+def test_events_are_dealt_once_unless_a_key_is_hot(spark, rows, capsys):
+    """One shuffle for both aggregations where no key is hot, two of combined rows else; the result is the same."""
+    made = ["date'2024-01-01' + cast(id % 7 as int) as d", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, cast(id % 5 as int)) as t", "concat('s', id % 3) as stat"]
+    even = spark.range(4000).selectExpr("concat('k', id % 1300) as k", *made)
+    hot = even.unionAll(spark.range(4000).selectExpr("'k7' as k", *made)).unionAll(spark.range(20).selectExpr("cast(null as string) as k", *made))
+    for df, shuffles in ((even, 1), (hot, 2)):
+        out = events.first_last_events(df, "k", "stat", "d", "t", ["stat"])
+        capsys.readouterr()
+        out.explain()
+        assert capsys.readouterr().out.count("Exchange hashpartitioning") == shuffles
+        want = spark.sql("""select k, min(e).stat, min(e).t, max(e).stat, max(e).t, count(*) > count(distinct e.d, e.t)
+            from (select k, struct(d, t, stat) as e from {df}) group by k""", df=df)
+        assert rows(out) == rows(want)
+
+
+def test_fact_finds_events_of_its_rows_only(spark, rows, capsys):
+    """Course work with its events, or with registrations that are looked up after students and sections: the same fact."""
+    day = dt.date(2024, 1, 1)
+    work = spark.createDataFrame([(f"w{i}", f"p{i % 4}", 2024, "Q1", "S 1", "UNDG", f"C{i % 3}", "cat", 1, "A", "F", 10, "B", day, day) for i in range(12)] + [
+        (None, "p1", 2024, "Q1", "S 1", "UNDG", "C1", "cat", 1, "A", "F", 10, "B", day, day)],
+        "cw_no string, id string, yr int, sess string, subsess string, prog string, crs_no string, cat string, sec int, grd string, grdg string, hrs int, stat string, "
+        "beg_date date, end_date date")
+    regs = spark.createDataFrame([(f"w{i % 9}", "RWD"[i % 3], day, day, f"{9 + i % 2}30") for i in range(25)] + [(None, "R", day, day, "930")],
+                                 "cw_no string, stat string, beg_date date, sys_date date, tm string")
+    key = [surrogate_key(F.col(c)) for c in ("x", "y")]
+    students = spark.createDataFrame([("p0", "UNDG"), ("p1", "UNDG"), ("p1", "UNDG"), ("p2", "GRAD")], "x string, y string").select(
+        F.col("x").alias("student_code"), F.col("y").alias("student_program_level"), key[0].alias("student_key"))
+    sections = spark.createDataFrame([("C0", 1), ("C1", 1), ("C2", 2)], "x string, y int").selectExpr(
+        "x as course_section_course_number", "y as course_section_section_number", "'cat' as course_section_catalog", "'UNDG' as course_section_program_level",
+        "'S 1' as course_section_subsess", "'Q1' as course_section_sess", "2024 as course_section_year", "md5(x) as course_section_key",
+        "if(x = 'C1', null, md5('f')) as course_section_faculty_key")
+    terms = spark.createDataFrame([("Q1", 2024, "UNDG", "S 1", "t")], "term_sess string, term_year int, term_program_level string, term_subsess string, term_key string")
+    grades = spark.createDataFrame([("A", "F", "g")], "grade_code string, grade_category string, grade_key string")
+    dates = spark.createDataFrame([(day, 20240101)], "date_actual date, date_key int")
+    tables = (students, sections, terms, grades, dates, CFG.run_time)
+    late = star_schema.enrollment_fact(work, *tables, registrations=regs, tie=["stat"])
+    assert rows(late) == rows(star_schema.enrollment_fact(events.enrich_course_work(work, regs, ["stat"]), *tables))
+    got = {r["enrollment_source_serial"]: r for r in late.collect()}
+    assert late.count() == 8 and set(got) == {"w0", "w1", "w4", "w9", None}
+    assert got["w1"]["enrollment_course_section_key"] == hashlib.md5(b"C1").hexdigest() and got["w1"]["enrollment_faculty_key"] is None
+    assert got["w0"]["enrollment_stu_key"] == hashlib.md5(b"p0").hexdigest() and got["w9"]["enrollment_first_stat"] is None
+
+
 def test_terms_of_days(spark):
     def term(level, beg, end):
         return ("Q1", "S 1", 2024, level, "2024A", beg and dt.date(2024, *beg), end and dt.date(2024, *end))
