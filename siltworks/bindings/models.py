@@ -12,10 +12,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from siltworks.bindings.base import AS_OF_SQL, CFG, RUN_SQL, query
-from siltworks.config import keep, shared_dir
+from siltworks.bindings.base import AS_OF_SQL, CFG, RUN_SQL, Tables, query
+from siltworks.config import keep, own_session, shared_dir
 from siltworks.functions.text import regex_capture
-from siltworks.operators.joins import hot_keys
+from siltworks.operators.joins import copied_if_small, hot_keys
 from siltworks.plans import events, golden, identity, star_schema
 from siltworks.plans.calendar import recursive_dates
 from siltworks.plans.staging import COLLEGE, stage
@@ -105,17 +105,42 @@ RAW = {
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def raw(t, name: str, **given):
-    used = {n: given[n] if n in given else getattr(t, n) for n in TABLE_NAMES if f"{{{n}}}" in RAW[name]}
-    return t.spark.sql(RAW[name], **used)
+def raw(t, name: str, by_course: bool = False, **given):
+    """Rows of a raw table; ``by_course`` deals order lines by course number before they meet parts, by that number
+    too, which is one to one with the part's key: the rows then stay where they meet sections and courses.
 
+    All those meet in one task, so its partitions are as many as asked for, not merged by the bytes of one input.
+    """
+    text = RAW[name]
+    if by_course:
+        line, part = (f"concat('C', cast({p}_partkey as string))" for p in "lp")
+        head, rest = text.split("from (", 1)
+        lines, tail = rest.split("join {part} on l_partkey = p_partkey")
+        known = raw_rows(t, f"select * from ({lines}", given).where("l_partkey is not null")  # else all without a part meet in one task
+        given["lines"] = known.repartition(partitions(t), F.expr(line))
+        text = f"{head}from {{lines}} join {{part}} on {line} = {part}{tail.replace('group by l_partkey', f'group by {line}')}"
+    return raw_rows(t, text, given)
 
-def course_work(t):
+
+def raw_rows(t, text: str, given: dict):
+    used = {n: given[n] if n in given else getattr(t, n) for n in (*TABLE_NAMES, "lines") if f"{{{n}}}" in text}
+    return t.spark.sql(text, **used)
+
+
+def partitions(t) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def no_hot_key(t, table, key: str) -> bool:
+    return not hot_keys(table, [key], partitions(t))
+
+
+def course_work(t, by_course: bool = False):
     """Order lines are dealt by order once, to be grouped and to meet their order, unless an order has very many."""
     lines = t.lineitem
-    if not hot_keys(lines, ["l_orderkey"], int(t.spark.conf.get("spark.sql.shuffle.partitions"))):
+    if no_hot_key(t, lines, "l_orderkey"):
         lines = lines.repartition("l_orderkey")
-    return raw(t, "cw_rec", lineitem=lines)
+    return raw(t, "cw_rec", by_course, lineitem=lines)
 
 
 def raw_sql(name: str) -> str:
@@ -341,10 +366,11 @@ DIM_SECTION = f"""dim_section as (select {key_sql('s.crs_no', 'sec_no', 'yr', 's
   join dept_table fd on f.dept = fd.dept join dept_table d on c.dept = d.dept)"""
 
 
-def sections(t):
+def sections(t, by_course: bool = False):
     """Faculty is stored first, so that its size is known before sections would be dealt by it."""
-    people = keep(faculty(t).select("faculty_code", "faculty_key"), f"{shared_dir(t.spark)}/faculty")
-    return star_schema.section_dimension(staged(t, "crs_rec"), staged(t, "sec_rec"), people, departments(t), CFG.as_of, CFG.run_time)
+    people = copied_if_small(keep(faculty(t).select("faculty_code", "faculty_key"), f"{shared_dir(t.spark)}/faculty"))
+    rows = stage(raw(t, "sec_rec", by_course), COLLEGE["sec_rec"])
+    return star_schema.section_dimension(staged(t, "crs_rec"), rows, people, departments(t), CFG.as_of, CFG.run_time)
 
 
 @query("model_dim_section", ctes("crs_rec", "sec_rec", "fac_rec", "id_rec", "dept_table") + ",\n" + DIM_SECTION + " select * from dim_section")
@@ -426,7 +452,19 @@ left join dim_term on sess = term_sess and yr = term_year and prog = term_progra
 left join grd_table g on a.grd = g.grd and grdg = g.ctgry
 left join dim_date h on first_event_timestamp::date = h.date_actual left join dim_date i on latest_event_timestamp::date = i.date_actual""")
 def _(t):
+    """Where no course is hot, course work, sections and courses are dealt by course once and meet there; joins of rows
+    dealt by fewer columns than they are joined on are a setting, given to a session of its own.
+
+    Terms and days are stored first, so that their size is known before course work would be dealt by them.
+    """
+    by_course = no_hot_key(t, t.lineitem, "l_partkey")
+    if by_course:
+        t = Tables(own_session(t.spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}), t.folder)
+    folder = shared_dir(t.spark)
     grades = star_schema.lookup_dimension(raw(t, "grd_table"), "grade", CFG.run_time)
-    work = course_work(t).withColumn("id", col("id").cast("string"))
-    return star_schema.enrollment_fact(work, students(t), sections(t), terms(t), grades, dim_date(t), CFG.run_time,
+    known = keep(terms(t), f"{folder}/terms")
+    days = star_schema.date_dimension_with_terms(calendar_days(t), known, CFG.as_of)
+    days = keep(days.select("date_actual", "date_key"), f"{folder}/days")
+    work = course_work(t, by_course).withColumn("id", col("id").cast("string"))
+    return star_schema.enrollment_fact(work, students(t), sections(t, by_course), known, grades, days, CFG.run_time,
                                        registrations=raw(t, "reg_rec"), tie=["stat"])

@@ -75,3 +75,12 @@ def keep(df: DataFrame, folder: str) -> DataFrame:
     depend on the executors that made it."""
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session beside the caller's, with its settings but for those given; the caller's stays as it is."""
+    own = spark.newSession()
+    for name, value in {**spark.conf.getAll, **settings}.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own

@@ -1,6 +1,6 @@
 """Joins that need more than ``DataFrame.join``.
 
-No side is broadcast by hint, but for blocks of ranges whose bytes were counted before: Spark broadcasts a
+No side is broadcast by hint, but for blocks of ranges and tables whose bytes were counted before: Spark broadcasts a
 side whose size it has checked against ``spark.sql.autoBroadcastJoinThreshold``.  The adaptive skew join splits hot
 keys of inner joins of two shuffled sides; where it does not (full outer, semi and
 anti joins, joins to an aggregate), ``lookup`` finds hot keys with a sketch and spreads them.
@@ -46,6 +46,16 @@ def hot_keys(df: DataFrame, keys: list[str], tasks: int, most: int = HOT_KEYS) -
     return {t["item"]: -(-t["count"] // fair) for t in tops or [] if t["count"] > fair}
 
 
+def bytes_of(df: DataFrame) -> Column:
+    """An aggregate: the bytes that the rows take as text, and those of a block beside each."""
+    return F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + BLOCK_BYTES)
+
+
+def copied_if_small(df: DataFrame, copied: int = COPIED_BYTES) -> DataFrame:
+    """The table, marked to be copied to all tasks if its rows were counted at ``copied`` bytes or less.  Starts a job."""
+    return df.hint("broadcast") if (df.agg(bytes_of(df)).first()[0] or 0) <= copied else df
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", tasks: int | None = None) -> DataFrame:
     """Join (inner, left, left_semi or left_anti) to a right side that has one row per key.
 
@@ -156,8 +166,7 @@ def join_points_in_ranges(points: DataFrame, point: str, ranges: DataFrame, begi
     levels = 1 if widest is None else -(-max(1, int(widest).bit_length()) // bits) + 1
     cut = known.withColumn(level, F.explode(range_blocks(lo, hi, levels, bits)))
     cut = cut.withColumns({index: F.col(f"{level}.index"), level: F.col(f"{level}.level")})
-    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in ranges.columns]))) + BLOCK_BYTES)
-    sizes = {r[0]: r[1] for r in cut.groupBy(level).agg(size.alias("size")).collect()}  # at most `levels` rows
+    sizes = {r[0]: r[1] for r in cut.groupBy(level).agg(bytes_of(ranges).alias("size")).collect()}  # at most `levels` rows
     used = sorted(sizes)
     own = whole_number(points, point)
     placed = points.where(F.col(point).isNotNull()).withColumn(level, F.explode(F.array(*[F.lit(k) for k in used]).cast("array<int>")))

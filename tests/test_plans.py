@@ -2,14 +2,20 @@
 
 import datetime as dt
 import hashlib
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from siltworks.bindings import ORACLE, QUERIES, models
+from siltworks.bindings.base import Tables
 from siltworks.config import RunConfig
 from siltworks.functions.keys import surrogate_key
+from siltworks.operators import joins
 from siltworks.plans import events, identity, star_schema
 from siltworks.plans.golden import golden_records, is_active, seeks_degree
+from tests.agree import differences
 
 CFG = RunConfig(run_time=dt.datetime(2024, 1, 1), as_of=dt.date(2024, 1, 1), institution_code="X")
 NEW = "source_id string, email string, first_name string, last_name string, birth_date date, created_on timestamp_ntz, other_id string"
@@ -198,6 +204,71 @@ def test_fact_finds_events_of_its_rows_only(spark, rows, capsys):
     assert got["w0"]["enrollment_stu_key"] == hashlib.md5(b"p0").hexdigest() and got["w9"]["enrollment_first_stat"] is None
 
 
+def college(spark, folder, lines: str):
+    """Small given tables: lines and orders and parts that come twice, keys that are null."""
+    day = "timestamp_ntz'1998-01-15' + make_dt_interval(cast({} as int))"
+    tables = {
+        "region": "select cast(id as int) as r_regionkey, concat('R', id) as r_name from range(3)",
+        "nation": "select cast(id as int) as n_nationkey, concat('N', id) as n_name, cast(id % 3 as int) as n_regionkey from range(10)",
+        "customer": "select id as c_custkey, concat('c', id) as c_name, cast(id % 10 as int) as c_nationkey, 1000.0D * id as c_acctbal, 'M' as c_mktsegment from range(9)",
+        "supplier": "select id as s_suppkey, concat('s', id) as s_name, cast(id * 4 as int) as s_nationkey, 1.0D as s_acctbal from range(6)",
+        "part": """select id % 13 as p_partkey, concat('p', id) as p_name, concat('B', id % 3) as p_brand, element_at(array('SMALL', 'LARGE', 'PROMO'), cast(1 + id % 3 as int)) as p_type,
+            cast(id * 3 as int) as p_size, 1.0D as p_retailprice from range(15) union all select null, 'n', 'B1', 'SMALL', 1, 1.0D""",
+        "orders": f"""select if(id = 40, 39, id) as o_orderkey, id % 9 as o_custkey, element_at(array('O', 'F', 'P'), cast(1 + id % 3 as int)) as o_orderstatus, 1.0D * id as o_totalprice,
+            {day.format("id * 9")} as o_orderdate, concat(id % 5, '-X') as o_orderpriority from range(41) union all select null, 1, 'O', 1.0D, timestamp_ntz'1998-01-15', '1-X'""",
+        "lineitem": f"""select l_orderkey, l_partkey, id % 6 as l_suppkey, cast(1 + id % 4 as int) as l_linenumber, 1.0D * (id % 50) as l_quantity, 1.0D as l_extendedprice, 0.0D as l_discount,
+            (id % 9) / 100.0D as l_tax, substr('RAN', cast(1 + id % 3 as int), 1) as l_returnflag, 'F' as l_linestatus, {day.format("id % 300")} as l_shipdate from ({lines})"""}
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
+    con = duckdb.connect()
+    for name in tables:
+        con.execute(f"create view {name} as select * from '{folder}/{name}.parquet/*.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_courses_are_dealt_once_unless_one_is_hot(spark, tmp_path, capsys, hot):
+    """The fact against its SQL; sections, courses and course work meet where lines were dealt by course, without another shuffle."""
+    even = "select id, if(id = 7, null, id % 41) as l_orderkey, if(id = 8, null, id * 7 % 13) as l_partkey from range(500)"
+    con = college(spark, tmp_path, even if not hot else f"{even} union all select id, id % 41, 5 from range(300)")
+    name, own = "model_fact_enrollment", "spark.sql.requireAllClusterKeysForCoPartition"
+    was, limit = spark.conf.get(own), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for most in ("-1", limit):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            out = QUERIES[name](spark, str(tmp_path))
+            capsys.readouterr()
+            out.explain()
+            dealt = re.findall(r"Exchange hashpartitioning\((.*), 8\), (\w+)", capsys.readouterr().out)
+            wide = [by for by, _ in dealt if by.startswith(("crs_no", "course_section_course_number", "course_number")) and "," in by]
+            assert bool(wide) == hot and sum("concat(C" in by and why == "REPARTITION_BY_NUM" for by, why in dealt) == (0 if hot else 2)
+            assert differences(spark, con, name, QUERIES[name], ORACLE[name], str(tmp_path)) == []
+            assert spark.conf.get(own) == was and (out.sparkSession.conf.get(own) == was) == hot
+            assert out.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == most
+        for table in ("cw_rec", "sec_rec"):
+            t = Tables(spark, str(tmp_path))
+            plain, by_course = models.raw(t, table), models.raw(t, table, True)
+            assert plain.columns == by_course.columns and plain.count() > 100
+            assert plain.exceptAll(by_course).count() == by_course.exceptAll(plain).count() == 0
+            capsys.readouterr()
+            by_course.explain()
+            assert "isnotnull(l_partkey" in capsys.readouterr().out.partition("REPARTITION_BY_NUM")[2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_tables_counted_as_small_are_copied(spark, capsys):
+    df, limit = spark.range(100).selectExpr("id as k", "if(id = 3, null, 'x') as v"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, copied in ((1 << 20, True), (100, False)):
+            spark.range(100).join(joins.copied_if_small(df, most).select("k"), F.col("id") == F.col("k")).explain()
+            assert ("BroadcastHashJoin" in capsys.readouterr().out) == copied
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert joins.copied_if_small(df.limit(0)).count() == 0
+
+
 def test_terms_of_days(spark):
     def term(level, beg, end):
         return ("Q1", "S 1", 2024, level, "2024A", beg and dt.date(2024, *beg), end and dt.date(2024, *end))
